@@ -188,8 +188,8 @@ def deviating_loads(
     median = F.col("column_name").isin(*by_median) if by_median else F.lit(False)
     figure = F.when(median, F.col("q50")).when(text, F.col("top_share")).otherwise(F.try_divide(F.col("zeros"), F.col("fitting")))
     p = profile.withColumn("figure", figure)
-    usual = p.groupBy("column_name").agg(F.percentile("figure", 0.5).alias("usual"))
-    p = p.join(usual, "column_name")
+    # One row per load: a column's loads fit in one task.
+    p = p.withColumn("usual", F.percentile("figure", 0.5).over(Window.partitionBy("column_name")))
     off = F.when(median, (F.col("figure") > F.col("usual") * ratio) | (F.col("figure") < F.col("usual") / ratio)).otherwise(F.abs(F.col("figure") - F.col("usual")) > difference)
     bad = F.col("misfits") > known * F.when(text, F.lit(pattern_share)).otherwise(F.lit(range_share))
     findings = F.array(
