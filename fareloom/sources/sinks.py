@@ -21,17 +21,16 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     writer.parquet(path)
 
 
-def _staged(df: DataFrame, target: str, files: int | None = None) -> str:
-    stage = f"{target.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    (df.coalesce(files) if files else df).write.parquet(stage)
-    return stage
+def _stage(target: str) -> str:
+    return f"{target.rstrip('/')}.staging-{uuid.uuid4().hex}"
 
 
 def single_file(df: DataFrame, path: str) -> None:
     """One Parquet file at ``path``, in place only when complete. For tables that one task can write."""
     files = Files(df.sparkSession)
-    stage = _staged(df, path, 1)
+    stage = _stage(path)
     try:
+        df.coalesce(1).write.parquet(stage)
         parts = [n for n in files.names(stage) if n.endswith(".parquet")]
         if len(parts) != 1:
             raise OSError(f"{len(parts)} files instead of one")
@@ -47,7 +46,8 @@ def all_or_nothing(frames: dict[str, DataFrame], root: str) -> None:
     files, stages = Files(spark), {}
     try:
         for name, df in frames.items():
-            stages[name] = _staged(df, f"{root}/{name}")
+            stages[name] = _stage(f"{root}/{name}")
+            df.write.parquet(stages[name])
         for name in list(stages):
             files.delete(f"{root}/{name}")
             files.rename(stages.pop(name), f"{root}/{name}")
