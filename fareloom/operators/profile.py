@@ -12,6 +12,7 @@ pooled curve; a last small aggregation puts the ranges together.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -191,9 +192,11 @@ def deviating_loads(
     # One row per load: a column's loads fit in one task.
     p = p.withColumn("usual", F.percentile("figure", 0.5).over(Window.partitionBy("column_name")))
     off = F.when(median, (F.col("figure") > F.col("usual") * ratio) | (F.col("figure") < F.col("usual") / ratio)).otherwise(F.abs(F.col("figure") - F.col("usual")) > difference)
-    bad = F.col("misfits") > known * F.when(text, F.lit(pattern_share)).otherwise(F.lit(range_share))
+    # Decimals, so that a share exactly on its bound isn't beyond it.
+    exact = lambda x: F.lit(Decimal(str(x)))
+    bad = F.when(text, F.col("misfits") > known * exact(pattern_share)).otherwise(F.col("misfits") > known * exact(range_share))
     findings = F.array(
-        F.when(F.col("nulls") > F.col("rows") * null_share, "nulls"),
+        F.when(F.col("nulls") > F.col("rows") * exact(null_share), "nulls"),
         F.when(bad & ~text, "range"),
         F.when(bad & text, "pattern"),
         F.when(off, "shift"),

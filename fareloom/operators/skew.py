@@ -10,6 +10,8 @@ the order of the values; the bins' counts locate the bin of each rank, and only
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,7 +61,7 @@ def heavy_keys(freq: DataFrame, all_rows: DataFrame, share: float) -> DataFrame:
     """
     count = all_rows.agg(F.count("*").alias("_all"))
     totals = freq.groupBy("key_column", "key_value").agg(F.sum("n").alias("rows"))
-    return totals.crossJoin(F.broadcast(count)).where(F.col("rows") >= F.col("_all") * F.lit(share)).select("key_column", "key_value", "rows", (F.col("rows") / F.col("_all")).alias("share"))
+    return totals.crossJoin(F.broadcast(count)).where(F.col("rows") >= F.col("_all") * F.lit(Decimal(str(share)))).select("key_column", "key_value", "rows", (F.col("rows") / F.col("_all")).alias("share"))
 
 
 def _bin(v: Column) -> Column:
