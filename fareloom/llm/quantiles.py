@@ -191,7 +191,7 @@ def combine(sketches: DataFrame, group: str, nodes: int, size: int = SIZE, width
     while True:
         nodes = math.ceil(nodes / FAN_IN)
         state = state.withColumn("node", F.floor(F.col("node") / FAN_IN).cast("bigint") if nodes > 1 else F.lit(0).cast("bigint"))
-        state = state.repartition("grp", "node").sortWithinPartitions("grp", "node").mapInArrow(_merge_rows(size, width), f"grp string, node bigint, {_STATE}")
+        state = state.repartition("grp", "node").sortWithinPartitions("grp", "node", "count", "error", "low", "high").mapInArrow(_merge_rows(size, width), f"grp string, node bigint, {_STATE}")
         if nodes <= 1:
             return state
 

@@ -44,9 +44,10 @@ _HANGUL = regex.compile(r"\p{Hangul}")
 _WORD = regex.compile(r"[\p{L}\p{N}]+(?:['’][\p{L}]+)?")
 _FORMAT = regex.compile(r"\p{Cf}+")
 _DOT = r"(?:\.|\[\.\]|\(\.\)|\{\.\}|\s(?:dot|\[dot\]|\(dot\))\s)"
+#: Every repetition is bounded or cannot be entered again, so a text of any length takes time in proportion to it.
 _LINK = regex.compile(
-    r"<a\b[^>]*>.*?</a>|!?\[[^\]\n]*\]\([^)\n]*\)|(?:h(?:tt|xx)ps?:?//|www" + _DOT + r")\S+(?:\s/\s\S+)*"
-    r"|(?<![\p{L}\p{N}@])[a-z0-9][a-z0-9-]*(?:" + _DOT + r"[a-z][a-z0-9-]+)+(?:\s?/\s?[^\s|]+)*|#[\p{L}\p{N}_]+",
+    r"<a\b[^<>]{0,2000}>(?:(?!</?a\b).){0,500}+</a>|!?\[[^\[\]\n]{0,300}+\]\([^()\n]{0,2000}+\)|(?:h(?:tt|xx)ps?:?//|www" + _DOT + r")\S++(?:\s/\s\S++)*"
+    r"|(?<![\p{L}\p{N}@-])[a-z0-9][a-z0-9-]{0,62}+(?:" + _DOT + r"[a-z][a-z0-9-]{1,62}+)+(?:\s?/\s?[^\s|]++)*|#[\p{L}\p{N}_]++",
     regex.IGNORECASE | regex.DOTALL,
 )
 _TAG = regex.compile(r"<[^<>\n]{0,300}>")

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from fareloom.llm.spam import measure, spam_shares
@@ -64,3 +66,11 @@ def test_one_row_per_document_and_empty_tables(spark):
 
 def test_measures_of_nothing():
     assert measure(None) == [] and measure(" \n") == []
+
+
+def test_very_long_texts_take_proportional_time():
+    n = 200_000
+    for text in ("a" * n, "a-" * n, "<a " * n, "[x" * n, "((" * n, "a." * n, "x dot " * n, "|" * n, "/ " * n, "#" * n, "http://" * n, ">" * n, "한" * n, ". " * n, "\n" * n, "www." * n):
+        began = time.process_time()
+        measure(text)
+        assert time.process_time() - began < 20, text[:10]
