@@ -40,6 +40,8 @@ class TextColumn:
     names: tuple[str, ...]
 
 
+#: Counted values that one range holds, about, and ranges at least.
+RANGE_ROWS, LEAST_RANGES = 250_000, 8
 _STRUCT = "struct<column_name:string,num:double,txt:string>"
 
 
@@ -111,7 +113,7 @@ def _range_stats(percents: tuple[float, ...]):
     return stats
 
 
-def column_profile(df: DataFrame, load: str, columns: list[NumberColumn | TextColumn], percents: tuple[float, ...] = (0.25, 0.5, 0.75), ranges: int = 32) -> DataFrame:
+def column_profile(df: DataFrame, load: str, columns: list[NumberColumn | TextColumn], percents: tuple[float, ...] = (0.25, 0.5, 0.75), range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row per load and column: ``load_id, column_name, rows, nulls, fitting, misfits, distinct_values, min_value, max_value, q25.., top_value, top_share, zeros, ks``.
 
     ``fitting`` values lie in the expected range or are spelled exactly as expected, ``misfits`` are the other known ones (infinite numbers too).
@@ -140,6 +142,8 @@ def column_profile(df: DataFrame, load: str, columns: list[NumberColumn | TextCo
         counted(F.col("fits") & first).alias("first_name"),
         counted(F.col("known") & (F.col("num") < low)).alias("below"),
     )
+    # The number of ranges follows the data, so that each fits in one task.
+    ranges = max(LEAST_RANGES, -(-freq.count() // range_rows))
     known = freq.where("known").select("load_id", "column_name", "num", "txt", "n")
     # Written once, so that the ranges stay the same whatever is recomputed.
     sort = ["column_name", "num", "txt"]

@@ -22,7 +22,7 @@ def data():
 def test_exact_figures(spark):
     rows = data()
     df = spark.createDataFrame(rows, "load_id string, pay double, tier string, none double, n string").repartition(4)
-    got = {(r.load_id, r.column_name): r for r in column_profile(df, "load_id", COLUMNS, ranges=5).collect()}
+    got = {(r.load_id, r.column_name): r for r in column_profile(df, "load_id", COLUMNS, range_rows=20).collect()}
     assert len(got) == 15
     known = {load: [p + 0.0 for x, p, *_ in rows if x == load and p is not None and not math.isnan(p)] for load in {r[0] for r in rows}}
     every = [v for vs in known.values() for v in vs]
