@@ -46,3 +46,21 @@ def cents(c: Column, most: float = 1e12) -> Column:
     return F.when(finite(c) & (F.abs(c) <= F.lit(most)), F.round(c * 100).cast("bigint"))
 
 
+
+
+def natural_key(columns: list[str], occurrence: Column | None = None) -> Column:
+    """SHA-256 of the columns' values as text, nulls marked, with the number of the occurrence where rows repeat."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
+    if occurrence is not None:
+        parts.append(occurrence.cast("string"))
+    return F.sha2(F.concat_ws("\u001f", *parts), 256)
+
+
+def seed_of(*parts: Column, base: int = 0) -> Column:
+    """A number from 0 up to 2^60 that depends on the parts alone: the seed of an entity's random draws."""
+    return F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(base), *parts), 256), 1, 15), 16, 10).cast("bigint")
+
+
+def bucket_of(c: Column, buckets: int, seed: int = 0) -> Column:
+    """A bucket from 0 that any engine with SHA-256 computes alike."""
+    return F.pmod(F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(seed), c), 256), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))

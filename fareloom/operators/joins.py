@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareloom.functions.columns import bucket_of
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, key: list[str], null_safe: list[str], how: str = "inner") -> DataFrame:
     """Join on equal ``key`` columns and on ``null_safe`` columns that are equal or both null. The right copies of both are dropped."""
@@ -78,5 +80,4 @@ def bucketed_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
     Choose ``buckets`` so that the smaller side has a bounded number of rows in each; pairs then grow with the larger side only.
     """
-    number = lambda c: F.pmod(F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(seed), F.col(c)), 256), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
-    return left.withColumn("bucket", number(left_key)).join(right.withColumn("bucket", number(right_key)), "bucket")
+    return left.withColumn("bucket", bucket_of(F.col(left_key), buckets, seed)).join(right.withColumn("bucket", bucket_of(F.col(right_key), buckets, seed)), "bucket")

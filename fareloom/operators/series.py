@@ -68,3 +68,9 @@ def staleness(df: DataFrame, key: list[str], at: str, as_of: str, allowed_days:
 def merge_daily(a: DataFrame, b: DataFrame, days: DataFrame, day: str) -> DataFrame:
     """Every day of ``days`` with the columns of both series and ``complete``."""
     return days.join(a.withColumn("_a", F.lit(True)), day, "left").join(b.withColumn("_b", F.lit(True)), day, "left").withColumn("complete", F.col("_a").isNotNull() & F.col("_b").isNotNull()).drop("_a", "_b")
+
+
+def forward_fill(df: DataFrame, key: list[str], at: str, columns: list[str]) -> DataFrame:
+    """Nulls take the last value before them in the order of ``at``; leading nulls stay."""
+    order = Window.partitionBy(*key).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(order) for c in columns})

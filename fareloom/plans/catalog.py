@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareloom.functions.columns import cents, clean_id, finite, seconds, stamp, unusable, within
-from fareloom.operators import aggregates, allocation, assignment, events, joins, quality, series
+from fareloom.functions.columns import cents, clean_id, finite, natural_key, seconds, stamp, unusable, within
+from fareloom.operators import aggregates, allocation, assignment, draws, events, joins, quality, series
 from fareloom.sources import readers
 from fareloom.sources.tables import USABLE_FROM, USABLE_TO, table
 from fareloom.sources.versions import expired_versions
@@ -500,6 +500,40 @@ def snapshot_balance(spark: SparkSession, folder: str) -> DataFrame:
     return d.groupBy("snapshot_month").agg(F.count("*").alias("total"), F.count_if(F.coalesce(gone, F.lit(False))).alias("gone")).withColumn("left", F.col("total") - F.col("gone"))
 
 
+def trip_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A key for every delivered trip: its columns and the number of the occurrence."""
+    same = ["taxi_id", "PULocationID", "DOLocationID", "trip_time"]
+    t = aggregates.occurrence(_trips(spark, folder).select(*same, "pickup_datetime"), [*same, "pickup_datetime"], ["pickup_datetime"])
+    t = t.withColumn("at", stamp(seconds(F.col("pickup_datetime"))))
+    return t.select(natural_key([*same, "at"], F.col("occurrence")).alias("trip_key"), "taxi_id", "occurrence")
+
+
+def day_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips of a borough's day against the interpolated weekly level of that day: a join on a derived date."""
+    level = series.interpolate(_weekly(spark, folder), spark.range(31, 151).select(F.col("id").cast("int").alias("at")), "at", "value").select("at", "value")
+    t = _trips(spark, folder).groupBy(F.datediff("day", F.lit("2025-01-01").cast("date")).alias("at")).agg(F.count("*").alias("trips"))
+    return t.join(level, "at").select("at", "trips", F.round(F.col("trips") / F.col("value"), 6).alias("ratio"))
+
+
+def overbooked_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Models of a snapshot that the inventory lacks or that more drivers have than it has units."""
+    used = _drivers(spark, folder).groupBy("snapshot_month", F.col("vehicle_model_id").alias("model")).agg(F.count_distinct("driver_id").alias("used"))
+    stock = table(spark, folder, "inventory").select(F.col("vehicle_model_id").alias("model"), (F.col("stock") % 9).alias("stock"))
+    return used.join(F.broadcast(stock), "model", "left").where(F.col("stock").isNull() | (F.col("used") > F.col("stock")))
+
+
+def filled_fees(spark: SparkSession, folder: str) -> DataFrame:
+    """A driver's fee of each month, carried forward where it is missing."""
+    fee = F.when(finite(F.col("weekly_lease_fee")), F.round(F.col("weekly_lease_fee") * 100).cast("bigint"))
+    d = _drivers(spark, folder).groupBy("driver_id", "snapshot_month").agg(F.max(fee).alias("fee_cents"))
+    return series.forward_fill(d, ["driver_id"], "snapshot_month", ["fee_cents"])
+
+
+def driver_traits(spark: SparkSession, folder: str) -> DataFrame:
+    """Random traits per driver, the same in every run."""
+    return draws.seeded_traits(_drivers(spark, folder).select("driver_id").distinct(), "driver_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -508,6 +542,6 @@ QUERIES = {
         driver_month_totals, tier_rates, totals_kept, trip_key_counts, repeated_trips, zone_minutes, fleet_by_model, maker_ranges, first_taxi, snapshot_kpis, top_zones, top_makers, profit_histogram,
         working_capacity, shared_units, numbered_units, snapshot_grain, best_attributions, occurrences, dear_trips, newest_version, expired, best_hours, all_versions, month_calendar,
         daily_from_weekly, monthly_fees, daily_completeness, stale_taxis, decayed_activity, folded_users, rebuilt_states, accepted_requests, single_pass_requests, bucketed_candidates, greedy_trips,
-        attribution_quality, required_values, snapshot_balance,
+        attribution_quality, required_values, snapshot_balance, trip_keys, day_loads, overbooked_models, filled_fees, driver_traits,
     )
 }

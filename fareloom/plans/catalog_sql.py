@@ -194,4 +194,16 @@ FROM a GROUP BY service_date""",
     "snapshot_balance": f"""WITH {_DRIVERS}, d AS (SELECT snapshot_month, driver_id, max(exit_date) AS x FROM drivers GROUP BY ALL),
 c AS (SELECT snapshot_month, count(*) AS total, count(*) FILTER (WHERE x <= last_day(CAST(snapshot_month || '-01' AS DATE))) AS gone FROM d GROUP BY 1)
 SELECT *, total - gone AS "left" FROM c""",
+    "trip_keys": f"""WITH {_TRIPS}, o AS (
+  SELECT *, row_number() OVER (PARTITION BY taxi_id, PULocationID, DOLocationID, trip_time, pickup_datetime) AS occurrence FROM trips)
+SELECT sha256(concat_ws(chr(31), {', '.join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in ('taxi_id', 'PULocationID', 'DOLocationID', 'trip_time'))}, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), occurrence)) AS trip_key, taxi_id, occurrence FROM o""",
+    "day_loads": f"""WITH {_TRIPS}, c AS (SELECT CAST(day - DATE '2025-01-01' AS INTEGER) AS x, count(*) AS n FROM trips GROUP BY day),
+p AS (SELECT x, CAST(n AS DOUBLE) AS y FROM c WHERE x % 7 = 0 AND x BETWEEN 45 AND 130),
+m AS (SELECT c.x, c.n, (SELECT max(x) FROM p WHERE p.x <= c.x) AS b, (SELECT min(x) FROM p WHERE p.x >= c.x) AS a FROM c WHERE c.x BETWEEN 31 AND 150)
+SELECT m.x AS "at", n AS trips, round(n / CASE WHEN b IS NULL THEN pa.y WHEN a IS NULL THEN pb.y WHEN a = b THEN pa.y ELSE pb.y + (pa.y - pb.y) * (m.x - b) / (a - b) END, 6) AS ratio
+FROM m LEFT JOIN p pb ON pb.x = m.b LEFT JOIN p pa ON pa.x = m.a""",
+    "overbooked_models": f"""WITH {_DRIVERS}, u AS (SELECT snapshot_month, vehicle_model_id AS model, count(DISTINCT driver_id) AS used FROM drivers GROUP BY ALL)
+SELECT model, snapshot_month, used, stock % 9 AS stock FROM u LEFT JOIN inventory ON vehicle_model_id = model WHERE stock IS NULL OR used > stock % 9""",
+    "filled_fees": f"""WITH {_DRIVERS}, d AS (SELECT driver_id, snapshot_month, max(CASE WHEN isfinite(weekly_lease_fee) THEN CAST(round(weekly_lease_fee * 100) AS BIGINT) END) AS f FROM drivers GROUP BY ALL)
+SELECT driver_id, snapshot_month, last_value(f IGNORE NULLS) OVER (PARTITION BY driver_id ORDER BY snapshot_month ROWS UNBOUNDED PRECEDING) AS fee_cents FROM d""",
 }

@@ -112,3 +112,22 @@ def test_columns(spark):
     df = spark.createDataFrame([(" ab ", 1.01), ("  ", float("nan")), (None, float("-inf")), ("x", 1e15), ("y", None)], "s string, v double")
     got = df.select(clean_id(F.col("s")).alias("s"), finite(F.col("v")).alias("f"), cents(F.col("v")).alias("c")).collect()
     assert [(r.s, r.f, r.c) for r in got] == [("AB", True, 101), (None, False, None), (None, False, None), ("X", True, None), ("Y", False, None)]
+
+
+def test_seeded_draws_repeat(spark):
+    from fareloom.operators.draws import seeded_traits
+
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "k string")
+    once = sorted((r.k, r.activity, r.prefers, tuple(r.weights)) for r in seeded_traits(df, "k").collect())
+    again = sorted((r.k, r.activity, r.prefers, tuple(r.weights)) for r in seeded_traits(df.repartition(3), "k").collect())
+    assert once == again and len(once) == 3 and once[0] == once[1] != once[2] and abs(sum(once[0][3]) - 1) < 1e-9
+
+
+def test_forward_fill_and_command_line(spark, tmp_path):
+    from fareloom.__main__ import main
+
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, 5), ("a", 3, None), ("b", 9, None)], "k string, at int, v int")
+    assert {(r.k, r["at"]): r.v for r in series.forward_fill(df, ["k"], "at", ["v"]).collect()} == {("a", 1): None, ("a", 2): 5, ("a", 3): 5, ("b", 9): None}
+    spark.createDataFrame([("x", 2)], "vehicle_model_id string, stock int").write.parquet(f"file://{tmp_path}/inventory.parquet")
+    main(["numbered_units", "--tables", f"file://{tmp_path}", "--out", f"file://{tmp_path}/out", "--limit", "5", "--format", "csv"])
+    assert spark.read.option("header", True).csv(f"file://{tmp_path}/out").count() == 2
