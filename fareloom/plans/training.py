@@ -12,6 +12,7 @@ from fareloom.operators.rolling import rolling_totals
 from fareloom.operators.sessions import sessions
 from fareloom.operators.skew import heavy_keys, key_modes, key_percentiles, key_totals, value_frequencies
 from fareloom.operators.snapshots import snapshot_changes
+from fareloom.session import written
 from fareloom.sources.tables import USABLE_FROM, USABLE_TO, table
 
 SESSION_GAP = 240 * 60
@@ -78,7 +79,8 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_key_pay(spark: SparkSession, folder: str) -> DataFrame:
     """Trips, pay, its distinct values, mode and exact percentiles per key."""
-    freq = value_frequencies(table(spark, folder, "monthly_taxi_trip"), HOT_KEYS, cents(F.col("driver_pay")))
+    # Written once: totals, modes and percentiles all start from it.
+    freq = written(value_frequencies(table(spark, folder, "monthly_taxi_trip"), HOT_KEYS, cents(F.col("driver_pay"))), "freq")
     key = ["key_column", "key_value"]
     shares = key_percentiles(freq, [50, 90]).groupBy(*key).agg(*(F.max(F.when(F.col("percent") == p, F.col("value"))).alias(f"pay_cents_p{p}") for p in (50, 90)))
     totals = key_totals(freq).select(*key, F.col("rows").alias("trips"), F.col("distinct_values").alias("pay_values"), F.col("total").alias("pay_cents"))
