@@ -1,14 +1,16 @@
 """Greedy assignment of timed jobs to agents that move between places.
 
 The decision for a job depends on all earlier ones of its group, so a group (a bucket and a day)
-is one Arrow-backed call; groups are independent and bounded by how buckets are chosen.
+is walked through in order; groups are independent and bounded by how buckets are chosen.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,26 +28,36 @@ class Limits:
 
 
 OUT = "job string, agent string, sequence int, way_minutes double, reason string"
+_ORDER = ["start", "job", "score", "tie", "agent"]
 
 
-def assign_group(rows: pd.DataFrame, travel: dict[tuple[int, int], float], limits: Limits) -> pd.DataFrame:
-    """Jobs in order of start go to the first feasible candidate by score; one row per job, with what stopped the last candidate where none was feasible."""
-    rows = rows.sort_values(["start", "job", "score", "tie", "agent"], ascending=[True, True, False, True, True], kind="stable")
-    state: dict[str, list] = {}  # agent: first start, last end, last place, minutes, jobs
-    out: list[tuple] = []
-    done: str | None = None
-    for job, agent, start, end, origin, target in zip(rows.job, rows.agent, rows.start, rows.end, rows.origin, rows.target, strict=True):
-        if job == done:
-            continue
-        if not out or out[-1][0] != job:
-            out.append((job, None, None, None, "none"))
-        have = state.get(agent)
-        drive, way, why = (end - start) / 60, 0.0, ""
+class Group:
+    """The agents of one group so far, and the job being decided."""
+
+    __slots__ = ("agents", "decided", "job", "limits", "result", "travel")
+
+    def __init__(self, travel: dict[tuple[int, int], float], limits: Limits) -> None:
+        self.travel, self.limits = travel, limits
+        self.agents: dict[str, list] = {}  # first start, last end, last place, minutes, jobs
+        self.job: str | None = None
+        self.result: tuple | None = None
+        self.decided = False
+
+    def offer(self, job: str, agent: str, start: int, end: int, origin: int, target: int) -> tuple | None:
+        """The next candidate in order; gives the finished result of the job before when a new one begins."""
+        finished = None
+        if job != self.job:
+            finished, self.job, self.decided = self.result, job, False
+            self.result = (job, None, None, None, "none")
+        if self.decided:
+            return finished
+        have, limits = self.agents.get(agent), self.limits
+        drive, way, why = (end - start) / 60, 0.0, None
         if have is None:
             if drive > limits.work:
                 why = "work"
         else:
-            way = 0.0 if have[2] == origin else travel.get((have[2], origin))
+            way = 0.0 if have[2] == origin else self.travel.get((have[2], origin))
             if way is None:
                 why = "unknown way"
             elif way > limits.way:
@@ -57,27 +69,72 @@ def assign_group(rows: pd.DataFrame, travel: dict[tuple[int, int], float], limit
             elif have[3] + drive + way > limits.work:
                 why = "work"
         if why:
-            out[-1] = (job, None, None, None, why)
-            continue
+            self.result = (job, None, None, None, why)
+            return finished
         if have is None:
-            have = state[agent] = [start, end, target, 0.0, 0]
+            have = self.agents[agent] = [start, end, target, 0.0, 0]
         have[1:] = [end, target, have[3] + drive + way, have[4] + 1]
-        out[-1] = (job, agent, have[4], way, None)
-        done = job
-    return pd.DataFrame(out, columns=["job", "agent", "sequence", "way_minutes", "reason"]).astype({"sequence": "Int32", "way_minutes": "float64"})
+        self.result, self.decided = (job, agent, have[4], way, None), True
+        return finished
+
+
+def assign_group(rows: pd.DataFrame, travel: dict[tuple[int, int], float], limits: Limits) -> list[tuple]:
+    """One group in memory: ``job, agent, sequence, way_minutes, reason`` of each job."""
+    rows = rows.sort_values(_ORDER, ascending=[True, True, False, True, True], kind="stable")
+    group, out = Group(travel, limits), []
+    for row in zip(rows.job, rows.agent, rows.start, rows.end, rows.origin, rows.target, strict=True):
+        out.append(group.offer(*row))
+    return [r for r in [*out, group.result] if r is not None]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.string(), pa.int32(), pa.float64(), pa.string()]
+    return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["job", "agent", "sequence", "way_minutes", "reason"])
+
+
+def _assign(travel: dict[tuple[int, int], float], limits: Limits, keys: int):
+    """Rows sorted by group and order; one group is in memory at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, group, done = None, Group(travel, limits), []
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for key, *row in zip(zip(*columns[:keys], strict=True), *columns[keys : keys + 6], strict=True):
+                if key != now:
+                    if group.result:
+                        done.append(group.result)
+                    now, group = key, Group(travel, limits)
+                if (finished := group.offer(*row)) is not None:
+                    done.append(finished)
+            if len(done) > 10_000:
+                yield _batch(done)
+                done = []
+        if group.result:
+            done.append(group.result)
+        if done:
+            yield _batch(done)
+
+    return run
 
 
 def greedy_assignment(candidates: DataFrame, travel: DataFrame, group: list[str], limits: Limits = Limits()) -> DataFrame:
     """``job, agent, sequence, way_minutes, reason`` for every job of the candidates.
 
-    ``candidates``: the ``group`` columns, ``job, agent, start, end`` (seconds), ``origin, target`` (places), ``score`` and ``tie``.
+    In each group jobs are taken by start (then job), and given to the first feasible candidate by score (then tie, then agent); a job that no candidate
+    can take has no agent and what stopped the last one. ``candidates``: the ``group`` columns, ``job, agent, start, end`` (seconds), ``origin, target`` (places), ``score`` and ``tie``.
     ``travel``: ``origin, target, minutes``, one row per pair of places that is known; it must be bounded, which is checked.
     Rows with a null job, agent or time are left out. Counts of reasons come from the rows, so a task that runs twice doesn't count twice.
+    Groups are sorted by Spark and walked through in one pass, so many small groups cost no more than a few large ones.
     """
     pairs = travel.where("minutes is not null").limit(MOST_PAIRS + 1).collect()
     if len(pairs) > MOST_PAIRS:
         raise ValueError("too many place pairs to send along")
     known = {(r.origin, r.target): float(r.minutes) for r in pairs}
     rows = candidates.where("job is not null and agent is not null and start is not null and end is not null")
-    rows = rows.select(*group, F.col("job").cast("string"), F.col("agent").cast("string"), F.col("start").cast("bigint"), F.col("end").cast("bigint"), "origin", "target", F.col("score").cast("double"), F.col("tie").cast("string"))
-    return rows.groupBy(*group).applyInPandas(lambda g: assign_group(g, known, limits), OUT)
+    rows = rows.select(
+        *(F.col(g).alias(f"g{i}") for i, g in enumerate(group)), F.col("job").cast("string"), F.col("agent").cast("string"), F.col("start").cast("bigint"), F.col("end").cast("bigint"),
+        F.col("origin").cast("int"), F.col("target").cast("int"), F.col("score").cast("double"), F.col("tie").cast("string"),
+    )
+    keys = [f"g{i}" for i in range(len(group))]
+    ordered = rows.repartition(*keys).sortWithinPartitions(*keys, "start", "job", F.desc("score"), "tie", "agent")
+    return ordered.mapInArrow(_assign(known, limits, len(keys)), OUT)

@@ -9,7 +9,7 @@ TRAVEL = {(2, 3): 10.0, (5, 6): 45.0}
 
 def run(rows, limits=Limits()):
     got = assign_group(pd.DataFrame(rows, columns=COLUMNS), TRAVEL, limits)
-    return {r.job: (r.agent, None if pd.isna(r.sequence) else int(r.sequence), r.reason) for r in got.itertuples()}
+    return {job: (agent, sequence, reason) for job, agent, sequence, _, reason in got}
 
 
 def test_best_score_then_tie_then_agent():
@@ -36,3 +36,18 @@ def test_a_busy_agent_leaves_the_job_to_the_next(spark):
     got = sorted((r.job, r.agent) for r in greedy_assignment(df, travel, ["g"]).collect())
     assert got == [("j1", "a"), ("j1", "z"), ("j2", "b")]
     assert greedy_assignment(df.limit(0), travel, ["g"]).count() == 0
+
+
+def test_many_groups_are_those_of_single_ones(spark):
+    import random
+
+    rnd = random.Random(8)
+    rows = [(f"j{j}", f"a{a}", s := rnd.randrange(80_000), s + rnd.randrange(60, 4000), rnd.randrange(6), rnd.randrange(6), rnd.random(), "t", j % 37) for j in range(400) for a in range(j % 5)]
+    starts = {}
+    rows = [(j, a, *starts.setdefault(j, (s, e, o, t)), x, y, g) for j, a, s, e, o, t, x, y, g in rows]
+    df = spark.createDataFrame(rows, "job string, agent string, start bigint, end bigint, origin int, target int, score double, tie string, g int").repartition(6)
+    travel = {(o, t): float(abs(o - t) * 9) for o in range(6) for t in range(6)}
+    got = sorted((tuple(r) for r in greedy_assignment(df, spark.createDataFrame([(o, t, m) for (o, t), m in travel.items()], "origin int, target int, minutes double"), ["g"]).collect()), key=str)
+    frame = pd.DataFrame(rows, columns=[*COLUMNS, "g"])
+    want = sorted((r for _, part in frame.groupby("g") for r in assign_group(part.drop(columns="g"), travel, Limits())), key=str)
+    assert got == want
