@@ -13,6 +13,7 @@ One pass in Python measures; calibration and thresholds are column expressions o
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -50,6 +51,8 @@ _LINK = regex.compile(
     r"|(?<![\p{L}\p{N}@-])[a-z0-9][a-z0-9-]{0,62}+(?:" + _DOT + r"[a-z][a-z0-9-]{1,62}+)+(?:\s?/\s?[^\s|]++)*|#[\p{L}\p{N}_]++",
     regex.IGNORECASE | regex.DOTALL,
 )
+#: What every link has somewhere; most texts have none of it.
+_LINK_HINT = re.compile(r"<a|\]\(|ps?:?//|www|#|[a-z0-9-](?:\.|\[\.\]|\(\.\)|\{\.\}|\s[\[(]?dot[\])]?\s)[a-z]", re.IGNORECASE)
 _TAG = regex.compile(r"<[^<>\n]{0,300}>")
 _VERB = regex.compile(r"\p{Hangul}(?:니다|니까|세요|어요|아요|네요|군요|까요|다|요|죠)$")
 _QUOTED = regex.compile(r"^(?:[>|]+\s*)+")
@@ -124,7 +127,8 @@ def segments(text: str) -> list[str]:
 
 
 def _weight(words: list[str]) -> int:
-    return sum(min(len(w), MOST_COUNTED) for w in words)
+    sizes = list(map(len, words))
+    return sum(sizes) if max(sizes, default=0) <= MOST_COUNTED else sum(min(n, MOST_COUNTED) for n in sizes)
 
 
 def measure(text: str | None) -> list[tuple]:
@@ -138,7 +142,9 @@ def measure(text: str | None) -> list[tuple]:
         links.append(min(MOST_COUNTED, sum(c.isalnum() for c in m.group()) or 1))
         return _LINK_MARK
 
-    plain = _TAG.sub(" ", _LINK.sub(mark, text))
+    plain = _LINK.sub(mark, text) if _LINK_HINT.search(text) else text
+    if "<" in plain:
+        plain = _TAG.sub(" ", plain)
     parts = segments(plain)
     spoken = [[w.lower() for w in _WORD.findall(p)] for p in parts]
     # Numbers are neither function words nor keywords.
