@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Intervals that a fold before the shuffle keeps in memory before it passes them on.
-HELD = 400_000
+#: Rows that a fold before the shuffle takes in before it passes its maps on.
+HELD = 1_000_000
 
 
 class IntervalMap:
@@ -77,7 +77,9 @@ def _fold_rows(bucket_seconds: int):
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], IntervalMap] = {}
+        rows = 0
         for batch in batches:
+            rows += batch.num_rows
             for key, start, end in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 at = (key, start // bucket_seconds)
                 kept = held.get(at)
@@ -85,9 +87,9 @@ def _fold_rows(bucket_seconds: int):
                     held[at] = IntervalMap([start], [end])
                 else:
                     kept.insert(start, end)
-            if sum(map(len, held.values())) > HELD:
+            if rows > HELD:
                 yield _batch(list(held.items()))
-                held = {}
+                held, rows = {}, 0
         if held:
             yield _batch(list(held.items()))
 

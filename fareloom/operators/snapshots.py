@@ -18,7 +18,7 @@ def snapshot_changes(df: DataFrame, group: list[str], version: str, key: str, co
     Within ``group`` each version is compared with the next lower one that occurs; the lowest yields nothing.
     Two states of a key differ when any of ``compared`` differs, null being a value of its own; other columns are not read.
     Repeated rows are one. A key with several different rows in a snapshot is compared by the set of them.
-    Rows with a null key name nobody, but still make their snapshot exist. ``old`` and ``new`` are arrays of structs, null where the key is absent.
+    Rows with a null key name nobody, but still make their snapshot exist; rows with a null group or version belong to no snapshot. ``old`` and ``new`` are arrays of structs, null where the key is absent.
     """
     state = F.struct(*(F.col(c) for c in compared))
     keyed = df.select(*group, version, key, *compared)
