@@ -19,9 +19,18 @@ from fareloom.session import drop_written, written
 
 
 def link_blocks(df: DataFrame, key: str, at: str, gap: int) -> DataFrame:
-    """``k, b, first, last, n``: the events of an entity in each block of ``gap`` seconds."""
+    """``k, b, first, last, n, linked``: the events of an entity in each block of ``gap`` seconds, and whether the block before is within the gap.
+
+    Every event also tells the block after its own how late it is, so that one aggregation gives both.
+    """
     events = df.select(F.col(key).alias("k"), F.col(at).cast("bigint").alias("t")).where("k is not null and t is not null")
-    return events.groupBy("k", F.floor(F.col("t") / F.lit(gap)).cast("bigint").alias("b")).agg(F.min("t").alias("first"), F.max("t").alias("last"), F.count("*").alias("n"))
+    block = F.floor(F.col("t") / F.lit(gap)).cast("bigint")
+    told = F.array(
+        F.struct(block.alias("b"), F.col("t").alias("own"), F.lit(None).cast("bigint").alias("prior")),
+        F.struct((block + 1).alias("b"), F.lit(None).cast("bigint").alias("own"), F.col("t").alias("prior")),
+    )
+    blocks = events.select("k", F.inline(told)).groupBy("k", "b").agg(F.min("own").alias("first"), F.max("own").alias("last"), F.count("own").alias("n"), F.max("prior").alias("prior"))
+    return blocks.where("n > 0").withColumn("linked", F.coalesce(F.col("first") - F.col("prior") <= gap, F.lit(False))).drop("prior")
 
 
 def sessions(df: DataFrame, key: str, at: str, gap: int) -> DataFrame:
@@ -34,10 +43,9 @@ def sessions(df: DataFrame, key: str, at: str, gap: int) -> DataFrame:
     if gap < 1:
         raise ValueError("gap must be a positive number of seconds")
     blocks = written(link_blocks(df, key, at, gap), "blocks")
-    before = blocks.select("k", (F.col("b") + 1).alias("b"), F.col("last").alias("prior"))
+    members = blocks.where("linked")
     # Pointers of the blocks that aren't roots; a block absent here is a root.
-    linked = blocks.select("k", "b", "first").join(before, ["k", "b"]).where(F.col("first") - F.col("prior") <= gap)
-    pointers = written(linked.select("k", "b", (F.col("b") - 1).alias("p"), F.lit(False).alias("done")), "pointers")
+    pointers = written(members.select("k", "b", (F.col("b") - 1).alias("p"), F.lit(False).alias("done")), "pointers")
     while not pointers.where(~F.col("done")).isEmpty():
         onward = pointers.select("k", F.col("b").alias("p"), F.col("p").alias("p2"), F.col("done").alias("done2"))
         doubled = pointers.where(~F.col("done")).join(onward, ["k", "p"], "left").select(
@@ -46,9 +54,10 @@ def sessions(df: DataFrame, key: str, at: str, gap: int) -> DataFrame:
         stable = pointers
         pointers = written(stable.where("done").unionByName(doubled), "pointers")
         drop_written(stable)
-    rooted = blocks.join(pointers.select("k", "b", "p"), ["k", "b"], "left")
+    columns = ["k", "root", "first", "last", "n"]
+    rooted = members.join(pointers.select("k", "b", F.col("p").alias("root")), ["k", "b"]).select(*columns).unionByName(blocks.where("not linked").withColumn("root", F.col("b")).select(*columns))
     return (
-        rooted.groupBy("k", F.coalesce("p", "b").alias("root"))
+        rooted.groupBy("k", "root")
         .agg(F.min("first").alias("start"), F.max("last").alias("end"), F.sum("n").alias("events"))
         .select(F.col("k").alias(key), "start", "end", (F.col("end") - F.col("start")).alias("duration"), "events")
     )
