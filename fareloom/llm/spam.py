@@ -166,6 +166,9 @@ def measure(text: str | None) -> list[tuple]:
             functional = [w for w in words if _KO_ENDING.search(w)]
             extra = 1 if words and _VERB.search(words[-1]) else 0
             own = frozenset(functional)
+        elif words and 2 * sum(w[0] < "\u0250" for w in words) < len(words):
+            # A script of neither language: what its function words are isn't known, so only links and repetition count.
+            lang, functional, extra, own = "other", words, 0, frozenset()
         else:
             by = {k: [w for w in words if w in v] for k, v in FUNCTION_WORDS.items()}
             lang = max(by, key=lambda k: len(by[k]))
@@ -201,7 +204,7 @@ def page_measures(docs: DataFrame) -> DataFrame:
 
 def function_bounds(measures: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """``lang, bound``: per language the share of function words below which a segment is no writing."""
-    each = measures.select(F.inline("segments")).where("words >= 5 and linked * 2 < size")
+    each = measures.select(F.inline("segments")).where("lang <> 'other' and words >= 5 and linked * 2 < size")
     share = F.round(F.col("function") / F.col("words"), 2)
     counted = each.groupBy("lang", share.alias("share")).agg(F.count("*").alias("n"))
     middle = F.percentile("share", F.lit(0.5), F.col("n"))
@@ -212,7 +215,8 @@ def spam_shares(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """``doc_id, size, share, words, links, spam`` of every document; ``size`` counts letters and digits (of a word or link at most 20), ``share`` of them are no writing.
 
     Null, empty and blank texts have size 0 and are never spam, nor is a text of fewer than ``least_words`` words (a link
-    counts as two): a bare title is no page. Repeated rows are judged each. Other columns are not read.
+    counts as two): a bare title is no page. Repeated rows are judged each. Segments in a script
+    that is neither Latin nor Hangul are judged by links and repetition alone. Other columns are not read.
     """
     measures = written(page_measures(docs), "measures")
     by_lang = function_bounds(measures, bounds).agg(F.map_from_entries(F.collect_list(F.struct("lang", "bound"))).alias("bounds"))

@@ -44,6 +44,10 @@ def verdicts(spark):
             want[f"{lang} {name}"] = False
         rows.append((f"{lang} twice", text + "\n" + text))
         want[f"{lang} twice"] = False
+    rows.append(("russian", "Машина стоит во дворе с понедельника, и никто не знает, когда её заберут. Сменщик сказал, что отчёт придёт вечером, а страховка уже оплачена."))
+    want["russian"] = False
+    rows.append(("russian keywords", "аренда такси дешево аренда такси бонус " * 20))
+    want["russian keywords"] = True
     for i, short in enumerate([None, "", "  \n", "ok", "Tips?", "🚕", "VM-014"]):
         rows.append((f"short {i}", short))
         want[f"short {i}"] = False
