@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.session import drop_written, written
 
+#: Requests up to which a group's rounds are played in one task; beyond, each round is a distributed step.
+IN_ONE_TASK = 500_000
+
 
 def preference_ranks(candidates: DataFrame, agent: list[str], order: list[Column]) -> DataFrame:
     """Adds ``rank`` per agent by ``order``, which should end in something unique."""
     return candidates.withColumn("rank", F.row_number().over(Window.partitionBy(*agent).orderBy(*order)))
 
 
-def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str] | None = None) -> DataFrame:
+def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str] | None = None, in_one_task: int = IN_ONE_TASK) -> DataFrame:
     """One row per agent that gets something: immediate acceptance in rounds of preference.
 
     ``ranked`` has a row per agent and item with ``rank`` (1 is best) and the boolean ``own``. In round r every agent still without an item asks for
@@ -21,11 +25,14 @@ def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: st
     ``stock``: item and ``free``, the units that may be given in each ``group``; items it lacks have none. ``agent`` includes the ``group`` columns.
 
     Choices below an agent's own can't matter and are dropped first, so there are at most as many rounds as any agent has better choices.
-    Each round is a written table: its plan is one scan, and it survives a lost executor.
+    Up to ``in_one_task`` requests in all are played out group by group in single tasks. Beyond that each round is a written table: its plan is one scan,
+    and it survives a lost executor. Both ways give the same rows.
     """
     group = group or []
     own_rank = ranked.where(F.col(own)).groupBy(*agent).agg(F.min("rank").alias("_own"))
     asked = written(ranked.join(own_rank, agent, "left").where(F.col("_own").isNull() | (F.col("rank") <= F.col("_own"))).drop("_own"), "asked")
+    if asked.count() <= in_one_task:
+        return _played_out(asked, agent, item, own, priority, stock, group)
     rounds = asked.agg(F.max("rank")).first()[0] or 0
     free = stock.select(F.col(item).alias("_item"), F.col("free").alias("_free"))
     given: DataFrame | None = None
@@ -56,3 +63,29 @@ def single_pass(ranked: DataFrame, agent: list[str], item: str, own: str, priori
     free = stock.select(F.col(item).alias("_item"), F.col("free").alias("_free"))
     feasible = ranked.withColumn("_place", place).join(free, F.col(item) == F.col("_item"), "left").where(F.col(own) | (F.col("_place") <= F.coalesce("_free", F.lit(0))))
     return feasible.withColumn("_best", F.row_number().over(Window.partitionBy(*agent).orderBy("rank"))).where("_best = 1").drop("_best", "_place", "_item", "_free")
+
+
+def _played_out(asked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str]) -> DataFrame:
+    """All rounds of a group in one task. The order of requests for an item is fixed beforehand as ``_place``."""
+    free = stock.select(F.col(item).alias("_item"), F.col("free").alias("_free"))
+    placed = asked.withColumn("_place", F.row_number().over(Window.partitionBy(*group, item, own).orderBy(*priority)))
+    placed = placed.join(free, F.col(item) == F.col("_item"), "left").withColumns({"_free": F.coalesce("_free", F.lit(0)), "_agent": F.to_json(F.struct(*agent))}).drop("_item")
+    names = asked.columns
+
+    def play(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["rank", "_place"], kind="stable").reset_index(drop=True)
+        given: set[str] = set()
+        used: dict[str, int] = {}
+        won = []
+        for i, who, what, mine, left in zip(rows.index, rows["_agent"], rows[item], rows[own], rows["_free"], strict=True):
+            if who in given:
+                continue
+            if not mine:
+                if used.get(what, 0) >= left:
+                    continue
+                used[what] = used.get(what, 0) + 1
+            given.add(who)
+            won.append(i)
+        return rows.loc[won, names]
+
+    return placed.withColumn("_all", F.lit(0)).groupBy(*(group or ["_all"])).applyInPandas(play, asked.schema)

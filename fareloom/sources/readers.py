@@ -24,6 +24,14 @@ def csv_text(spark: SparkSession, paths: str | list[str], columns: list[str]) ->
     return df.select(*(blank_to_null(F.col(c)).alias(c) for c in columns))
 
 
+def jdbc(spark: SparkSession, url: str, table: str, split_by: str | None = None, low: int = 0, high: int = 0, parts: int = 1, **options: str) -> DataFrame:
+    """A database table, in ``parts`` parallel reads by ranges of a number column; filters and columns are pushed to the database."""
+    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    if split_by:
+        reader = reader.options(partitionColumn=split_by, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
+    return reader.load()
+
+
 def blank_to_null(c: Column) -> Column:
     """Trimmed text, null when nothing is left."""
     text = F.trim(c)

@@ -21,6 +21,12 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     writer.parquet(path)
 
 
+def jdbc(df: DataFrame, url: str, table: str, connections: int = 8, mode: str = "append", **options: str) -> None:
+    """Insert into a database table over at most ``connections`` connections. Each task commits its own rows, so load into a staging table
+    and publish by version (:func:`idempotent_load` keeps the list) where readers must see all or nothing."""
+    df.coalesce(connections).write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
+
+
 def _stage(target: str) -> str:
     return f"{target.rstrip('/')}.staging-{uuid.uuid4().hex}"
 

@@ -30,8 +30,8 @@ def brute(rows, stock):
     return given
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_rounds(spark, seed):
+@pytest.mark.parametrize("seed,limit", [(0, 10_000), (1, 10_000), (2, 10_000), (0, 0), (1, 0)])
+def test_rounds(spark, seed, limit):
     rnd = random.Random(seed)
     items = [f"m{i}" for i in range(5)]
     rows = []
@@ -43,17 +43,18 @@ def test_rounds(spark, seed):
     df = spark.createDataFrame(rows, "agent string, item string, own boolean, wish int, pri int")
     ranked = preference_ranks(df, ["agent"], [F.desc("wish"), F.asc("item")])
     free = spark.createDataFrame(list(stock.items()), "item string, free int")
-    got = {r.agent: (r.item, r["rank"]) for r in immediate_acceptance(ranked, ["agent"], "item", "own", [F.desc("pri"), F.asc("agent")], free).collect()}
+    got = {r.agent: (r.item, r["rank"]) for r in immediate_acceptance(ranked, ["agent"], "item", "own", [F.desc("pri"), F.asc("agent")], free, in_one_task=limit).collect()}
     assert got == brute(rows, stock)
     # Two groups at once are two independent runs.
     both = ranked.crossJoin(spark.createDataFrame([(1,), (2,)], "g int"))
-    out = immediate_acceptance(both, ["agent", "g"], "item", "own", [F.desc("pri"), F.asc("agent")], free, ["g"]).collect()
+    out = immediate_acceptance(both, ["agent", "g"], "item", "own", [F.desc("pri"), F.asc("agent")], free, ["g"], limit).collect()
     assert {(r.agent, r.g): (r.item, r["rank"]) for r in out} == {(a, g): v for a, v in got.items() for g in (1, 2)}
 
 
 def test_empty_and_single_pass(spark):
     df = spark.createDataFrame([("a", "x", False, 1), ("a", "y", True, 2), ("b", "x", False, 1)], "agent string, item string, own boolean, rank int")
     free = spark.createDataFrame([("x", 1)], "item string, free int")
-    assert immediate_acceptance(df.limit(0), ["agent"], "item", "own", [F.asc("agent")], free).count() == 0
+    for limit in (0, 10):
+        assert immediate_acceptance(df.limit(0), ["agent"], "item", "own", [F.asc("agent")], free, in_one_task=limit).count() == 0
     got = sorted((r.agent, r.item) for r in single_pass(df, ["agent"], "item", "own", [F.asc("agent")], free).collect())
     assert got == [("a", "x")]

@@ -107,3 +107,12 @@ def test_csv_and_parsers(spark, tmp_path):
     got = row.select(readers.nested_names(F.col("j")).alias("j"), readers.join_key(F.col("k")).alias("k"), *(v.alias(f"v{i}") for i, (v, _) in enumerate(parsed)), *(b.alias(f"b{i}") for i, (_, b) in enumerate(parsed)), readers.strip_markup(F.col("h")).alias("h"), readers.alias(F.lit(" One "), {"one": "1"}).alias("a")).first()
     assert [tuple(x) for x in got.j] == [("Kia", "Niro", 2010, "A"), ("Kia", "Niro", 2010, "B"), ("Kia", "Niro", 2018, "C")]
     assert (got.k, got.v0, got.v1, got.v2, got.b0, got.b1, got.b2, got.h, got.a) == ("A B", 12.5, None, None, False, True, True, "Hi you !", "1")
+
+
+def test_jdbc_round_trip(spark, tmp_path):
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(50)], "id int, name string")
+    sinks.jdbc(df, url, "agg", driver=driver)
+    sinks.jdbc(df.limit(1), url, "agg", driver=driver)
+    back = readers.jdbc(spark, url, "agg", "id", 0, 50, 3, driver=driver)
+    assert back.count() == 51 and back.rdd.getNumPartitions() == 3 and back.where("id = 7").first().name == "n7"
