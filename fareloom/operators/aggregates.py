@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,3 +84,10 @@ def latest(df: DataFrame, key: list[str], version: str) -> DataFrame:
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """All rows of frames with the same columns, by name."""
     return reduce(DataFrame.unionByName, frames)
+
+
+def top_shares(df: DataFrame, key: list[str], category: str, share: float) -> DataFrame:
+    """``*key, category, n, share`` of the categories that hold at least ``share`` of a key's rows. Null categories count for the whole but are none."""
+    counted = df.groupBy(*key, category).agg(F.count("*").alias("n"))
+    whole = counted.groupBy(*key).agg(F.sum("n").alias("_all"))
+    return counted.join(whole, key).where(F.col(category).isNotNull() & (F.col("n") >= F.col("_all") * F.lit(Decimal(str(share))))).select(*key, category, "n", (F.col("n") / F.col("_all")).alias("share"))

@@ -24,7 +24,7 @@ def value_frequencies(df: DataFrame, keys: list[str], value: Column | str) -> Da
     """
     v = F.col(value) if isinstance(value, str) else value
     each = F.array(*(F.struct(F.lit(k).alias("key_column"), F.col(k).cast("string").alias("key_value")) for k in keys))
-    rows = df.select(F.inline(each), v.alias("value")) if len(keys) == 1 else df.select(v.alias("value"), *keys).select(F.inline(each), "value")
+    rows = df.select(F.inline(each), v.alias("value"))
     return rows.where("key_value is not null").groupBy("key_column", "key_value", "value").agg(F.count("*").alias("n"))
 
 

@@ -534,6 +534,26 @@ def driver_traits(spark: SparkSession, folder: str) -> DataFrame:
     return draws.seeded_traits(_drivers(spark, folder).select("driver_id").distinct(), "driver_id")
 
 
+def favourite_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """The zones in which at least a tenth of a taxi's trips start."""
+    found = aggregates.top_shares(_trips(spark, folder), ["taxi_id"], "PULocationID", 0.1)
+    return found.select("taxi_id", "PULocationID", "n", F.round("share", 6).alias("share"))
+
+
+def driver_experience(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole years since joining, and months of a vehicle, at the end of each snapshot month."""
+    end = F.last_day(F.to_date(F.concat("snapshot_month", F.lit("-01"))))
+    d = _drivers(spark, folder).where(F.col("join_date") <= end).select("snapshot_month", "driver_id", F.floor(F.datediff(end, F.col("join_date")) / 365.25).alias("years"))
+    return d.groupBy("snapshot_month", "years").agg(F.count_distinct("driver_id").alias("drivers"))
+
+
+def model_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """What any snapshot says a model may do, next to the inventory."""
+    seen = _drivers(spark, folder).groupBy("vehicle_model_id").agg(F.bool_or("comfort_eligible").alias("seen_comfort"), F.bool_or("extra_comfort_eligible").alias("seen_extra"))
+    i = table(spark, folder, "inventory").select("vehicle_model_id", "comfort_eligible", "extra_comfort_eligible")
+    return i.join(seen, "vehicle_model_id", "left")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -542,6 +562,6 @@ QUERIES = {
         driver_month_totals, tier_rates, totals_kept, trip_key_counts, repeated_trips, zone_minutes, fleet_by_model, maker_ranges, first_taxi, snapshot_kpis, top_zones, top_makers, profit_histogram,
         working_capacity, shared_units, numbered_units, snapshot_grain, best_attributions, occurrences, dear_trips, newest_version, expired, best_hours, all_versions, month_calendar,
         daily_from_weekly, monthly_fees, daily_completeness, stale_taxis, decayed_activity, folded_users, rebuilt_states, accepted_requests, single_pass_requests, bucketed_candidates, greedy_trips,
-        attribution_quality, required_values, snapshot_balance, trip_keys, day_loads, overbooked_models, filled_fees, driver_traits,
+        attribution_quality, required_values, snapshot_balance, trip_keys, day_loads, overbooked_models, filled_fees, driver_traits, favourite_zones, driver_experience, model_flags,
     )
 }

@@ -51,11 +51,11 @@ SELECT load_id, total, invalid, CASE WHEN invalid >= 0.12 * total THEN 'fail' WH
     "price_mentions": """WITH x AS (
   SELECT doc_id, TRY_CAST(nullif(replace(regexp_extract(text, '\\$ ?([0-9][0-9,]*(?:\\.[0-9]+)?)', 1), ',', ''), '') AS DOUBLE) AS v FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, CASE WHEN v BETWEEN 50 AND 5000 THEN v END AS price, NOT (v BETWEEN 50 AND 5000) AS out_of_bounds FROM x WHERE v IS NOT NULL""",
-    "stripped_lengths": "SELECT doc_id, length(trim(regexp_replace(regexp_replace(replace(regexp_replace(text, '<[^<>]*>', ' ', 'g'), '&nbsp;', ' '), '\\s+', ' ', 'g'), '\\s+', ' ', 'g'))) AS plain_chars FROM documents WHERE regexp_matches(text, '<[^<>]*>')",
+    "stripped_lengths": "SELECT doc_id, CAST(length(trim(regexp_replace(regexp_replace(replace(regexp_replace(text, '<[^<>]*>', ' ', 'g'), '&nbsp;', ' '), '\\s+', ' ', 'g'), '\\s+', ' ', 'g'))) AS INTEGER) AS plain_chars FROM documents WHERE regexp_matches(text, '<[^<>]*>')",
     "product_years": """WITH m AS (SELECT manufacturer AS make, model_name AS model, min(model_year) AS y FROM inventory GROUP BY ALL),
 p AS (SELECT make, model, 'Standard' AS product, y AS year FROM m UNION ALL SELECT make, model, 'Comfort', y FROM m
   UNION ALL SELECT make, model, 'Standard', y + 2 FROM m UNION ALL SELECT make, model, 'Extra Comfort', y + 2 FROM m)
-SELECT make, model, product, min(year) AS first_year, count(*) AS mentions FROM p GROUP BY ALL""",
+SELECT make, model, product, CAST(min(year) AS INTEGER) AS first_year, count(*) AS mentions FROM p GROUP BY ALL""",
     "model_profiles": f"""WITH {_DRIVERS}
 SELECT d.snapshot_month, d.vehicle_model_id, count(*) AS drivers, max(i.fuel_efficiency) AS fuel_efficiency, CAST(max(i.model_year) AS INTEGER) AS model_year
 FROM drivers d JOIN inventory i ON i.vehicle_model_id = d.vehicle_model_id AND i.fuel_type IS NOT DISTINCT FROM d.fuel_type
@@ -125,9 +125,9 @@ SELECT manufacturer, weight, CAST(floor(x) + CASE WHEN r <= rest THEN 1 ELSE 0 E
     "snapshot_grain": f"WITH {_GOLD} SELECT service_area, year_month, version, count(*) AS n, count(DISTINCT driver_id) AS drivers, count(*) = count(DISTINCT driver_id) AS one_each FROM g WHERE driver_id IS NOT NULL GROUP BY ALL",
     "best_attributions": f"""WITH a AS (SELECT DISTINCT service_date, PULocationID, trip_key, preference_score, tie_break FROM attribution WHERE {_ID.format('driver_id')} IS NOT NULL OR driver_id IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY service_date, PULocationID ORDER BY preference_score DESC, tie_break, trip_key) AS place FROM a)
-SELECT strftime(service_date, '%Y-%m-%d') AS day, PULocationID, trip_key, place FROM r WHERE place <= 3""",
+SELECT strftime(service_date, '%Y-%m-%d') AS day, PULocationID, trip_key, CAST(place AS INTEGER) AS place FROM r WHERE place <= 3""",
     "occurrences": f"""WITH {_TRIPS}, r AS (SELECT row_number() OVER (PARTITION BY taxi_id, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID ORDER BY load_id) AS occurrence FROM trips)
-SELECT occurrence, count(*) AS n FROM r GROUP BY ALL""",
+SELECT CAST(occurrence AS INTEGER) AS occurrence, count(*) AS n FROM r GROUP BY ALL""",
     "dear_trips": f"""WITH {_TRIPS}, t AS (SELECT licence, PULocationID, DOLocationID, pay FROM trips WHERE pay IS NOT NULL AND licence IS NOT NULL AND PULocationID IS NOT NULL),
 w AS (SELECT *, count(*) OVER p AS n, median(pay) OVER p AS m FROM t WINDOW p AS (PARTITION BY licence, PULocationID, DOLocationID))
 SELECT licence, PULocationID, DOLocationID, n, count(*) FILTER (WHERE pay >= m * 1.15) AS dear FROM w WHERE n >= 20 GROUP BY ALL""",
@@ -175,7 +175,7 @@ SELECT driver_id, strftime(j, '%Y-%m-%d') AS opened, CASE WHEN x >= j THEN strft
     "single_pass_requests": _REQUESTS
     + """,
 p AS (SELECT *, CASE WHEN NOT own THEN row_number() OVER (PARTITION BY item, own ORDER BY years DESC, driver_id) END AS place FROM c)
-SELECT driver_id, item, rank, own FROM p WHERE own OR place <= free QUALIFY row_number() OVER (PARTITION BY driver_id ORDER BY rank) = 1""",
+SELECT driver_id, item, CAST(rank AS INTEGER) AS rank, own FROM p WHERE own OR place <= free QUALIFY row_number() OVER (PARTITION BY driver_id ORDER BY p.rank) = 1""",
     "bucketed_candidates": f"""WITH {_DRIVERS},
 d AS (SELECT DISTINCT driver_id AS agent FROM drivers WHERE driver_id IS NOT NULL),
 k AS (SELECT greatest(1, count(*) // 4) AS k FROM d),
@@ -196,7 +196,7 @@ c AS (SELECT snapshot_month, count(*) AS total, count(*) FILTER (WHERE x <= last
 SELECT *, total - gone AS "left" FROM c""",
     "trip_keys": f"""WITH {_TRIPS}, o AS (
   SELECT *, row_number() OVER (PARTITION BY taxi_id, PULocationID, DOLocationID, trip_time, pickup_datetime) AS occurrence FROM trips)
-SELECT sha256(concat_ws(chr(31), {', '.join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in ('taxi_id', 'PULocationID', 'DOLocationID', 'trip_time'))}, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), occurrence)) AS trip_key, taxi_id, occurrence FROM o""",
+SELECT sha256(concat_ws(chr(31), {', '.join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in ('taxi_id', 'PULocationID', 'DOLocationID', 'trip_time'))}, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), occurrence)) AS trip_key, taxi_id, CAST(occurrence AS INTEGER) AS occurrence FROM o""",
     "day_loads": f"""WITH {_TRIPS}, c AS (SELECT CAST(day - DATE '2025-01-01' AS INTEGER) AS x, count(*) AS n FROM trips GROUP BY day),
 p AS (SELECT x, CAST(n AS DOUBLE) AS y FROM c WHERE x % 7 = 0 AND x BETWEEN 45 AND 130),
 m AS (SELECT c.x, c.n, (SELECT max(x) FROM p WHERE p.x <= c.x) AS b, (SELECT min(x) FROM p WHERE p.x >= c.x) AS a FROM c WHERE c.x BETWEEN 31 AND 150)
@@ -206,4 +206,10 @@ FROM m LEFT JOIN p pb ON pb.x = m.b LEFT JOIN p pa ON pa.x = m.a""",
 SELECT model, snapshot_month, used, stock % 9 AS stock FROM u LEFT JOIN inventory ON vehicle_model_id = model WHERE stock IS NULL OR used > stock % 9""",
     "filled_fees": f"""WITH {_DRIVERS}, d AS (SELECT driver_id, snapshot_month, max(CASE WHEN isfinite(weekly_lease_fee) THEN CAST(round(weekly_lease_fee * 100) AS BIGINT) END) AS f FROM drivers GROUP BY ALL)
 SELECT driver_id, snapshot_month, last_value(f IGNORE NULLS) OVER (PARTITION BY driver_id ORDER BY snapshot_month ROWS UNBOUNDED PRECEDING) AS fee_cents FROM d""",
+    "favourite_zones": f"""WITH {_TRIPS}, c AS (SELECT taxi_id, PULocationID, count(*) AS n FROM trips GROUP BY ALL), w AS (SELECT *, sum(n) OVER (PARTITION BY taxi_id) AS a FROM c)
+SELECT taxi_id, PULocationID, n, round(n / a, 6) AS share FROM w WHERE PULocationID IS NOT NULL AND n * 10 >= a""",
+    "driver_experience": f"""WITH {_DRIVERS}, d AS (SELECT snapshot_month, driver_id, join_date, last_day(CAST(snapshot_month || '-01' AS DATE)) AS e FROM drivers)
+SELECT snapshot_month, CAST(floor((e - join_date) / 365.25) AS BIGINT) AS years, count(DISTINCT driver_id) AS drivers FROM d WHERE join_date <= e GROUP BY ALL""",
+    "model_flags": f"""WITH {_DRIVERS}, s AS (SELECT vehicle_model_id, bool_or(comfort_eligible) AS seen_comfort, bool_or(extra_comfort_eligible) AS seen_extra FROM drivers GROUP BY 1)
+SELECT i.vehicle_model_id, i.comfort_eligible, i.extra_comfort_eligible, seen_comfort, seen_extra FROM inventory i LEFT JOIN s USING (vehicle_model_id)""",
 }

@@ -90,7 +90,7 @@ counted AS (SELECT key_column, key_value, v, count(*) AS n FROM keys WHERE key_v
 modes AS (SELECT key_column, key_value, v AS mode, n AS mode_rows FROM counted QUALIFY row_number() OVER (PARTITION BY key_column, key_value ORDER BY n DESC, v) = 1),
 totals AS (
   SELECT key_column, key_value, count(*) AS trips, count(DISTINCT v) AS pay_values, CAST(sum(v) AS BIGINT) AS pay_cents,
-    CAST(quantile_disc(v, 0.5) AS DOUBLE) AS pay_cents_p50, CAST(quantile_disc(v, 0.9) AS DOUBLE) AS pay_cents_p90
+    quantile_disc(v, 0.5) AS pay_cents_p50, quantile_disc(v, 0.9) AS pay_cents_p90
   FROM keys WHERE key_value IS NOT NULL GROUP BY ALL)
 SELECT totals.*, mode AS pay_cents_mode, mode_rows FROM totals LEFT JOIN modes USING (key_column, key_value)""",
     "p4_key_miles": f"""
