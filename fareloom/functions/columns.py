@@ -33,9 +33,11 @@ def unusable(c: Column) -> Column:
 
 
 def within(c: Column, low: str, high: str) -> Column:
-    """True for a timestamp from ``low`` up to but not including ``high``; never null."""
-    t = c.cast("timestamp")
-    return F.coalesce((t >= F.lit(low).cast("timestamp")) & (t < F.lit(high).cast("timestamp")), F.lit(False))
+    """Whether a timestamp lies from ``low`` up to but not including ``high``; null for null.
+
+    The bounds, not the column, take the type of the other side, so the filter reaches the scan.
+    """
+    return (c >= F.lit(low).cast("timestamp_ntz")) & (c < F.lit(high).cast("timestamp_ntz"))
 
 
 def cents(c: Column, most: float = 1e12) -> Column:
