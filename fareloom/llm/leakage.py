@@ -11,14 +11,15 @@ shares a run of five words, whose fingerprints are equal, so it is always found;
 long as a whole item would not do: a document with a twelfth of an item's words in
 a row has a window fingerprint some twenty bits away, beyond any selective radius.
 
-The items' index goes to the executors with the task only while the items stay
-below a checked size; beyond it the same blocks are joined by a shuffle.
+The items' index goes to the executors with the task. Its size is checked: more items
+are taken in blocks below the bound, each against all documents. Documents are never shuffled.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.session import written
+
 #: Words of a fingerprinted window (odd, so that no bit is a tie), of a run, of a passage that counts alone; share of runs that counts.
 WINDOW, RUN, PASSAGE, SHARE = 5, 5, 12, 0.5
 RADIUS = 3
-#: Items and characters of items up to which their index is sent with the task.
+#: Items and characters of items, about, that one index sent with the task holds.
 MOST_ITEMS, MOST_CHARS = 20_000, 32_000_000
 #: Words fingerprinted at once.
 CHUNK = 150_000
@@ -198,38 +201,6 @@ def _long(own: ItemIndex, hashes: _Hashes, doc_id: int, words: list[str]) -> lis
     return [(doc_id, own.ids[x]) for x in own.verified(words, wanted)]
 
 
-def _windows(radius: int):
-    """``id, block, value, print`` of every distinct window of a text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = words_of(text)
-                for start in range(0, max(0, len(words) - WINDOW + 1), CHUNK):
-                    part = words[start : start + CHUNK + WINDOW - 1]
-                    prints = np.unique(fingerprints(np.array([hashes[w] for w in part], dtype=np.uint64)))
-                    for number, block in enumerate(blocks_of(prints, radius)):
-                        size = len(prints)
-                        yield pa.record_batch(
-                            [pa.array([key] * size, pa.int64()), pa.array(np.full(size, number, dtype=np.int32)), pa.array(block.view(np.int64)), pa.array(prints.view(np.int64))],
-                            names=["id", "block", "value", "print"],
-                        )
-
-    return run
-
-
-def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with both texts to the pairs that pass."""
-    for batch in batches:
-        kept = []
-        for doc_id, item_id, text, item in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            own = ItemIndex([(item_id, item)])
-            if own.verified(words_of(text), {0}):
-                kept.append((doc_id, item_id))
-        yield pa.record_batch([pa.array([a for a, _ in kept], pa.int64()), pa.array([b for _, b in kept], pa.int64())], names=["doc_id", "item_id"])
-
-
 def leaked_items(docs: DataFrame, items: DataFrame, radius: int = RADIUS, most_items: int = MOST_ITEMS, most_chars: int = MOST_CHARS) -> DataFrame:
     """``doc_id, item_id`` of documents that carry an item. ``docs``: doc_id, text; ``items``: item_id, text.
 
@@ -239,13 +210,11 @@ def leaked_items(docs: DataFrame, items: DataFrame, radius: int = RADIUS, most_i
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
     items = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).where("item_id is not null and text is not null")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    if size.n <= most_items and size.chars <= most_chars:
-        bounded = [(r.item_id, r.text) for r in items.collect()]
-        return docs.mapInArrow(_probe(bounded, radius), "doc_id bigint, item_id bigint").distinct()
-    ddl = "id bigint, block int, value bigint, print bigint"
-    d = docs.mapInArrow(_windows(radius), ddl).withColumnsRenamed({"id": "doc_id", "print": "doc_print"})
-    i = items.mapInArrow(_windows(radius), ddl).withColumnsRenamed({"id": "item_id", "print": "item_print"})
-    near = F.bit_count(F.col("doc_print").bitwiseXOR(F.col("item_print"))) <= radius
-    pairs = d.join(i, ["block", "value"]).where(near).select("doc_id", "item_id").distinct()
-    texts = pairs.join(docs, "doc_id").join(items.withColumnRenamed("text", "item"), "item_id").select("doc_id", "item_id", "text", "item")
-    return texts.mapInArrow(_check, "doc_id bigint, item_id bigint").distinct()
+    blocks = max(1, -(-size.n // most_items), -(-size.chars // most_chars))
+    found = []
+    for block in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
+        part = docs.mapInArrow(_probe([(r.item_id, r.text) for r in own.collect()], radius), "doc_id bigint, item_id bigint")
+        # One block of items is in the driver's memory at a time.
+        found.append(written(part, "leaks") if blocks > 1 else part)
+    return reduce(DataFrame.unionAll, found).distinct()

@@ -42,7 +42,7 @@ def case(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("limit", [20_000, 0])
+@pytest.mark.parametrize("limit", [20_000, 6])
 def test_same_pairs_as_brute_force(spark, limit):
     docs, items = case(limit)
     d = spark.createDataFrame([(a, t, "x") for a, t in docs], "doc_id bigint, text string, item_id string").repartition(3)
