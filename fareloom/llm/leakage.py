@@ -8,8 +8,8 @@ words in a row in common, or half of the item's distinct five-word runs.
 
 The window is the smallest passage the check counts. A pair that passes the check
 shares a run of five words, whose fingerprints are equal, so it is always found; windows as
-long as a whole item would not do: a document with a twelfth of an item's words in
-a row has a window fingerprint some twenty bits away, beyond any selective radius.
+long as a whole item would not do: a document that holds a part of an item has a window too
+many bits away for any radius that still excludes unrelated texts (figures in the README).
 
 The items' index goes to the executors with the task. Its size is checked: more items
 are taken in blocks below the bound, each against all documents. Documents are never shuffled.
