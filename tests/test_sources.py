@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareloom.sources import readers, sinks, versions
-from fareloom.sources.versions import QUARANTINED, SUCCESS, Files
+from fareloom.sources.versions import QUARANTINED, Files
 
 
 def test_version_writing_marking_and_resolving(spark, tmp_path):
