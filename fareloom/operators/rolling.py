@@ -31,13 +31,14 @@ def every_day(daily: DataFrame, key: str, day: str, measures: list[str]) -> Data
 def rolling_totals(daily: DataFrame, key: str, day: str, measures: list[str], windows: tuple[int, ...] = (7, 30)) -> DataFrame:
     """``key, day, <measure>_<window>...`` for each entity and day from its first to its last.
 
-    ``daily``: one row per entity and day, ``measures`` whole numbers or doubles; null measures count as zero.
-    Rows with a null key or day are left out. Days before an entity's first count as zero. Each total
+    ``daily``: rows per entity and day, ``measures`` whole numbers or doubles; several rows of one day add up, null measures count as zero.
+    Rows with a null key or day are left out. All days between become rows, so days that are only placeholders should be left out before. Days before an entity's first count as zero. Each total
     holds the day itself. An empty table gives an empty result; further columns are not read.
     """
     if not windows or min(windows) < 1:
         raise ValueError("windows must be whole numbers of days from 1")
-    base = daily.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(key, day, *(F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures))
+    # Where the rows come grouped by entity and day already, this adds no shuffle.
+    base = daily.where(F.col(key).isNotNull() & F.col(day).isNotNull()).groupBy(key, day).agg(*(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures))
     dense = every_day(base, key, day, measures)
     order = Window.partitionBy(key).orderBy(day)
     top = max(windows).bit_length() - 1

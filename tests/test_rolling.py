@@ -24,6 +24,11 @@ def test_same_as_direct_sums(spark, windows):
             assert (r[f"v_{w}"], r[f"n_{w}"]) == (sum(v for v, _ in inside), sum(n for _, n in inside))
 
 
+def test_rows_of_one_day_add_up(spark):
+    df = spark.createDataFrame([("a", D0, 2), ("a", D0, 3), ("a", D0 + dt.timedelta(1), 4)], "k string, day date, v bigint")
+    assert sorted(r.v_7 for r in rolling_totals(df, "k", "day", ["v"], (7,)).collect()) == [5, 9]
+
+
 def test_empty_and_wrong_windows(spark):
     df = spark.createDataFrame([], "k string, day date, v bigint")
     assert rolling_totals(df, "k", "day", ["v"]).count() == 0
