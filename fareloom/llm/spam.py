@@ -152,9 +152,12 @@ def measure(text: str | None) -> list[tuple]:
     known = Counter(w for ws in found for w in ws)
     total = sum(known.values())
     every = _EVERY
-    hot = {w for w, n in known.items() if n >= HOT_TIMES and n >= HOT_WORD * total and w not in every}
-    pairs = Counter(p for ws in found for p in zip(ws, ws[1:], strict=False))
-    hot_pairs = {p for p, n in pairs.items() if n >= HOT_TIMES and n >= HOT_PAIR * total and not (p[0] in every and p[1] in every)}
+    often = {w: n for w, n in known.items() if n >= HOT_TIMES and w not in every}
+    hot = {w for w, n in often.items() if n >= HOT_WORD * total}
+    hot_pairs = set()
+    if often:  # a frequent pair holds a frequent word
+        pairs = Counter(p for ws in found for p in zip(ws, ws[1:], strict=False))
+        hot_pairs = {p for p, n in pairs.items() if n >= HOT_TIMES and n >= HOT_PAIR * total and not (p[0] in every and p[1] in every)}
     copies = Counter(parts)
     out, at = [], 0
     for part, words, said in zip(parts, found, spoken, strict=True):
@@ -173,14 +176,18 @@ def measure(text: str | None) -> list[tuple]:
             by = {k: [w for w in words if w in v] for k, v in FUNCTION_WORDS.items()}
             lang = max(by, key=lambda k: len(by[k]))
             functional, extra, own = by[lang], 0, FUNCTION_WORDS[lang]
-        inside = [False] * len(words)
-        for i, p in enumerate(zip(words, words[1:], strict=False)):
-            if p in hot_pairs:
-                inside[i] = inside[i + 1] = True
-        contents = [(w in hot or inside[i]) for i, w in enumerate(words) if w not in own]
+        repeated = 0.0
+        if hot or hot_pairs:
+            inside = [False] * len(words)
+            if hot_pairs:
+                for i, p in enumerate(zip(words, words[1:], strict=False)):
+                    if p in hot_pairs:
+                        inside[i] = inside[i + 1] = True
+            contents = [(w in hot or x) for w, x in zip(words, inside, strict=True) if w not in own]
+            repeated = sum(contents) / len(contents) if contents else 0.0
         out.append((
             lang, _weight(said) + linked, len(words), len(functional) + extra, len(set(functional)) + extra,
-            sum(contents) / len(contents) if contents else 0.0, linked, count, len(_SEPARATORS.findall(part)), copies[part],
+            repeated, linked, count, len(_SEPARATORS.findall(part)), copies[part],
         ))
     return out
 
