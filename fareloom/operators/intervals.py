@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows that a fold before the shuffle takes in before it passes its maps on.
-HELD = 1_000_000
+HELD = 200_000
 
 
 class IntervalMap:
