@@ -146,9 +146,9 @@ def measure(text: str | None) -> list[tuple]:
     if "<" in plain:
         plain = _TAG.sub(" ", plain)
     parts = segments(plain)
-    spoken = [[w.lower() for w in _WORD.findall(p)] for p in parts]
+    spoken = [_WORD.findall(p.lower()) for p in parts]
     # Numbers are neither function words nor keywords.
-    found = [[w for w in ws if not w[0].isdigit() or _HANGUL.search(w)] for ws in spoken]
+    found = [[w for w in ws if not w[0].isdigit() or (not w.isascii() and _HANGUL.search(w))] for ws in spoken]
     known = Counter(w for ws in found for w in ws)
     total = sum(known.values())
     every = _EVERY
@@ -164,12 +164,13 @@ def measure(text: str | None) -> list[tuple]:
         count = part.count(_LINK_MARK)
         linked = sum(links[at : at + count])
         at += count
-        if _HANGUL.search(part):
+        latin = part.isascii()
+        if not latin and _HANGUL.search(part):
             lang = "ko"
             functional = [w for w in words if _KO_ENDING.search(w)]
             extra = 1 if words and _VERB.search(words[-1]) else 0
             own = frozenset(functional)
-        elif words and 2 * sum(w[0] < "\u0250" for w in words) < len(words):
+        elif words and not latin and 2 * sum(w[0] < "\u0250" for w in words) < len(words):
             # A script of neither language: what its function words are isn't known, so only links and repetition count.
             lang, functional, extra, own = "other", words, 0, frozenset()
         else:
