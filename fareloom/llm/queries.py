@@ -46,7 +46,10 @@ def _named(found: DataFrame) -> DataFrame:
 
 
 def p1_zone_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    """Percentiles of pay and miles per zone and load, and over all loads (``load_id`` null), with the most ranks each may be off."""
+    """Percentiles of pay and miles per zone and load, and over all loads (``load_id`` null), with the most ranks each may be off.
+
+    Rows without a zone belong to no group; rows without a load are those of the load ``''``; null, NaN and infinite values don't count.
+    """
     stored = _load_sketches(spark, folder)
     return _named(estimates(stored, SHARES)).unionByName(_named(estimates(_over_loads(stored), SHARES)))
 
