@@ -76,6 +76,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where the scan of a small table would use less than half of them.
+
+    For steps that spend long on each row. A large table has more partitions than there are cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def drop_written(df: DataFrame) -> None:
     """Remove a table of :func:`written` that no later plan reads."""
     path = getattr(df, "_fareloom_path", None)
