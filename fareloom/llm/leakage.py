@@ -12,7 +12,7 @@ long as a whole item would not do: a document that holds a part of an item has a
 many bits away for any radius that still excludes unrelated texts (figures in the README).
 
 The items' index goes to the executors with the task. Its size is checked: more items
-are taken in blocks below the bound, each against all documents. Documents are never shuffled.
+are taken in blocks below the bound, each against all documents. Documents of a large table are never shuffled.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.session import written
+from fareloom.session import spread, written
 
 #: Words of a fingerprinted window (odd, so that no bit is a tie), of a run, of a passage that counts alone; share of runs that counts.
 WINDOW, RUN, PASSAGE, SHARE = 5, 5, 12, 0.5
@@ -208,6 +208,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, radius: int = RADIUS, most_i
     five words; rows with a null id are left out; repeated rows give one pair; an id given to several texts counts for each. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
+    docs = spread(docs)
     items = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).where("item_id is not null and text is not null")
     size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     blocks = max(1, -(-size.n // most_items), -(-size.chars // most_chars))

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.session import written
+from fareloom.session import spread, written
 
 #: Function words; of Korean, which has none apart, the endings and particles of words.
 FUNCTION_WORDS = {
@@ -205,9 +205,9 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def page_measures(docs: DataFrame) -> DataFrame:
-    """``doc_id, segments`` with the measures of each segment of the whole text; nothing is shuffled."""
+    """``doc_id, segments`` with the measures of each segment of the whole text; no row of a large table is shuffled."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_measure, f"doc_id bigint, segments {_SEGMENT}")
+    return spread(rows).mapInArrow(_measure, f"doc_id bigint, segments {_SEGMENT}")
 
 
 def function_bounds(measures: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:

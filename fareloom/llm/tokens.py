@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.session import spread
+
 #: The splitting pattern published with the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces remembered by a worker, and the longest of them; beyond, pieces are encoded anew.
@@ -230,7 +232,7 @@ def encode_corpus(df: DataFrame, doc_id: str, text: str, path: str) -> DataFrame
     """``doc_id, ids``: the token ids of every row's text by the vocabulary at ``path`` (a file every executor has).
 
     Text is taken as it is; what looks like a special token is ordinary text. Null and empty texts give the empty
-    list, repeated rows are encoded each, a null id stays null, other columns are not read. No row is shuffled.
+    list, repeated rows are encoded each, a null id stays null, other columns are not read. No row of a large table is shuffled.
     """
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(_encoder(path), "doc_id bigint, ids array<int>")
+    return spread(rows).mapInArrow(_encoder(path), "doc_id bigint, ids array<int>")
