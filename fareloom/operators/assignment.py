@@ -43,13 +43,13 @@ class Group:
         self.result: tuple | None = None
         self.decided = False
 
-    def offer(self, job: str, agent: str, start: int, end: int, origin: int, target: int) -> tuple | None:
+    def offer(self, job: str, agent: str | None, start: int, end: int, origin: int, target: int) -> tuple | None:
         """The next candidate in order; gives the finished result of the job before when a new one begins."""
         finished = None
         if job != self.job:
             finished, self.job, self.decided = self.result, job, False
-            self.result = (job, None, None, None, "none")
-        if self.decided:
+            self.result = (job, None, None, None, "no candidate")
+        if self.decided or agent is None:
             return finished
         have, limits = self.agents.get(agent), self.limits
         drive, way, why = (end - start) / 60, 0.0, None
@@ -121,16 +121,16 @@ def greedy_assignment(candidates: DataFrame, travel: DataFrame, group: list[str]
     """``job, agent, sequence, way_minutes, reason`` for every job of the candidates.
 
     In each group jobs are taken by start (then job), and given to the first feasible candidate by score (then tie, then agent); a job that no candidate
-    can take has no agent and what stopped the last one. ``candidates``: the ``group`` columns, ``job, agent, start, end`` (seconds), ``origin, target`` (places), ``score`` and ``tie``.
+    can take has no agent and what stopped the last one, or ``no candidate`` if all its agents are null. ``candidates``: the ``group`` columns, ``job, agent, start, end`` (seconds), ``origin, target`` (places), ``score`` and ``tie``.
     ``travel``: ``origin, target, minutes``, one row per pair of places that is known; it must be bounded, which is checked.
-    Rows with a null job, agent or time are left out. Counts of reasons come from the rows, so a task that runs twice doesn't count twice.
+    Rows with a null job or time are left out. Counts of reasons come from the rows, so a task that runs twice doesn't count twice.
     Groups are sorted by Spark and walked through in one pass, so many small groups cost no more than a few large ones.
     """
     pairs = travel.where("minutes is not null").limit(MOST_PAIRS + 1).collect()
     if len(pairs) > MOST_PAIRS:
         raise ValueError("too many place pairs to send along")
     known = {(r.origin, r.target): float(r.minutes) for r in pairs}
-    rows = candidates.where("job is not null and agent is not null and start is not null and end is not null")
+    rows = candidates.where("job is not null and start is not null and end is not null")
     rows = rows.select(
         *(F.col(g).alias(f"g{i}") for i, g in enumerate(group)), F.col("job").cast("string"), F.col("agent").cast("string"), F.col("start").cast("bigint"), F.col("end").cast("bigint"),
         F.col("origin").cast("int"), F.col("target").cast("int"), F.col("score").cast("double"), F.col("tie").cast("string"),

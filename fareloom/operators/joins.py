@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.functions.columns import bucket_of
+from fareloom.session import written
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, key: list[str], null_safe: list[str], how: str = "inner") -> DataFrame:
@@ -75,9 +76,25 @@ def prefix_variants(names: DataFrame, group: str, name: str, ignorable: list[str
     return base.join(other, [group, "first"]).where(longer & (F.size(F.array_except(rest, F.array(*map(F.lit, ignorable)))) == 0)).select(group, "base", "variant")
 
 
-def bucketed_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, buckets: int, seed: int = 0) -> DataFrame:
-    """Many-to-many candidates: both sides get a bucket by hash, and rows of one bucket meet.
+def dealt(df: DataFrame, key: str, size: int) -> tuple[DataFrame, int]:
+    """``df`` with a ``bucket``, and the number of buckets: rows are dealt in turn, in the order of the unique ``key``, to as many buckets as there are ``size`` rows.
 
-    Choose ``buckets`` so that the smaller side has a bounded number of rows in each; pairs then grow with the larger side only.
+    So each bucket has at least ``size`` rows (all rows, where there are fewer) and fewer than twice as many. The running number is put together from places within
+    ranges and the rows of the ranges before; the ranges are written first, as they could differ when computed again.
     """
-    return left.withColumn("bucket", bucket_of(F.col(left_key), buckets, seed)).join(right.withColumn("bucket", bucket_of(F.col(right_key), buckets, seed)), "bucket")
+    rows = written(df.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "dealt")
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = rows.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_before", before).drop("_n")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    buckets = max(1, rows.count() // size)
+    placed = rows.withColumn("_place", place).join(F.broadcast(parts), "_part")
+    return placed.withColumn("bucket", F.pmod(F.col("_before") + F.col("_place"), F.lit(buckets).cast("bigint"))).drop("_part", "_place", "_before"), buckets
+
+
+def bucketed_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: int, seed: int = 0) -> DataFrame:
+    """Many-to-many candidates: the right side is dealt to buckets of ``size`` rows or a few more, the left side gets a bucket by hash, and rows of one bucket meet.
+
+    Pairs grow with the left side only. Every left row stays: if there are no right rows at all, with nulls.
+    """
+    right, buckets = dealt(right, right_key, size)
+    return left.withColumn("bucket", bucket_of(F.col(left_key), buckets, seed)).join(right, "bucket", "left")

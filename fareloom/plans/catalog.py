@@ -456,19 +456,18 @@ def single_pass_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips of a day with the drivers of their bucket; buckets are as many as there are fours of drivers."""
+    """Trips of a day with the drivers of their bucket; drivers are dealt in turn to as many buckets as there are fours of them. A trip without drivers stays, with a null one."""
     a = table(spark, folder, "attribution").where("pickup_datetime is not null and dropoff_datetime > pickup_datetime").distinct()
     a = a.select("service_date", F.col("trip_key").alias("job"), seconds(F.col("pickup_datetime")).alias("start"), seconds(F.col("dropoff_datetime")).alias("end"), F.col("PULocationID").alias("origin"), F.col("DOLocationID").alias("target"))
     d = _drivers(spark, folder).select(F.col("driver_id").alias("agent")).where("agent is not null").distinct()
-    drivers = d.count()
-    pairs = joins.bucketed_pairs(a, d, "job", "agent", max(1, drivers // 4))
+    pairs = joins.bucketed_pairs(a, d, "job", "agent", 4)
     tie = F.sha2(F.concat_ws(":", "job", "agent"), 256)
     return pairs.withColumns({"tie": tie, "score": F.conv(F.substring(tie, 1, 4), 16, 10).cast("int") % 100 / 100})
 
 
 def bucketed_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Candidate pairs per bucket and day."""
-    return _candidates(spark, folder).groupBy("bucket", F.date_format("service_date", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("pairs"), F.count_distinct("job").alias("jobs"))
+    return _candidates(spark, folder).groupBy("bucket", F.date_format("service_date", "yyyy-MM-dd").alias("day")).agg(F.count("agent").alias("pairs"), F.count_distinct("job").alias("jobs"))
 
 
 def greedy_trips(spark: SparkSession, folder: str) -> DataFrame:
