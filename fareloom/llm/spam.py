@@ -58,8 +58,8 @@ _VERB = regex.compile(r"\p{Hangul}(?:니다|니까|세요|어요|아요|네요|
 _QUOTED = regex.compile(r"^(?:[>|]+\s*)+")
 _SENTENCE_END = regex.compile(r"(?<=[.!?。！？…])[\"'”’)\]]*\s+")
 _SEPARATORS = regex.compile(r"[|/>»«·•;,=\t→←:*~+]|->|👉")
-#: Characters that one word or link counts at most, so that neither a long address nor a run of one letter outweighs sentences.
-MOST_COUNTED = 20
+#: A run of one letter, which is a ruler or a drawn-out word: it counts as three of them. Everything else counts in full.
+_RUN = re.compile(r"([^\W\d_])\1{3,}")
 #: A line of fewer words that doesn't end as a sentence joins the short lines around it.
 SHORT_LINE = 6
 _LINK_MARK = "\u0001"
@@ -126,9 +126,8 @@ def segments(text: str) -> list[str]:
     return out
 
 
-def _weight(words: list[str]) -> int:
-    sizes = list(map(len, words))
-    return sum(sizes) if max(sizes, default=0) <= MOST_COUNTED else sum(min(n, MOST_COUNTED) for n in sizes)
+def _weight(words: list[str], runs: bool) -> int:
+    return sum(len(_RUN.sub(r"\1\1\1", w)) for w in words) if runs else sum(map(len, words))
 
 
 def measure(text: str | None) -> list[tuple]:
@@ -139,7 +138,7 @@ def measure(text: str | None) -> list[tuple]:
     links: list[int] = []
 
     def mark(m: regex.Match) -> str:
-        links.append(min(MOST_COUNTED, sum(c.isalnum() for c in m.group()) or 1))
+        links.append(sum(c.isalnum() for c in m.group()) or 1)
         return _LINK_MARK
 
     plain = _LINK.sub(mark, text) if _LINK_HINT.search(text) else text
@@ -159,6 +158,7 @@ def measure(text: str | None) -> list[tuple]:
         pairs = Counter(p for ws in found for p in zip(ws, ws[1:], strict=False))
         hot_pairs = {p for p, n in pairs.items() if n >= HOT_TIMES and n >= HOT_PAIR * total and not (p[0] in every and p[1] in every)}
     copies = Counter(parts)
+    runs = _RUN.search(plain.lower()) is not None
     out, at = [], 0
     for part, words, said in zip(parts, found, spoken, strict=True):
         count = part.count(_LINK_MARK)
@@ -187,7 +187,7 @@ def measure(text: str | None) -> list[tuple]:
             contents = [(w in hot or x) for w, x in zip(words, inside, strict=True) if w not in own]
             repeated = sum(contents) / len(contents) if contents else 0.0
         out.append((
-            lang, _weight(said) + linked, len(words), len(functional) + extra, len(set(functional)) + extra,
+            lang, _weight(said, runs) + linked, len(words), len(functional) + extra, len(set(functional)) + extra,
             repeated, linked, count, len(_SEPARATORS.findall(part)), copies[part],
         ))
     return out
@@ -220,7 +220,7 @@ def function_bounds(measures: DataFrame, bounds: Bounds = Bounds()) -> DataFrame
 
 
 def spam_shares(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
-    """``doc_id, size, share, words, links, spam`` of every document; ``size`` counts letters and digits (of a word or link at most 20), ``share`` of them are no writing.
+    """``doc_id, size, share, words, links, spam`` of every document; ``size`` counts letters and digits (of a run of one letter three), ``share`` of them are no writing.
 
     Null, empty and blank texts have size 0 and are never spam, nor is a text of fewer than ``least_words`` words (a link
     counts as two): a bare title is no page. Repeated rows are judged each. Segments in a script
