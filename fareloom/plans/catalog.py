@@ -396,8 +396,8 @@ def monthly_fees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def daily_completeness(spark: SparkSession, folder: str) -> DataFrame:
-    """Two daily series side by side and whether both have the day."""
-    a = _trips(spark, folder).where("PULocationID = 149").groupBy("day").agg(F.count("*").alias("trips"))
+    """Trips of all zones and documents of each day side by side, and whether both have the day."""
+    a = _trips(spark, folder).groupBy("day").agg(F.count("*").alias("trips"))
     b = table(spark, folder, "documents").where("published_on is not null").groupBy(F.col("published_on").alias("day")).agg(F.count("*").alias("documents"))
     merged = series.merge_daily(a, b, series.calendar(spark, "2025-01-25", "2025-06-05"), "day")
     return merged.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "trips", "documents", "complete")

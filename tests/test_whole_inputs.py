@@ -28,3 +28,19 @@ def test_every_trip_has_candidates_or_a_reason(spark, tmp_path):
     put(spark, tmp_path, "driver_snapshot", [], DRIVER)
     assert {(r.agent, r.reason) for r in catalog.greedy_trips(spark, str(tmp_path)).collect()} == {(None, "no candidate")}
     assert [(r.pairs, r.jobs) for r in catalog.bucketed_candidates(spark, str(tmp_path)).collect()] == [(0, 200)]
+
+
+TRIP = "pickup_datetime timestamp, taxi_id string, hvfhs_license_num string, driver_pay double, tips double, trip_miles double, PULocationID int"
+
+
+def trip(day, zone=1):
+    return (dt.datetime(day.year, day.month, day.day, 9), "T1", "L", 10.0, 0.0, 1.0, zone)
+
+
+def test_days_are_complete_by_trips_of_any_zone(spark, tmp_path):
+    first, second, third = (dt.date(2025, 3, d) for d in (1, 2, 3))
+    put(spark, tmp_path, "monthly_taxi_trip", [trip(first, 7), trip(first, 149), trip(second, 8)], TRIP)
+    put(spark, tmp_path, "documents", [(first,), (second,), (third,), (None,)], "published_on date")
+    got = {r.day: (r.trips, r.documents, r.complete) for r in catalog.daily_completeness(spark, str(tmp_path)).collect()}
+    assert (got["2025-03-01"], got["2025-03-02"], got["2025-03-03"]) == ((2, 1, True), (1, 1, True), (None, 1, False))
+    assert got["2025-03-04"] == (None, None, False)
