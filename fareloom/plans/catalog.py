@@ -434,12 +434,13 @@ def rebuilt_states(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _requests(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """What each driver of the last month would rather drive: newer models of at most the same fee, then the own one; and the units free."""
+    """What each driver of the last month would rather drive: newer models of at most the same fee, then the own one; and the units free: the stock less the distinct drivers of that month who hold one."""
     models = table(spark, folder, "inventory").select(F.col("vehicle_model_id").alias("item"), F.col("weekly_lease_fee").alias("fee"), "model_year", "stock")
     d = _drivers(spark, folder).where("snapshot_month = '2025-05' and weekly_lease_fee is not null and not isnan(weekly_lease_fee)").groupBy("driver_id").agg(F.min("vehicle_model_id").alias("model"), F.min("weekly_lease_fee").alias("own_fee"), F.min("experience_years").alias("years"))
     c = d.join(F.broadcast(models), (F.col("item") == F.col("model")) | (F.col("fee") <= F.col("own_fee"))).withColumn("own", F.col("item") == F.col("model"))
     ranked = allocation.preference_ranks(c, ["driver_id"], [F.desc("model_year"), F.asc("fee"), F.asc("item")])
-    return ranked, models.select("item", (F.col("stock") % 4).alias("free"))
+    held = _drivers(spark, folder).where("snapshot_month = '2025-05'").groupBy(F.col("vehicle_model_id").alias("item")).agg(F.count_distinct("driver_id").alias("held"))
+    return ranked, models.join(held, "item", "left").select("item", F.greatest(F.col("stock") - F.coalesce("held", F.lit(0)), F.lit(0)).alias("free"))
 
 
 def accepted_requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -517,7 +518,7 @@ def day_loads(spark: SparkSession, folder: str) -> DataFrame:
 def overbooked_models(spark: SparkSession, folder: str) -> DataFrame:
     """Models of a snapshot that the inventory lacks or that more drivers have than it has units."""
     used = _drivers(spark, folder).groupBy("snapshot_month", F.col("vehicle_model_id").alias("model")).agg(F.count_distinct("driver_id").alias("used"))
-    stock = table(spark, folder, "inventory").select(F.col("vehicle_model_id").alias("model"), (F.col("stock") % 9).alias("stock"))
+    stock = table(spark, folder, "inventory").select(F.col("vehicle_model_id").alias("model"), "stock")
     return used.join(F.broadcast(stock), "model", "left").where(F.col("stock").isNull() | (F.col("used") > F.col("stock")))
 
 

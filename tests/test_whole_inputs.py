@@ -44,3 +44,19 @@ def test_days_are_complete_by_trips_of_any_zone(spark, tmp_path):
     got = {r.day: (r.trips, r.documents, r.complete) for r in catalog.daily_completeness(spark, str(tmp_path)).collect()}
     assert (got["2025-03-01"], got["2025-03-02"], got["2025-03-03"]) == ((2, 1, True), (1, 1, True), (None, 1, False))
     assert got["2025-03-04"] == (None, None, False)
+
+
+INVENTORY = "vehicle_model_id string, weekly_lease_fee double, model_year int, stock int"
+
+
+def test_units_are_the_stock_less_those_held(spark, tmp_path):
+    put(spark, tmp_path, "inventory", [("M1", 200.0, 2024, 5), ("M2", 300.0, 2020, 9), ("M3", 900.0, 2019, 1)], INVENTORY)
+    drivers = [driver(i, model="M2", years=i) for i in range(1, 9)] + [driver(9, model="M1", fee=200.0), driver(10, model="M3", fee=150.0), driver(11, model="M3", fee=150.0), driver(12, model="M9", fee=150.0)]
+    put(spark, tmp_path, "driver_snapshot", drivers, DRIVER)
+    for query in (catalog.accepted_requests, catalog.single_pass_requests):
+        got = {r.driver_id: (r.item, r.own) for r in query(spark, str(tmp_path)).collect()}
+        # Of five units of M1 one is held; the four drivers of longest experience get the others.
+        assert {d: got[d] for d in got if got[d][0] == "M1"} == {"D009": ("M1", True)} | {f"D{i:03}": ("M1", False) for i in range(5, 9)}
+        assert {d for d in got if got[d] == ("M2", True)} == {f"D{i:03}" for i in range(1, 5)}
+    over = {r.model: (r.used, r.stock) for r in catalog.overbooked_models(spark, str(tmp_path)).collect()}
+    assert over == {"M3": (2, 1), "M9": (1, None)}
