@@ -170,8 +170,8 @@ def asof_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def versions_without_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshots in the data that the load list lacks (of the loads made in the first half of a month)."""
-    loads = table(spark, folder, "gold_load_versions").where(F.dayofmonth("created_at") <= 8)
+    """Snapshots in the data that the load list lacks."""
+    loads = table(spark, folder, "gold_load_versions")
     return quality.unmatched(table(spark, folder, "gold"), loads, ["service_area", "year_month", "version"])
 
 
@@ -375,13 +375,17 @@ def month_calendar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _weekly(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips of every seventh day."""
-    t = _trips(spark, folder).groupBy("day").agg(F.count("*").cast("double").alias("value"))
-    return t.withColumn("at", F.datediff("day", F.lit("2025-01-01").cast("date"))).where("at % 7 = 0 and at between 45 and 130").select("at", "value")
+    """Mean trips a day of each week (Monday to Sunday, within the usable days), at the middle day of the week. Weeks without trips are gaps."""
+    since = lambda d: F.datediff(d, F.lit("2025-01-01").cast("date"))
+    monday = since(F.date_trunc("week", "day").cast("date"))
+    first = F.greatest(monday, since(F.lit(USABLE_FROM).cast("date")))
+    last = F.least(monday + 6, since(F.lit(USABLE_TO).cast("date")) - 1)
+    t = _trips(spark, folder).groupBy(first.alias("first"), last.alias("last")).agg(F.count("*").alias("n"))
+    return t.select(F.floor((F.col("first") + F.col("last")) / 2).cast("int").alias("at"), (F.col("n") / (F.col("last") - F.col("first") + 1)).alias("value"))
 
 
 def daily_from_weekly(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily values between weekly observations, constant beyond them."""
+    """Daily values between the means of all weeks, constant beyond them."""
     grid = spark.range(31, 151).select(F.col("id").cast("int").alias("at"))
     return series.interpolate(_weekly(spark, folder), grid, "at", "value").select("at", F.round("value", 6).alias("value"), "kind")
 
@@ -389,7 +393,7 @@ def daily_from_weekly(spark: SparkSession, folder: str) -> DataFrame:
 def monthly_fees(spark: SparkSession, folder: str) -> DataFrame:
     """The mean fee of a maker for each month of half a year, missing months between their neighbours."""
     month = (F.substring("snapshot_month", 1, 4).cast("int") * 12 + F.substring("snapshot_month", 6, 2).cast("int") - 1).cast("int")
-    d = _drivers(spark, folder).where("weekly_lease_fee is not null and not isnan(weekly_lease_fee) and snapshot_month <> '2025-03' and manufacturer is not null")
+    d = _drivers(spark, folder).where("weekly_lease_fee is not null and not isnan(weekly_lease_fee) and manufacturer is not null")
     points = d.groupBy("manufacturer", month.alias("at")).agg((F.sum(F.round(F.col("weekly_lease_fee") * 100).cast("bigint")) / F.count("*")).alias("fee"))
     grid = points.select("manufacturer").distinct().select("manufacturer", F.explode(F.sequence(F.lit(24300), F.lit(24306))).alias("at"))
     return series.interpolate(points, grid, "at", "fee", ["manufacturer"]).select("manufacturer", "at", F.round("fee", 3).alias("fee"), "kind")

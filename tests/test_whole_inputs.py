@@ -60,3 +60,27 @@ def test_units_are_the_stock_less_those_held(spark, tmp_path):
         assert {d for d in got if got[d] == ("M2", True)} == {f"D{i:03}" for i in range(1, 5)}
     over = {r.model: (r.used, r.stock) for r in catalog.overbooked_models(spark, str(tmp_path)).collect()}
     assert over == {"M3": (2, 1), "M9": (1, None)}
+
+
+def test_weekly_points_hold_all_trips(spark, tmp_path):
+    start = dt.date(2025, 2, 1)
+    days = [start + dt.timedelta(days=i) for i in range(120)]
+    # Two weeks without trips are a gap; 1 April is a Tuesday with seven trips more.
+    kept = [d for d in days if not dt.date(2025, 3, 3) <= d <= dt.date(2025, 3, 16)] + [dt.date(2025, 4, 1)] * 7
+    put(spark, tmp_path, "monthly_taxi_trip", [trip(d) for d in kept], TRIP)
+    got = {r.at: (r.value, r.kind) for r in catalog.daily_from_weekly(spark, str(tmp_path)).collect()}
+    at = lambda m, d: (dt.date(2025, m, d) - dt.date(2025, 1, 1)).days
+    assert got[at(4, 3)] == (2.0, "observed") and got[at(3, 10)] == (1.0, "interpolated")
+    assert [k for k in sorted(got) if got[k][1] == "extended"] == [at(5, 29), at(5, 30), at(5, 31)]
+    assert sum(kind == "observed" for _, kind in got.values()) == 16
+    loads = {r.at: (r.trips, r.ratio) for r in catalog.day_loads(spark, str(tmp_path)).collect()}
+    assert loads[at(4, 3)] == (1, 0.5) and loads[at(5, 28)] == (1, 1.0)
+
+
+def test_all_months_and_all_loads_count(spark, tmp_path):
+    put(spark, tmp_path, "driver_snapshot", [driver(1, f"2025-{m:02}", fee=f) for m, f in ((2, 100.0), (3, 400.0), (5, 200.0))], DRIVER)
+    fees = {r.at - 24299: (r.fee, r.kind) for r in catalog.monthly_fees(spark, str(tmp_path)).collect()}
+    assert fees[3] == (40000.0, "observed") and fees[4] == (30000.0, "interpolated") and fees[1] == (10000.0, "extended")
+    put(spark, tmp_path, "gold", [("NYC", "2025-03", v) for v in (1, 1, 2)], "service_area string, year_month string, version int")
+    put(spark, tmp_path, "gold_load_versions", [("NYC", "2025-03", 1, dt.datetime(2025, 4, 20))], "service_area string, year_month string, version int, created_at timestamp")
+    assert [r.version for r in catalog.versions_without_load(spark, str(tmp_path)).collect()] == [2]
