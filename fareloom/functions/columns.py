@@ -40,14 +40,18 @@ def within(c: Column, low: str, high: str) -> Column:
     return (c >= F.lit(low).cast("timestamp_ntz")) & (c < F.lit(high).cast("timestamp_ntz"))
 
 
-def cents(c: Column, most: float = 1e12) -> Column:
-    """A money amount as whole cents; null for amounts that are not finite or beyond ``most``.
+#: Amounts from here on have no whole number of cents of 64 bits.
+CENTS_END = 9.2e16
 
-    Whole numbers make every sum independent of the order of its terms.
-    """
-    return F.when(finite(c) & (F.abs(c) <= F.lit(most)), F.round(c * 100).cast("bigint"))
 
+def cents(c: Column) -> Column:
+    """A money amount as whole cents, rounded; null for amounts that are not finite.
 
+    Whole numbers make every sum independent of the order of its terms. A finite amount whose cents don't fit 64 bits fails the
+    query rather than being left out; so does a sum that doesn't.
+    """
+    beyond = F.raise_error(F.concat(F.lit("no whole cents of 64 bits: "), c.cast("string"))).cast("bigint")
+    return F.when(finite(c), F.when(F.abs(c) < F.lit(CENTS_END), F.round(c * 100).cast("bigint")).otherwise(beyond))
 
 
 def natural_key(columns: list[str], occurrence: Column | None = None) -> Column:

@@ -1,91 +1,103 @@
-"""Giving limited units to agents with preferences."""
+"""Giving limited units to agents with preferences.
+
+Requests are put in order once, by item and priority, as ranges over the whole cluster (``queued``). The number of a
+range then is a coarse priority: to find the best k of any subset of an item's requests it is enough to count them per
+range, and to order those of the one range in which the k-th lies. No task ever orders all requests of an item.
+"""
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.session import drop_written, written
 
-#: Requests up to which a group's rounds are played in one task; beyond, each round is a distributed step.
-IN_ONE_TASK = 500_000
-
 
 def preference_ranks(candidates: DataFrame, agent: list[str], order: list[Column]) -> DataFrame:
     """Adds ``rank`` per agent by ``order``, which should end in something unique."""
     return candidates.withColumn("rank", F.row_number().over(Window.partitionBy(*agent).orderBy(*order)))
 
 
-def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str] | None = None, in_one_task: int = IN_ONE_TASK) -> DataFrame:
+def _known(names: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in names))
+
+
+def queued(requests: DataFrame, place: list[str], priority: list[Column]) -> DataFrame:
+    """The requests with ``_range``: a number that never falls from a better to a worse priority for the same ``place``. Written, so that it stays what it is."""
+    return written(requests.repartitionByRange(*place, *priority).withColumn("_range", F.spark_partition_id()), "queued")
+
+
+def best_of(now: DataFrame, place: list[str], priority: list[Column], units: str) -> DataFrame:
+    """Of the queued rows of each ``place`` the first ``units`` (a column, equal within a place) by ``priority``."""
+    before = Window.partitionBy(*place).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    spans = now.groupBy(*place, "_range").agg(F.count("*").alias("_n")).withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    sized = now.join(spans, [*place, "_range"]).where(F.col("_ahead") < F.col(units))
+    whole = sized.where(F.col("_ahead") + F.col("_n") <= F.col(units))
+    # Only the range that holds the last unit is put in order.
+    order = Window.partitionBy(*place, "_range").orderBy(*priority)
+    cut = sized.where(F.col("_ahead") + F.col("_n") > F.col(units)).withColumn("_at", F.row_number().over(order)).where(F.col("_ahead") + F.col("_at") <= F.col(units))
+    return whole.unionByName(cut.drop("_at")).drop("_n", "_ahead")
+
+
+def _with_units(requests: DataFrame, stock: DataFrame, place: list[str]) -> DataFrame:
+    on = [c for c in place if c in stock.columns]
+    return requests.join(stock.where(F.col("free") > 0).groupBy(*on).agg(F.sum("free").cast("bigint").alias("_left")), on)
+
+
+def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str] | None = None) -> DataFrame:
     """One row per agent that gets something: immediate acceptance in rounds of preference.
 
     ``ranked`` has a row per agent and item with ``rank`` (1 is best) and the boolean ``own``. In round r every agent still without an item asks for
     its choice of rank r. An agent's own item is always granted; others go by ``priority`` while units are left, and what is granted is never taken back.
-    ``stock``: item and ``free``, the units that may be given in each ``group``; items it lacks have none. ``agent`` includes the ``group`` columns.
+    ``stock``: item and ``free``, the units that may be given in each ``group``, or in one group if it names the group's columns too; items it lacks have none. ``agent`` includes the ``group`` columns.
+    Rows with a null agent, item or rank ask for nothing; ``priority`` should end in something unique.
 
-    Choices below an agent's own can't matter and are dropped first, so there are at most as many rounds as any agent has better choices.
-    Up to ``in_one_task`` requests in all are played out group by group in single tasks. Beyond that each round is a written table: its plan is one scan,
-    and it survives a lost executor. Both ways give the same rows.
+    An own item takes no unit and ends an agent's list, so it concerns nobody else: it is what an agent falls back on when all rounds are over. A choice
+    whose item has no unit left can never be granted and leaves the open requests at once. And an item with as many units left as there are open requests
+    for it, of whatever rank, refuses nobody: whoever asks for it first gets it, without waiting for the round. So rounds are played only for ranks at which
+    an item is contested, and each rewrites only requests that are still possible.
     """
     group = group or []
-    own_rank = ranked.where(F.col(own)).groupBy(*agent).agg(F.min("rank").alias("_own"))
-    asked = written(ranked.join(own_rank, agent, "left").where(F.col("_own").isNull() | (F.col("rank") <= F.col("_own"))).drop("_own"), "asked")
-    if asked.count() <= in_one_task:
-        return _played_out(asked, agent, item, own, priority, stock, group)
-    rounds = asked.agg(F.max("rank")).first()[0] or 0
-    free = stock.select(F.col(item).alias("_item"), F.col("free").alias("_free"))
-    given: DataFrame | None = None
-    for r in range(1, rounds + 1):
-        now = asked.where(F.col("rank") == r)
-        if given is not None:
-            now = now.join(given.select(*agent), agent, "left_anti")
-            used = given.where(~F.col(own)).groupBy(*group, F.col(item)).agg(F.count("*").alias("_used"))
-            now = now.join(used, [*group, item], "left")
-        else:
-            now = now.withColumn("_used", F.lit(0))
-        now = now.join(free, F.col(item) == F.col("_item"), "left")
-        place = F.row_number().over(Window.partitionBy(*group, item, own).orderBy(*priority))
-        left = F.coalesce("_free", F.lit(0)) - F.coalesce("_used", F.lit(0))
-        won = now.withColumn("_place", place).where(F.col(own) | (F.col("_place") <= left)).drop("_place", "_used", "_free", "_item")
-        before, given = given, written(won if given is None else given.unionByName(won), "given")
-        if before is not None:
-            drop_written(before)
-    return given if given is not None else asked
-
-
-def single_pass(ranked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame) -> DataFrame:
+    place = [*group, item]
+    asked = ranked.where(_known([*agent, item, "rank"]))
+    mine = asked.where(F.col(own)).groupBy(*agent).agg(F.min("rank").alias("_own"))
+    above = asked.where(~F.coalesce(F.col(own), F.lit(False))).join(mine, agent, "left").where(F.col("_own").isNull() | (F.col("rank") < F.col("_own"))).drop("_own")
+    queue = queued(_with_units(above, stock, place), place, priority)
+    won: list[DataFrame] = []
+    # An agent's own list is short: the window holds one list at a time.
+    turn = F.min("rank").over(Window.partitionBy(*agent))
+    while True:
+        wanted = queue.groupBy(*place).agg(F.count("*").alias("_wanted"))
+        tagged = queue.join(wanted, place).withColumn("_safe", F.col("_wanted") <= F.col("_left")).drop("_wanted").withColumn("_turn", turn)
+        contested = tagged.where("not _safe")
+        round_ = contested.groupBy(*group).agg(F.min("rank").alias("_round")) if group else contested.agg(F.min("rank").alias("_round"))
+        tagged = tagged.join(round_, group, "left") if group else tagged.crossJoin(F.broadcast(round_))
+        asking = tagged.where("rank = _turn")
+        ruled = best_of(asking.where("not _safe and rank = _round"), place, priority, "_left")
+        given = written(asking.where("_safe").unionByName(ruled).drop("_safe", "_turn", "_round"), "given")
+        taken = given.groupBy(*place).agg(F.count("*").alias("_taken"))
+        rest = tagged.where("_safe or rank > _round").drop("_safe", "_turn", "_round").join(given.select(*agent), agent, "left_anti").join(taken, place, "left")
+        rest = rest.withColumn("_left", F.col("_left") - F.coalesce("_taken", F.lit(0))).where("_left > 0").drop("_taken")
+        won.append(given)
+        done, queue = queue, written(rest, "queue")
+        drop_written(done)
+        if queue.isEmpty():
+            break
+    granted = reduce(DataFrame.unionByName, won)
+    kept = asked.where(F.col(own)).join(mine, agent).where(F.col("rank") == F.col("_own")).drop("_own").join(granted.select(*agent), agent, "left_anti")
+    return granted.select(*ranked.columns).unionByName(kept.select(*ranked.columns))
+
+
+def single_pass(ranked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str] | None = None) -> DataFrame:
     """One row per agent: its best choice among its own item and those items for which it is among the first ``free`` by priority.
 
-    All requests for an item are ranked at once, without rounds; units of agents that choose something better stay unused.
+    All requests for an item are ranked at once, without rounds; units of agents that choose something better stay unused. Nulls as in :func:`immediate_acceptance`.
     """
-    place = F.when(~F.col(own), F.sum(F.when(F.col(own), 0).otherwise(1)).over(Window.partitionBy(item).orderBy(*priority).rowsBetween(Window.unboundedPreceding, 0)))
-    free = stock.select(F.col(item).alias("_item"), F.col("free").alias("_free"))
-    feasible = ranked.withColumn("_place", place).join(free, F.col(item) == F.col("_item"), "left").where(F.col(own) | (F.col("_place") <= F.coalesce("_free", F.lit(0))))
-    return feasible.withColumn("_best", F.row_number().over(Window.partitionBy(*agent).orderBy("rank"))).where("_best = 1").drop("_best", "_place", "_item", "_free")
-
-
-def _played_out(asked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str]) -> DataFrame:
-    """All rounds of a group in one task. The order of requests for an item is fixed beforehand as ``_place``."""
-    free = stock.select(F.col(item).alias("_item"), F.col("free").alias("_free"))
-    placed = asked.withColumn("_place", F.row_number().over(Window.partitionBy(*group, item, own).orderBy(*priority)))
-    placed = placed.join(free, F.col(item) == F.col("_item"), "left").withColumns({"_free": F.coalesce("_free", F.lit(0)), "_agent": F.to_json(F.struct(*agent))}).drop("_item")
-    names = asked.columns
-
-    def play(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["rank", "_place"], kind="stable").reset_index(drop=True)
-        given: set[str] = set()
-        used: dict[str, int] = {}
-        won = []
-        for i, who, what, mine, left in zip(rows.index, rows["_agent"], rows[item], rows[own], rows["_free"], strict=True):
-            if who in given:
-                continue
-            if not mine:
-                if used.get(what, 0) >= left:
-                    continue
-                used[what] = used.get(what, 0) + 1
-            given.add(who)
-            won.append(i)
-        return rows.loc[won, names]
-
-    return placed.withColumn("_all", F.lit(0)).groupBy(*(group or ["_all"])).applyInPandas(play, asked.schema)
+    place = [*(group or []), item]
+    asked = ranked.where(_known([*agent, item, "rank"]))
+    others = queued(_with_units(asked.where(~F.coalesce(F.col(own), F.lit(False))), stock, place), place, priority)
+    feasible = best_of(others, place, priority, "_left").select(*ranked.columns).unionByName(asked.where(F.col(own)).select(*ranked.columns))
+    # An agent's choices are as many as its list is long.
+    return feasible.withColumn("_best", F.row_number().over(Window.partitionBy(*agent).orderBy("rank"))).where("_best = 1").drop("_best")

@@ -99,10 +99,11 @@ def comparable_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def price_mentions(spark: SparkSession, folder: str) -> DataFrame:
-    """The first dollar amount of each document within bounds, and whether there is an unreadable one."""
-    text = F.regexp_replace(F.regexp_extract("text", r"\$ ?([0-9][0-9,]*(?:\.[0-9]+)?)", 1), ",", "")
-    value, bad = readers.optional_number(text, 50, 5000)
-    return table(spark, folder, "documents").where("text is not null").select("doc_id", value.alias("price"), bad.alias("out_of_bounds")).where("price is not null or out_of_bounds")
+    """Every dollar amount of each document, numbered in order; null and flagged when it is not within bounds."""
+    each = F.posexplode(F.regexp_extract_all("text", F.lit(r"\$ ?([0-9][0-9,]*(?:\.[0-9]+)?)"), F.lit(1)))
+    found = table(spark, folder, "documents").where("text is not null").select("doc_id", each.alias("place", "amount"))
+    value, bad = readers.optional_number(F.regexp_replace("amount", ",", ""), 50, 5000)
+    return found.select("doc_id", (F.col("place") + 1).alias("place"), value.alias("price"), bad.alias("out_of_bounds"))
 
 
 def stripped_lengths(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,7 +134,7 @@ def model_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unknown_taxis(spark: SparkSession, folder: str) -> DataFrame:
-    """The first few attributed taxis without trips on record."""
+    """The first few drivers on record to whom no trip is attributed."""
     a = table(spark, folder, "attribution").select(clean_id(F.col("driver_id")).alias("driver_id")).where("driver_id is not null")
     return quality.unmatched(_drivers(spark, folder).select("driver_id"), a, ["driver_id"], 20)
 
@@ -190,10 +191,10 @@ def model_variants(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cheaper_models(spark: SparkSession, folder: str) -> DataFrame:
-    """Per driver the number of models whose fee is lower than the driver's own (each driver against the 36 models)."""
+    """Per driver and month the number of models whose fee is lower than the driver's own (each driver against the 36 models)."""
     models = table(spark, folder, "inventory").select(F.col("weekly_lease_fee").alias("fee"))
-    d = _drivers(spark, folder).where("snapshot_month = '2025-05' and weekly_lease_fee is not null and not isnan(weekly_lease_fee)").select("driver_id", "weekly_lease_fee")
-    return d.join(F.broadcast(models), F.col("fee") < F.col("weekly_lease_fee"), "left").groupBy("driver_id").agg(F.count("fee").alias("cheaper"))
+    d = _drivers(spark, folder).where("weekly_lease_fee is not null and not isnan(weekly_lease_fee)").groupBy("snapshot_month", "driver_id").agg(F.min("weekly_lease_fee").alias("own_fee"))
+    return d.join(F.broadcast(models), F.col("fee") < F.col("own_fee"), "left").groupBy("snapshot_month", "driver_id").agg(F.count("fee").alias("cheaper"))
 
 
 def profit_thresholds(spark: SparkSession, folder: str) -> DataFrame:
@@ -438,26 +439,64 @@ def rebuilt_states(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _requests(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """What each driver of the last month would rather drive: newer models of at most the same fee, then the own one; and the units free: the stock less the distinct drivers of that month who hold one."""
+    """What each driver of a snapshot month would rather drive: newer models of at most the same fee, then the own one; and, for each month, the units free:
+    the stock less the distinct drivers of that month who hold one. Items are models of a month, so that each month has its own units."""
     models = table(spark, folder, "inventory").select(F.col("vehicle_model_id").alias("item"), F.col("weekly_lease_fee").alias("fee"), "model_year", "stock")
-    d = _drivers(spark, folder).where("snapshot_month = '2025-05' and weekly_lease_fee is not null and not isnan(weekly_lease_fee)").groupBy("driver_id").agg(F.min("vehicle_model_id").alias("model"), F.min("weekly_lease_fee").alias("own_fee"), F.min("experience_years").alias("years"))
+    every = _drivers(spark, folder)
+    d = every.where("weekly_lease_fee is not null and not isnan(weekly_lease_fee)").groupBy("snapshot_month", "driver_id").agg(F.min("vehicle_model_id").alias("model"), F.min("weekly_lease_fee").alias("own_fee"), F.min("experience_years").alias("years"))
     c = d.join(F.broadcast(models), (F.col("item") == F.col("model")) | (F.col("fee") <= F.col("own_fee"))).withColumn("own", F.col("item") == F.col("model"))
-    ranked = allocation.preference_ranks(c, ["driver_id"], [F.desc("model_year"), F.asc("fee"), F.asc("item")])
-    held = _drivers(spark, folder).where("snapshot_month = '2025-05'").groupBy(F.col("vehicle_model_id").alias("item")).agg(F.count_distinct("driver_id").alias("held"))
-    return ranked, models.join(held, "item", "left").select("item", F.greatest(F.col("stock") - F.coalesce("held", F.lit(0)), F.lit(0)).alias("free"))
+    ranked = allocation.preference_ranks(c, ["snapshot_month", "driver_id"], [F.desc("model_year"), F.asc("fee"), F.asc("item")])
+    held = every.groupBy("snapshot_month", F.col("vehicle_model_id").alias("item")).agg(F.count_distinct("driver_id").alias("held"))
+    months = every.select("snapshot_month").distinct()
+    free = months.crossJoin(F.broadcast(models)).join(held, ["snapshot_month", "item"], "left").select("snapshot_month", "item", F.greatest(F.col("stock") - F.coalesce("held", F.lit(0)), F.lit(0)).alias("free"))
+    return ranked, free
 
 
 def accepted_requests(spark: SparkSession, folder: str) -> DataFrame:
-    """Immediate acceptance of requests while units last, longer experience first."""
+    """Immediate acceptance of requests in each month while units last, longer experience first."""
     ranked, stock = _requests(spark, folder)
-    given = allocation.immediate_acceptance(ranked, ["driver_id"], "item", "own", [F.desc("years"), F.asc("driver_id")], stock)
-    return given.select("driver_id", "item", "rank", "own")
+    given = allocation.immediate_acceptance(ranked, ["snapshot_month", "driver_id"], "item", "own", [F.desc("years"), F.asc("driver_id")], stock, ["snapshot_month"])
+    return given.select("snapshot_month", "driver_id", "item", "rank", "own")
 
 
 def single_pass_requests(spark: SparkSession, folder: str) -> DataFrame:
-    """The best of the items for which a driver is among the first by experience."""
+    """In each month the best of the items for which a driver is among the first by experience."""
     ranked, stock = _requests(spark, folder)
-    return allocation.single_pass(ranked, ["driver_id"], "item", "own", [F.desc("years"), F.asc("driver_id")], stock).select("driver_id", "item", "rank", "own")
+    given = allocation.single_pass(ranked, ["snapshot_month", "driver_id"], "item", "own", [F.desc("years"), F.asc("driver_id")], stock, ["snapshot_month"])
+    return given.select("snapshot_month", "driver_id", "item", "rank", "own")
+
+
+SAVINGS = [0, 25, 50, 100, 200]
+
+
+def _sweep(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The requests again for each of a list of least savings a week: below it a model is none for the driver. Greater savings first."""
+    ranked, stock = _requests(spark, folder)
+    steps = spark.createDataFrame([(x,) for x in SAVINGS], "least int")
+    c = ranked.drop("rank").withColumn("saving", F.col("own_fee") - F.col("fee")).join(F.broadcast(steps), F.col("own") | (F.col("saving") >= F.col("least")))
+    order = [F.desc("saving"), F.desc("own"), F.asc("item")]
+    return allocation.preference_ranks(c, ["snapshot_month", "least", "driver_id"], order), stock
+
+
+def savings_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """Immediate acceptance for each month and least saving, independently: who gets what."""
+    ranked, stock = _sweep(spark, folder)
+    key = ["snapshot_month", "least", "driver_id"]
+    given = allocation.immediate_acceptance(ranked, key, "item", "own", [F.desc("saving"), F.asc("driver_id")], stock, ["snapshot_month", "least"])
+    return given.select(*key, "item", "rank", "own")
+
+
+def sweep_grain(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold for each month and least saving: a row a driver, as many as before, no model given more often than it was free, no loss."""
+    ranked, stock = _sweep(spark, folder)
+    by = ["snapshot_month", "least"]
+    given = allocation.immediate_acceptance(ranked, [*by, "driver_id"], "item", "own", [F.desc("saving"), F.asc("driver_id")], stock, by)
+    asking = ranked.groupBy(*by).agg(F.count_distinct("driver_id").alias("asking"), F.count_distinct("driver_id", "item").alias("grain"), F.count("*").alias("rows"))
+    most = given.where("not own").groupBy(*by, "item").agg(F.count("*").alias("n")).join(stock, ["snapshot_month", "item"], "left").where("free is null or n > free").groupBy(*by).agg(F.count("*").alias("over"))
+    got = given.groupBy(*by).agg(F.count("*").alias("given"), F.count_distinct("driver_id").alias("drivers"), F.min("saving").alias("least_saving"))
+    return asking.join(got, by, "left").join(most, by, "left").select(
+        *by, "asking", "given", (F.col("grain") == F.col("rows")).alias("one_row_a_choice"), (F.col("given") == F.col("drivers")).alias("one_row_a_driver"), F.coalesce("over", F.lit(0)).alias("over"), (F.col("least_saving") >= 0).alias("no_loss")
+    )
 
 
 def _candidates(spark: SparkSession, folder: str) -> DataFrame:
@@ -565,7 +604,7 @@ QUERIES = {
         model_profiles, unknown_taxis, zone_pairs, attributed_trips, vehicle_matches, asof_snapshot, versions_without_load, busy_zones, model_variants, cheaper_models, profit_thresholds,
         driver_month_totals, tier_rates, totals_kept, trip_key_counts, repeated_trips, zone_minutes, fleet_by_model, maker_ranges, first_taxi, snapshot_kpis, top_zones, top_makers, profit_histogram,
         working_capacity, shared_units, numbered_units, snapshot_grain, best_attributions, occurrences, dear_trips, newest_version, expired, best_hours, all_versions, month_calendar,
-        daily_from_weekly, monthly_fees, daily_completeness, stale_taxis, decayed_activity, folded_users, rebuilt_states, accepted_requests, single_pass_requests, bucketed_candidates, greedy_trips,
+        daily_from_weekly, monthly_fees, daily_completeness, stale_taxis, decayed_activity, folded_users, rebuilt_states, accepted_requests, single_pass_requests, savings_sweep, sweep_grain, bucketed_candidates, greedy_trips,
         attribution_quality, required_values, snapshot_balance, trip_keys, day_loads, overbooked_models, filled_fees, driver_traits, favourite_zones, driver_experience, model_flags,
     )
 }

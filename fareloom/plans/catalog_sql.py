@@ -1,7 +1,7 @@
-"""SQL that gives the same rows as the queries of ``catalog``. Rounds of acceptance and greedy assignment depend on earlier decisions and have none."""
+"""SQL that gives the same rows as the queries of ``catalog``. What depends on earlier decisions (rounds of acceptance) is a recursive query."""
 
 _ID = "nullif(upper(trim({0})), '')"
-_CENTS = "CASE WHEN isfinite({0}) AND abs({0}) <= 1e12 THEN CAST(round({0} * 100) AS BIGINT) END"
+_CENTS = "CASE WHEN isfinite({0}) THEN CAST(round({0} * 100) AS BIGINT) END"
 _TRIPS = f"""trips AS (
   SELECT * REPLACE (upper(trim(taxi_id)) AS taxi_id), {_ID.format('hvfhs_license_num')} AS licence, CAST(pickup_datetime AS DATE) AS day,
     {_CENTS.format('driver_pay')} AS pay, {_CENTS.format('tips')} AS tip, {_CENTS.format('trip_miles')} AS miles
@@ -22,12 +22,44 @@ _MASKS = """masks AS (
   SELECT taxi_id, CAST(bit_or(1 << CAST(isodow(day) - 1 AS INTEGER)) AS INTEGER) AS mask, count(*) FILTER (isodow(day) >= 6) AS weekend_trips, count(DISTINCT isodow(day)) AS weekdays
   FROM trips GROUP BY taxi_id)"""
 _REQUESTS = f"""
-WITH {_DRIVERS},
-d AS (SELECT driver_id, min(vehicle_model_id) AS model, min(weekly_lease_fee) AS own_fee, min(experience_years) AS years
-  FROM drivers WHERE snapshot_month = '2025-05' AND NOT isnan(weekly_lease_fee) GROUP BY driver_id),
-c AS (SELECT d.*, i.vehicle_model_id AS item, i.vehicle_model_id = d.model AS own, i.stock % 4 AS free,
-    row_number() OVER (PARTITION BY driver_id ORDER BY i.model_year DESC, i.weekly_lease_fee, i.vehicle_model_id) AS rank
-  FROM d JOIN inventory i ON i.vehicle_model_id = d.model OR i.weekly_lease_fee <= d.own_fee)"""
+WITH RECURSIVE {_DRIVERS},
+d AS (SELECT snapshot_month, driver_id, min(vehicle_model_id) AS model, min(weekly_lease_fee) AS own_fee, min(experience_years) AS years
+  FROM drivers WHERE NOT isnan(weekly_lease_fee) GROUP BY ALL),
+h AS (SELECT snapshot_month, vehicle_model_id AS item, count(DISTINCT driver_id) AS held FROM drivers GROUP BY ALL),
+f AS (SELECT m.snapshot_month, i.vehicle_model_id AS item, greatest(i.stock - coalesce(h.held, 0), 0) AS free
+  FROM (SELECT DISTINCT snapshot_month FROM drivers) m, inventory i LEFT JOIN h ON h.snapshot_month = m.snapshot_month AND h.item = i.vehicle_model_id),
+c AS (SELECT d.*, i.vehicle_model_id AS item, i.vehicle_model_id = d.model AS own, f.free, d.own_fee - i.weekly_lease_fee AS saving,
+    row_number() OVER (PARTITION BY d.snapshot_month, driver_id ORDER BY i.model_year DESC, i.weekly_lease_fee, i.vehicle_model_id) AS rank
+  FROM d JOIN inventory i ON i.vehicle_model_id = d.model OR i.weekly_lease_fee <= d.own_fee JOIN f ON f.snapshot_month = d.snapshot_month AND f.item = i.vehicle_model_id)"""
+
+
+def _rounds(requests: str, group: str, first: str) -> str:
+    """Immediate acceptance, one step of the recursion per round: a row of the state is an agent that has got something, or the round's number alone."""
+    g = group.split(", ")
+    same = lambda a, b: " AND ".join(f"{a}.{x} = {b}.{x}" for x in [*g, "driver_id"])
+    item = lambda a, b: " AND ".join(f"{a}.{x} = {b}.{x}" for x in [*g, "item"])
+    return f""",
+s AS (
+  SELECT 0 AS step, {', '.join(f'(SELECT any_value({x}) FROM {requests} WHERE false) AS {x}' for x in g)}, CAST(NULL AS VARCHAR) AS driver_id, CAST(NULL AS VARCHAR) AS item, CAST(NULL AS BIGINT) AS rank, CAST(NULL AS BOOLEAN) AS own
+  UNION ALL
+  (SELECT s.step + 1, {', '.join(f's.{x}' for x in g)}, s.driver_id, s.item, s.rank, s.own FROM s WHERE s.step < (SELECT max(rank) FROM {requests})
+  UNION ALL
+  SELECT step, {group}, driver_id, item, rank, own FROM (
+    SELECT r.rank AS step, {', '.join(f'r.{x}' for x in g)}, r.driver_id, r.item, r.rank, r.own, r.free - coalesce(u.used, 0) AS units,
+      row_number() OVER (PARTITION BY {', '.join(f'r.{x}' for x in g)}, r.item, r.own ORDER BY {first}) AS place
+    FROM {requests} r JOIN (SELECT DISTINCT step FROM s) n ON r.rank = n.step + 1
+    LEFT JOIN (SELECT {group}, item, count(*) AS used FROM s WHERE NOT own GROUP BY ALL) u ON {item('u', 'r')}
+    WHERE NOT EXISTS (SELECT 1 FROM s t WHERE {same('t', 'r')}))
+  WHERE own OR place <= units))"""
+
+
+_GIVEN = "SELECT {0}, driver_id, item, CAST(rank AS INTEGER) AS rank, own FROM s WHERE driver_id IS NOT NULL AND step = (SELECT max(step) FROM s)"
+_SWEEP = _REQUESTS + """,
+w AS (SELECT c.* EXCLUDE (rank), least, row_number() OVER (PARTITION BY snapshot_month, least, driver_id ORDER BY saving DESC, own DESC, item) AS rank
+  FROM c JOIN (SELECT unnest([0, 25, 50, 100, 200]) AS least) t ON own OR saving >= least)"""
+_SWEPT = _SWEEP + _rounds("w", "snapshot_month, least", "r.saving DESC, r.driver_id")
+_WEEKS = """w AS (SELECT greatest(date_trunc('week', day), DATE '2025-02-01') AS a, least(date_trunc('week', day) + INTERVAL 6 DAY, DATE '2025-05-31') AS b FROM trips),
+p AS (SELECT (date_diff('day', DATE '2025-01-01', CAST(a AS DATE)) + date_diff('day', DATE '2025-01-01', CAST(b AS DATE))) // 2 AS x, count(*) / (date_diff('day', CAST(a AS DATE), CAST(b AS DATE)) + 1) AS y FROM w GROUP BY a, b)"""
 
 
 def _unmatched(top: str, left: str, right: str, key: str) -> str:
@@ -49,8 +81,8 @@ SELECT load_id, total, invalid, CASE WHEN invalid >= 0.12 * total THEN 'fail' WH
     "active_drivers": f"WITH {_DRIVERS} SELECT snapshot_month, count(DISTINCT driver_id) AS drivers FROM drivers WHERE join_date <= DATE '2025-05-20' AND (exit_date IS NULL OR exit_date > DATE '2025-05-20') GROUP BY 1",
     "comparable_names": "SELECT nullif(trim(upper(regexp_replace(pickup_zone, '\\s+', ' ', 'g'))), '') AS zone_key, count(*) AS n, count(DISTINCT pickup_zone) AS spellings FROM monthly_taxi_trip GROUP BY 1",
     "price_mentions": """WITH x AS (
-  SELECT doc_id, TRY_CAST(nullif(replace(regexp_extract(text, '\\$ ?([0-9][0-9,]*(?:\\.[0-9]+)?)', 1), ',', ''), '') AS DOUBLE) AS v FROM documents WHERE text IS NOT NULL)
-SELECT doc_id, CASE WHEN v BETWEEN 50 AND 5000 THEN v END AS price, NOT (v BETWEEN 50 AND 5000) AS out_of_bounds FROM x WHERE v IS NOT NULL""",
+  SELECT doc_id, unnest(list_transform(regexp_extract_all(text, '\\$ ?([0-9][0-9,]*(?:\\.[0-9]+)?)', 1), lambda a, i: struct_pack(i := i, v := TRY_CAST(replace(a, ',', '') AS DOUBLE)))) AS p FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CAST(p.i AS INTEGER) AS place, CASE WHEN p.v BETWEEN 50 AND 5000 THEN p.v END AS price, NOT (p.v BETWEEN 50 AND 5000) AS out_of_bounds FROM x""",
     "stripped_lengths": "SELECT doc_id, CAST(length(trim(regexp_replace(regexp_replace(replace(regexp_replace(text, '<[^<>]*>', ' ', 'g'), '&nbsp;', ' '), '\\s+', ' ', 'g'), '\\s+', ' ', 'g'))) AS INTEGER) AS plain_chars FROM documents WHERE regexp_matches(text, '<[^<>]*>')",
     "product_years": """WITH m AS (SELECT manufacturer AS make, model_name AS model, min(model_year) AS y FROM inventory GROUP BY ALL),
 p AS (SELECT make, model, 'Standard' AS product, y AS year FROM m UNION ALL SELECT make, model, 'Comfort', y FROM m
@@ -78,14 +110,13 @@ f AS (SELECT DISTINCT trip_key, {_ID.format('driver_id')} AS driver_id, pickup_d
 s AS (SELECT driver_id, snapshot_created_at AS made, max(struct_pack(snapshot_month := snapshot_month, vehicle_model_id := vehicle_model_id)) AS v FROM drivers GROUP BY ALL)
 SELECT f.trip_key, f.driver_id, s.v.snapshot_month AS snapshot_month, s.v.vehicle_model_id AS vehicle_model_id
 FROM f ASOF LEFT JOIN s ON s.driver_id = f.driver_id AND s.made <= f.at""",
-    "versions_without_load": """SELECT DISTINCT service_area, year_month, version FROM gold
-ANTI JOIN (SELECT * FROM gold_load_versions WHERE day(created_at) <= 8) l USING (service_area, year_month, version)""",
+    "versions_without_load": "SELECT DISTINCT service_area, year_month, version FROM gold ANTI JOIN gold_load_versions l USING (service_area, year_month, version)",
     "busy_zones": "SELECT Borough, count(*) AS zones, count(*) FILTER (WHERE CAST(LocationID AS INTEGER) IN (SELECT PULocationID FROM monthly_taxi_trip WHERE PULocationID IS NOT NULL)) AS used FROM zone_lookup GROUP BY Borough",
     "model_variants": """WITH n AS (SELECT manufacturer, model_name AS m FROM inventory UNION SELECT manufacturer, regexp_replace(model_name, ' (AWD|XL|HYBRID)$', '') FROM inventory)
 SELECT DISTINCT a.manufacturer, a.m AS base, b.m AS variant FROM n a JOIN n b ON a.manufacturer = b.manufacturer AND starts_with(b.m, a.m || ' ')
 WHERE regexp_matches(substr(b.m, length(a.m) + 2), '^(AWD|XL)( (AWD|XL))*$')""",
-    "cheaper_models": f"""WITH {_DRIVERS}, d AS (SELECT driver_id, weekly_lease_fee AS f FROM drivers WHERE snapshot_month = '2025-05' AND NOT isnan(weekly_lease_fee))
-SELECT driver_id, count(i.stock) AS cheaper FROM d LEFT JOIN inventory i ON i.weekly_lease_fee < d.f GROUP BY driver_id""",
+    "cheaper_models": f"""WITH {_DRIVERS}, d AS (SELECT snapshot_month, driver_id, min(weekly_lease_fee) AS f FROM drivers WHERE NOT isnan(weekly_lease_fee) GROUP BY ALL)
+SELECT snapshot_month, driver_id, count(i.stock) AS cheaper FROM d LEFT JOIN inventory i ON i.weekly_lease_fee < d.f GROUP BY ALL""",
     "profit_thresholds": f"""WITH {_GOLD}, s AS (SELECT unnest([1000, 2000, 3000, 4000, 5000]) AS threshold)
 SELECT service_area, year_month, version, threshold, count(DISTINCT driver_id) AS drivers FROM g JOIN s ON isfinite(monthly_net_profit) AND monthly_net_profit >= threshold GROUP BY ALL""",
     "driver_month_totals": f"""WITH {_TRIPS}, {_DRIVERS},
@@ -140,7 +171,7 @@ SELECT taxi_id, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS first_bloc
     "all_versions": "SELECT service_area, year_month, version FROM gold UNION SELECT service_area, year_month, version FROM gold_load_versions",
     "month_calendar": """WITH m AS (SELECT DISTINCT snapshot_month, CAST(snapshot_month || '-01' AS DATE) AS d FROM driver_snapshot)
 SELECT snapshot_month, strftime(unnest(generate_series(d, last_day(d), INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM m""",
-    "daily_from_weekly": f"""WITH {_TRIPS}, p AS (SELECT CAST(day - DATE '2025-01-01' AS INTEGER) AS x, CAST(count(*) AS DOUBLE) AS y FROM trips GROUP BY day HAVING x % 7 = 0 AND x BETWEEN 45 AND 130),
+    "daily_from_weekly": f"""WITH {_TRIPS}, {_WEEKS},
 g AS (SELECT CAST(unnest(range(31, 151)) AS INTEGER) AS "at"),
 n AS (SELECT "at", (SELECT max(x) FROM p WHERE x <= "at") AS b, (SELECT min(x) FROM p WHERE x >= "at") AS a FROM g)
 SELECT "at", round(CASE WHEN b IS NULL THEN pa.y WHEN a IS NULL THEN pb.y WHEN a = b THEN pa.y ELSE pb.y + (pa.y - pb.y) * ("at" - b) / (a - b) END, 6) AS value,
@@ -148,14 +179,14 @@ SELECT "at", round(CASE WHEN b IS NULL THEN pa.y WHEN a IS NULL THEN pb.y WHEN a
 FROM n LEFT JOIN p pb ON pb.x = n.b LEFT JOIN p pa ON pa.x = n.a""",
     "monthly_fees": f"""WITH {_DRIVERS}, p AS (
   SELECT manufacturer, CAST(substr(snapshot_month, 1, 4) AS INTEGER) * 12 + CAST(substr(snapshot_month, 6, 2) AS INTEGER) - 1 AS x, sum(CAST(round(weekly_lease_fee * 100) AS BIGINT)) / count(*) AS y
-  FROM drivers WHERE NOT isnan(weekly_lease_fee) AND snapshot_month <> '2025-03' AND manufacturer IS NOT NULL GROUP BY ALL),
+  FROM drivers WHERE NOT isnan(weekly_lease_fee) AND manufacturer IS NOT NULL GROUP BY ALL),
 g AS (SELECT manufacturer, unnest(range(24300, 24307)) AS "at" FROM (SELECT DISTINCT manufacturer FROM p)),
 n AS (SELECT g.manufacturer, g.at, max(p.x) FILTER (WHERE p.x <= g.at) AS b, min(p.x) FILTER (WHERE p.x >= g.at) AS a FROM g JOIN p USING (manufacturer) GROUP BY ALL)
 SELECT n.manufacturer, CAST(n.at AS INTEGER) AS "at", round(CASE WHEN b IS NULL THEN pa.y WHEN a IS NULL THEN pb.y WHEN a = b THEN pa.y ELSE pb.y + (pa.y - pb.y) * (n.at - b) / (a - b) END, 3) AS fee,
   CASE WHEN b IS NULL OR a IS NULL THEN 'extended' WHEN a = b THEN 'observed' ELSE 'interpolated' END AS kind
 FROM n LEFT JOIN p pb ON pb.x = n.b AND pb.manufacturer = n.manufacturer LEFT JOIN p pa ON pa.x = n.a AND pa.manufacturer = n.manufacturer""",
     "daily_completeness": f"""WITH {_TRIPS}, days AS (SELECT CAST(unnest(generate_series(DATE '2025-01-25', DATE '2025-06-05', INTERVAL 1 DAY)) AS DATE) AS day),
-a AS (SELECT day, count(*) AS trips FROM trips WHERE PULocationID = 149 GROUP BY day), b AS (SELECT published_on AS day, count(*) AS documents FROM documents GROUP BY 1)
+a AS (SELECT day, count(*) AS trips FROM trips GROUP BY day), b AS (SELECT published_on AS day, count(*) AS documents FROM documents WHERE published_on IS NOT NULL GROUP BY 1)
 SELECT strftime(day, '%Y-%m-%d') AS day, trips, documents, trips IS NOT NULL AND documents IS NOT NULL AS complete FROM days LEFT JOIN a USING (day) LEFT JOIN b USING (day)""",
     "stale_taxis": f"""WITH {_TRIPS}, l AS (SELECT taxi_id, max(day) FILTER (WHERE day <= DATE '2025-05-20') AS l FROM trips GROUP BY taxi_id)
 SELECT taxi_id, strftime(l, '%Y-%m-%d') AS last, CAST(DATE '2025-05-20' - l AS INTEGER) AS days, coalesce(DATE '2025-05-20' - l > 7, true) AS stale FROM l""",
@@ -172,17 +203,25 @@ FROM s GROUP BY user_id""",
     "rebuilt_states": f"""WITH {_DRIVERS}, n AS (SELECT * FROM drivers QUALIFY snapshot_month = max(snapshot_month) OVER (PARTITION BY driver_id)),
 m AS (SELECT driver_id, max(taxi_id) AS t, max(join_date) AS j, max(exit_date) AS x, max(vehicle_since) AS v FROM n GROUP BY driver_id)
 SELECT driver_id, strftime(j, '%Y-%m-%d') AS opened, CASE WHEN x >= j THEN strftime(x, '%Y-%m-%d') END AS closed, t AS value, strftime(greatest(j, v), '%Y-%m-%d') AS since FROM m""",
+    "accepted_requests": _REQUESTS + _rounds("c", "snapshot_month", "r.years DESC, r.driver_id") + _GIVEN.format("snapshot_month"),
+    "savings_sweep": _SWEPT + _GIVEN.format("snapshot_month, least"),
+    "sweep_grain": _SWEPT
+    + """,
+q AS (SELECT snapshot_month, least, count(DISTINCT driver_id) AS asking, count(DISTINCT (driver_id, item)) = count(*) AS one_row_a_choice FROM w GROUP BY ALL),
+z AS (SELECT s.*, w.saving, w.free FROM s JOIN w USING (snapshot_month, least, driver_id, item) WHERE step = (SELECT max(step) FROM s)),
+o AS (SELECT snapshot_month, least, count(*) AS over FROM (SELECT snapshot_month, least, item FROM z WHERE NOT own GROUP BY ALL HAVING count(*) > any_value(free)) GROUP BY ALL),
+t AS (SELECT snapshot_month, least, count(*) AS given, count(DISTINCT driver_id) = count(*) AS one_row_a_driver, min(saving) >= 0 AS no_loss FROM z GROUP BY ALL)
+SELECT snapshot_month, least, asking, given, one_row_a_choice, one_row_a_driver, coalesce(over, 0) AS over, no_loss FROM q LEFT JOIN t USING (snapshot_month, least) LEFT JOIN o USING (snapshot_month, least)""",
     "single_pass_requests": _REQUESTS
     + """,
-p AS (SELECT *, CASE WHEN NOT own THEN row_number() OVER (PARTITION BY item, own ORDER BY years DESC, driver_id) END AS place FROM c)
-SELECT driver_id, item, CAST(rank AS INTEGER) AS rank, own FROM p WHERE own OR place <= free QUALIFY row_number() OVER (PARTITION BY driver_id ORDER BY p.rank) = 1""",
+p AS (SELECT *, CASE WHEN NOT own THEN row_number() OVER (PARTITION BY snapshot_month, item, own ORDER BY years DESC, driver_id) END AS place FROM c)
+SELECT snapshot_month, driver_id, item, CAST(rank AS INTEGER) AS rank, own FROM p WHERE own OR place <= free QUALIFY row_number() OVER (PARTITION BY snapshot_month, driver_id ORDER BY p.rank) = 1""",
     "bucketed_candidates": f"""WITH {_DRIVERS},
-d AS (SELECT DISTINCT driver_id AS agent FROM drivers WHERE driver_id IS NOT NULL),
-k AS (SELECT greatest(1, count(*) // 4) AS k FROM d),
+k AS (SELECT greatest(1, count(DISTINCT driver_id) // 4) AS k FROM drivers),
+d AS (SELECT driver_id AS agent, (row_number() OVER (ORDER BY driver_id) - 1) % k AS bucket FROM (SELECT DISTINCT driver_id FROM drivers WHERE driver_id IS NOT NULL), k),
 a AS (SELECT DISTINCT * FROM attribution WHERE pickup_datetime IS NOT NULL AND dropoff_datetime > pickup_datetime),
-x AS (SELECT service_date, trip_key AS job, CAST('0x' || substr(sha256('0:' || trip_key), 1, 8) AS BIGINT) % k AS bucket FROM a, k),
-y AS (SELECT agent, CAST('0x' || substr(sha256('0:' || agent), 1, 8) AS BIGINT) % k AS bucket FROM d, k)
-SELECT bucket, strftime(service_date, '%Y-%m-%d') AS day, count(*) AS pairs, count(DISTINCT job) AS jobs FROM x JOIN y USING (bucket) GROUP BY ALL""",
+x AS (SELECT service_date, trip_key AS job, CAST('0x' || substr(sha256('0:' || trip_key), 1, 8) AS BIGINT) % k AS bucket FROM a, k)
+SELECT bucket, strftime(service_date, '%Y-%m-%d') AS day, count(agent) AS pairs, count(DISTINCT job) AS jobs FROM x LEFT JOIN d USING (bucket) GROUP BY ALL""",
     "attribution_quality": f"""WITH a AS (SELECT DISTINCT * FROM attribution)
 SELECT strftime(service_date, '%Y-%m-%d') AS day, count(*) AS trips, count({_ID.format('driver_id')}) AS assigned, count(DISTINCT {_ID.format('driver_id')}) AS drivers,
   CAST(sum(epoch(dropoff_datetime) - epoch(pickup_datetime)) FILTER (WHERE dropoff_datetime > pickup_datetime) AS BIGINT) AS drive_s,
@@ -197,13 +236,13 @@ SELECT *, total - gone AS "left" FROM c""",
     "trip_keys": f"""WITH {_TRIPS}, o AS (
   SELECT *, row_number() OVER (PARTITION BY taxi_id, PULocationID, DOLocationID, trip_time, pickup_datetime) AS occurrence FROM trips)
 SELECT sha256(concat_ws(chr(31), {', '.join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in ('taxi_id', 'PULocationID', 'DOLocationID', 'trip_time'))}, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), occurrence)) AS trip_key, taxi_id, CAST(occurrence AS INTEGER) AS occurrence FROM o""",
-    "day_loads": f"""WITH {_TRIPS}, c AS (SELECT CAST(day - DATE '2025-01-01' AS INTEGER) AS x, count(*) AS n FROM trips GROUP BY day),
-p AS (SELECT x, CAST(n AS DOUBLE) AS y FROM c WHERE x % 7 = 0 AND x BETWEEN 45 AND 130),
-m AS (SELECT c.x, c.n, (SELECT max(x) FROM p WHERE p.x <= c.x) AS b, (SELECT min(x) FROM p WHERE p.x >= c.x) AS a FROM c WHERE c.x BETWEEN 31 AND 150)
-SELECT m.x AS "at", n AS trips, round(n / CASE WHEN b IS NULL THEN pa.y WHEN a IS NULL THEN pb.y WHEN a = b THEN pa.y ELSE pb.y + (pa.y - pb.y) * (m.x - b) / (a - b) END, 6) AS ratio
+    "day_loads": f"""WITH {_TRIPS}, {_WEEKS},
+c AS (SELECT date_diff('day', DATE '2025-01-01', day) AS x, count(*) AS n FROM trips GROUP BY day),
+m AS (SELECT c.x, c.n, (SELECT max(x) FROM p WHERE p.x <= c.x) AS b, (SELECT min(x) FROM p WHERE p.x >= c.x) AS a FROM c)
+SELECT CAST(m.x AS INTEGER) AS "at", n AS trips, round(n / CASE WHEN b IS NULL THEN pa.y WHEN a IS NULL THEN pb.y WHEN a = b THEN pa.y ELSE pb.y + (pa.y - pb.y) * (m.x - b) / (a - b) END, 6) AS ratio
 FROM m LEFT JOIN p pb ON pb.x = m.b LEFT JOIN p pa ON pa.x = m.a""",
     "overbooked_models": f"""WITH {_DRIVERS}, u AS (SELECT snapshot_month, vehicle_model_id AS model, count(DISTINCT driver_id) AS used FROM drivers GROUP BY ALL)
-SELECT model, snapshot_month, used, stock % 9 AS stock FROM u LEFT JOIN inventory ON vehicle_model_id = model WHERE stock IS NULL OR used > stock % 9""",
+SELECT model, snapshot_month, used, stock FROM u LEFT JOIN inventory ON vehicle_model_id = model WHERE stock IS NULL OR used > stock""",
     "filled_fees": f"""WITH {_DRIVERS}, d AS (SELECT driver_id, snapshot_month, max(CASE WHEN isfinite(weekly_lease_fee) THEN CAST(round(weekly_lease_fee * 100) AS BIGINT) END) AS f FROM drivers GROUP BY ALL)
 SELECT driver_id, snapshot_month, last_value(f IGNORE NULLS) OVER (PARTITION BY driver_id ORDER BY snapshot_month ROWS UNBOUNDED PRECEDING) AS fee_cents FROM d""",
     "favourite_zones": f"""WITH {_TRIPS}, c AS (SELECT taxi_id, PULocationID, count(*) AS n FROM trips GROUP BY ALL), w AS (SELECT *, sum(n) OVER (PARTITION BY taxi_id) AS a FROM c)
