@@ -1,15 +1,18 @@
 """Continuous periods and the gaps between them, per entity.
 
 The operator keeps an ordered map of disjoint intervals in keyed state; each
-insertion finds its overlaps by binary search and merges them. A key of the
-state is an entity *and* a stretch of time (``bucket_seconds`` of the start),
-so that an entity with a third of all rows is many keys. Input partitions fold
-their own rows before the shuffle, so what is shuffled for a key is at most
-one list of disjoint intervals per input partition, and a key never holds more
+insertion finds its overlaps by binary search, merges them and mends the gaps
+beside them. It is folded twice.
+
+First a key of the state is an entity *and* a stretch of time (``bucket_seconds``
+of the start), so that an entity with a third of all rows is many keys. Input
+partitions fold their own rows before the shuffle, so what is shuffled for a key is at
+most one list of disjoint intervals per input partition, and a key never holds more
 than ``bucket_seconds / 2`` intervals, whatever the number of rows.
 
-The stretches of one entity are then joined by running maxima over *one row
-per stretch*, which the calendar bounds.
+Then the stretches of an entity are put, in the order of time, into one map with its
+gaps. What ended before the stretch at hand can't change any more and leaves the map as it
+goes, so the map holds a stretch or two; an entity has as many stretches as the calendar has, not as many as it has rows.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows that a fold before the shuffle takes in before it passes its maps on.
@@ -48,14 +51,50 @@ class IntervalMap:
         starts[low:high] = [start]
         ends[low:high] = [end]
 
-    def gaps(self) -> list[tuple[int, int]]:
-        """The stretches between consecutive intervals."""
-        return list(zip(self.ends, self.starts[1:], strict=False))
-
     def __len__(self) -> int:
         return len(self.starts)
 
 
+class GapMap(IntervalMap):
+    """An interval map that also keeps the gaps: ``gaps[i]`` lies between the intervals i and i + 1."""
+
+    __slots__ = ("gaps",)
+
+    def __init__(self, starts: list[int] | None = None, ends: list[int] | None = None) -> None:
+        super().__init__(starts, ends)
+        self.gaps: list[tuple[int, int]] = list(zip(self.ends, self.starts[1:], strict=False))
+
+    def insert(self, start: int, end: int) -> None:
+        """Add [start, end]; of the gaps only those beside it change."""
+        starts, ends = self.starts, self.ends
+        if not ends or start > ends[-1]:
+            if ends:
+                self.gaps.append((ends[-1], start))
+            starts.append(start)
+            ends.append(end)
+            return
+        low = bisect_left(ends, start)
+        high = bisect_right(starts, end)
+        if low < high:
+            start, end = min(start, starts[low]), max(end, ends[high - 1])
+        starts[low:high] = [start]
+        ends[low:high] = [end]
+        beside = [(ends[low - 1], start)] if low else []
+        if low + 1 < len(starts):
+            beside.append((end, starts[low + 1]))
+        self.gaps[max(low - 1, 0) : high] = beside
+
+    def settled(self, before: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+        """Takes out and gives the periods, and the gaps after them, that no insertion from ``before`` on can touch. The last period always stays.
+
+        What is in the map must have started before ``before``, so that the period after a gap that is given can't come to start earlier.
+        """
+        count = min(bisect_left(self.ends, before), len(self.ends) - 1) if self.ends else 0
+        periods, gaps = list(zip(self.starts[:count], self.ends[:count], strict=True)), self.gaps[:count]
+        del self.starts[:count], self.ends[:count], self.gaps[:count]
+        return periods, gaps
+
+
 _SCHEMA = pa.schema([("key", pa.string()), ("bucket", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
 _DDL = "key string, bucket bigint, starts array<bigint>, ends array<bigint>"
 
@@ -119,6 +158,62 @@ def _fold_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(done)
 
 
+_OUT = pa.schema([("key", pa.string()), ("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+
+
+def _join_stretches(bucket_seconds: int):
+    """Stretches sorted by key and bucket to periods and gaps; a stretch or two of one key are in memory at a time."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, kept = None, GapMap()
+        keys: list[str] = []
+        kinds: list[str] = []
+        starts: list[int] = []
+        ends: list[int] = []
+
+        def give(key: str, kind: str, some: list[tuple[int, int]]) -> None:
+            keys.extend([key] * len(some))
+            kinds.extend([kind] * len(some))
+            starts.extend(s for s, _ in some)
+            ends.extend(e for _, e in some)
+
+        def close() -> None:
+            give(now, "period", list(zip(kept.starts, kept.ends, strict=True)))
+            give(now, "gap", kept.gaps)
+
+        def batch() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(keys, pa.string()), pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], schema=_OUT)
+
+        for part in batches:
+            for key, bucket, ss, es in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+                if key != now:
+                    if now is not None:
+                        close()
+                    now, kept = key, GapMap(ss, es)
+                else:
+                    periods, gaps = kept.settled(bucket * bucket_seconds)
+                    give(key, "period", periods)
+                    give(key, "gap", gaps)
+                    for start, end in zip(ss, es, strict=True):
+                        kept.insert(start, end)
+            if len(keys) > 50_000:
+                yield batch()
+                for x in (keys, kinds, starts, ends):
+                    x.clear()
+        if now is not None:
+            close()
+        if keys:
+            yield batch()
+
+    return fold
+
+
+def fold_partitions(df: DataFrame, key: str, start: str, end: str, bucket_seconds: int) -> DataFrame:
+    """``key, bucket, starts, ends``: the disjoint intervals of a key and stretch in each input partition; nothing is shuffled."""
+    rows = df.select(F.col(key).cast("string").alias("key"), F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e"))
+    return rows.where("key is not null and s is not null and e is not null and e >= s").mapInArrow(_fold_rows(bucket_seconds), _DDL)
+
+
 def periods_and_gaps(df: DataFrame, key: str, start: str, end: str, bucket_seconds: int = 86_400) -> DataFrame:
     """``key, kind, start, end`` with kind ``period`` or ``gap``.
 
@@ -127,39 +222,6 @@ def periods_and_gaps(df: DataFrame, key: str, start: str, end: str, bucket_secon
     repeated rows change nothing; other columns are not read. An entity with one
     period has no gap; an empty table gives an empty result.
     """
-    rows = df.select(F.col(key).cast("string").alias("key"), F.col(start).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e"))
-    rows = rows.where("key is not null and s is not null and e is not null and e >= s")
-    folded = rows.mapInArrow(_fold_rows(bucket_seconds), _DDL)
+    folded = fold_partitions(df, key, start, end, bucket_seconds)
     stretches = folded.repartition("key", "bucket").sortWithinPartitions("key", "bucket").mapInArrow(_fold_maps, _DDL)
-
-    forward = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    backward = Window.partitionBy("key").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.element_at("ends", -1)
-    known = stretches.withColumn("reach", reach).withColumn("before", F.max("reach").over(forward))
-    # A head opens a period: it starts after everything before it has ended.
-    heads = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.size("starts") - 1),
-            lambda i: F.struct(
-                F.get("starts", i).alias("at"),
-                F.when(i == 0, F.col("before")).otherwise(F.greatest(F.col("before"), F.get("ends", i - 1))).alias("prior"),
-            ),
-        ),
-        lambda h: h["prior"].isNull() | (h["at"] > h["prior"]),
-    )
-    known = known.select("key", "bucket", "reach", "before", heads.alias("heads"))
-    known = known.withColumns({
-        "next_prior": F.last(F.get("heads", F.lit(0))["prior"], ignorenulls=True).over(backward),
-        "later": F.max("reach").over(backward),
-    })
-    last_end = F.coalesce(F.col("next_prior"), F.greatest("before", "reach", "later"))
-    each = F.transform(
-        F.col("heads"),
-        lambda h, i: F.struct(h["at"].alias("at"), h["prior"].alias("prior"), F.coalesce(F.get("heads", i + 1)["prior"], F.col("last_end")).alias("until")),
-    )
-    found = known.withColumn("last_end", last_end).select("key", F.inline(each))
-    both = F.array(
-        F.struct(F.lit("period").alias("kind"), F.col("at").alias("start"), F.col("until").alias("end")),
-        F.struct(F.lit("gap").alias("kind"), F.col("prior").alias("start"), F.col("at").alias("end")),
-    )
-    return found.select("key", F.inline(both)).where("start is not null")
+    return stretches.repartition("key").sortWithinPartitions("key", "bucket").mapInArrow(_join_stretches(bucket_seconds), "key string, kind string, start bigint, end bigint")

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from fareloom.operators.intervals import IntervalMap, periods_and_gaps
+from fareloom.operators.intervals import GapMap, periods_and_gaps
 
 
 def brute(rows):
@@ -48,11 +48,11 @@ def test_touching_intervals_are_one_and_single_ones_have_no_gap(spark):
 def test_the_map_stays_disjoint():
     rnd = random.Random(4)
     for _ in range(200):
-        m, seen = IntervalMap(), set()
+        m, seen = GapMap(), set()
         for _ in range(rnd.randint(1, 40)):
             s = rnd.randrange(100)
             e = s + rnd.randrange(10)
             m.insert(s, e)
             seen.update(range(2 * s, 2 * e + 1))
-        assert all(a < b for a, b in m.gaps())
+        assert m.gaps == list(zip(m.ends, m.starts[1:], strict=False)) and all(a < b for a, b in m.gaps)
         assert {x for s, e in zip(m.starts, m.ends, strict=True) for x in range(2 * s, 2 * e + 1)} == seen
