@@ -6,7 +6,7 @@ by column and value. Per range the counts of each load are summed and turned int
 prefix counts; with these a range knows the exact rank of each of its values. So
 every range, by itself, gives the quantiles that fall into it, its share of the
 distinct values, and the largest distance of the loads' cumulative curves from the
-pooled curve; a last small aggregation puts the ranges together.
+pooled curve and from each other; a last small aggregation puts the ranges together.
 """
 
 from __future__ import annotations
@@ -69,56 +69,88 @@ def _judged(freq: DataFrame, columns: list[NumberColumn | TextColumn]) -> DataFr
     return freq.withColumns({"known": F.col("num").isNotNull() | F.col("txt").isNotNull(), "fits": fits})
 
 
+def _column_stats(part: pd.DataFrame, off: pd.DataFrame, percents: tuple[float, ...]) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """``(stat, loads, values)`` of one column in one range. Work is in proportion to the range's rows and the number of loads, not to their product."""
+    numeric = part.num.notna().any()
+    codes, _ = pd.factorize(part.num if numeric else part.txt, sort=True)
+    size = int(codes.max()) + 1
+    off = off.sort_values("load", kind="stable")
+    names = off.load.to_numpy()
+    before, total, fitting, below = (off[c].to_numpy(dtype=np.float64) for c in ("before", "total", "fitting", "below"))
+    load = pd.Index(names).get_indexer(part.load_id)
+    order = np.lexsort((codes, load))
+    load, code, n = load[order], codes[order].astype(np.int64), part.n.to_numpy(dtype=np.float64)[order]
+    value = part.num.to_numpy(dtype=np.float64)[order] if numeric else None
+    first, last = np.searchsorted(load, np.arange(len(names))), np.searchsorted(load, np.arange(len(names)), side="right")
+    upto = np.concatenate([[0.0], np.cumsum(n)])
+    inside = upto[last] - upto[first]
+    here = np.flatnonzero(last > first)
+    pool_all = total.sum()
+    pool = (np.bincount(code, weights=n, minlength=size).cumsum() + before.sum()) / pool_all
+    start = before.sum() / pool_all
+    with np.errstate(divide="ignore", invalid="ignore"):
+        reached = (before[load] + upto[1:] - upto[first[load]]) / total[load]
+        missed = reached - n / total[load]
+        # A load's curve stands still between its own values while the pool's rises: the farthest points are at a value of its own, just before one, and at the ends.
+        far = np.maximum(np.abs(reached - pool[code]), np.abs(missed - np.where(code > 0, pool[code - 1], start)))
+        ends = (before + inside) / total
+        ks = np.maximum(np.abs(before / total - start), np.abs(ends - pool[-1]))
+        ks[here] = np.maximum(ks[here], np.maximum.reduceat(far, first[here])) if len(here) else ks[here]
+
+        # Two loads' curves differ most at a value of either, or at the ends.
+        def against(step: int) -> np.ndarray:
+            """Per load the greatest distance, at its own values, from the curve of the load ``step`` places on."""
+            out = np.full(len(names), -np.inf)
+            other = load + step
+            known = (other >= 0) & (other < len(names))
+            o = other[known]
+            at = np.searchsorted(load * size + code, o * size + code[known], side="right")
+            theirs = (before[o] + upto[at] - upto[first[o]]) / total[o]
+            np.maximum.at(out, load[known], np.abs(reached[known] - theirs))
+            return out
+
+        prior = np.full(len(names), np.nan)
+        if len(names) > 1:
+            edges = np.maximum(np.abs(before[1:] / total[1:] - before[:-1] / total[:-1]), np.abs(ends[1:] - ends[:-1]))
+            prior[1:] = np.maximum(edges, np.maximum(against(-1)[1:], against(1)[:-1]))
+    out = [("ks", names, ks), ("ks_prior", names, prior), ("distinct", names, (last - first).astype(np.float64))]
+    if numeric:
+        out += [("min", names[here], value[first[here]]), ("max", names[here], value[last[here] - 1])]
+        for p in percents:
+            # Both middle ranks, so that a quantile between two values is their mean, among the values that fit.
+            at = (fitting - 1) * p
+            for side, rank in (("low", np.floor(at) + below), ("high", np.ceil(at) + below)):
+                own = np.flatnonzero((fitting > 0) & (before <= rank) & (rank < before + inside))
+                place = np.searchsorted(upto[1:], upto[first[own]] + rank[own] - before[own], side="right")
+                out.append((f"q{p:g}_{side}", names[own], value[place]))
+    return out
+
+
 def _range_stats(percents: tuple[float, ...]):
     """One range: its sorted frequencies and, per load, the counts before it and in all."""
 
     def stats(values: pa.Table, before: pa.Table) -> pa.Table:
         v, o = values.to_pandas(), before.to_pandas()
-        out: list[tuple] = []
-        for column, off in o.groupby("column", sort=False):
-            part = v[v.column_name == column]
-            if part.empty:
-                continue
-            numeric = part.num.notna().any()
-            codes, _ = pd.factorize(part.num if numeric else part.txt, sort=True)
-            size = int(codes.max()) + 1
-            named = {x.load: x for x in off.itertuples()}
-            pool_before, pool_all = sum(x.before for x in named.values()), sum(x.total for x in named.values())
-            pool = np.bincount(codes, weights=part.n, minlength=size).cumsum() + pool_before
-            lowest = np.full(size, np.nan)
-            if numeric:
-                lowest[codes] = part.num
-            loads = part.load_id.to_numpy()
-            for load, x in named.items():
-                mine = loads == load
-                own = np.bincount(codes[mine], weights=part.n[mine], minlength=size)
-                curve = own.cumsum() + x.before
-                far = np.abs(curve / x.total - pool / pool_all).max() if x.total else np.nan
-                out.append((column, load, "ks", float(far)))
-                out.append((column, load, "distinct", float((own > 0).sum())))
-                if not numeric or not x.fitting:
-                    continue
-                present = np.flatnonzero(own > 0)
-                out.extend([(column, load, "min", float(lowest[present].min())), (column, load, "max", float(lowest[present].max()))] if len(present) else [])
-                for p in percents:
-                    # Both middle ranks, so that a quantile between two values is their mean, among the values that fit.
-                    at = (x.fitting - 1) * p
-                    for side, rank in (("low", int(np.floor(at))), ("high", int(np.ceil(at)))):
-                        rank += x.below
-                        if x.before <= rank < curve[-1]:
-                            out.append((column, load, f"q{p:g}_{side}", float(lowest[np.searchsorted(curve, rank, side="right")])))
-        names, types = ["column_name", "load_id", "stat", "value"], [pa.string(), pa.string(), pa.string(), pa.float64()]
-        return pa.table({n: pa.array([r[i] for r in out], t) for i, (n, t) in enumerate(zip(names, types, strict=True))})
+        parts = dict(list(v.groupby("column_name", sort=False)))
+        found = [(column, *x) for column, off in o.groupby("column", sort=False) if column in parts for x in _column_stats(parts[column], off, percents)]
+        sizes = [len(x[2]) for x in found]
+        return pa.table({
+            "column_name": pa.array(np.repeat(np.array([x[0] for x in found], dtype=object), sizes), pa.string()),
+            "load_id": pa.array(np.concatenate([x[2] for x in found]) if found else [], pa.string()),
+            "stat": pa.array(np.repeat(np.array([x[1] for x in found], dtype=object), sizes), pa.string()),
+            "value": pa.array(np.concatenate([x[3] for x in found]) if found else [], pa.float64(), from_pandas=True),
+        })
 
     return stats
 
 
 def column_profile(df: DataFrame, load: str, columns: list[NumberColumn | TextColumn], percents: tuple[float, ...] = (0.25, 0.5, 0.75), range_rows: int = RANGE_ROWS) -> DataFrame:
-    """One row per load and column: ``load_id, column_name, rows, nulls, fitting, misfits, distinct_values, min_value, max_value, q25.., top_value, top_share, zeros, ks``.
+    """One row per load and column: ``load_id, column_name, rows, nulls, fitting, misfits, distinct_values, min_value, max_value, q25.., top_share, zeros, ks, ks_prior``.
 
     ``fitting`` values lie in the expected range or are spelled exactly as expected, ``misfits`` are the other known ones (infinite numbers too).
     Quantiles are of the fitting values (linear between ranks), as is ``top_share`` of the first expected name and ``zeros``;
-    ``distinct_values``, ``min_value``, ``max_value`` and ``ks`` (largest distance of the cumulative curve from that of all loads together) are of all known ones.
+    ``distinct_values``, ``min_value``, ``max_value`` and ``ks`` (largest distance of the cumulative curve from that of all loads together) are of all known ones, and so is
+    ``ks_prior``, the distance from the load before in the order of their names (null for the first).
     Repeated rows count; a null load is a load of its own; an empty table gives no rows. A column with no known value in a load has null figures.
     """
     freq = written(_judged(load_frequencies(df, load, columns), columns).withColumn("load_id", F.coalesce("load_id", F.lit("\u0000null"))), "freq")
@@ -160,7 +192,7 @@ def column_profile(df: DataFrame, load: str, columns: list[NumberColumn | TextCo
     )
     found = ordered.groupBy("range").cogroup(before.groupBy("at")).applyInArrow(_range_stats(percents), "column_name string, load_id string, stat string, value double")
     pick = lambda stat, how: how(F.when(F.col("stat") == stat, F.col("value")))
-    aggs = [pick("ks", F.max).alias("ks"), pick("distinct", F.sum).cast("bigint").alias("distinct_values"), pick("min", F.min).alias("min_value"), pick("max", F.max).alias("max_value")]
+    aggs = [pick("ks", F.max).alias("ks"), pick("ks_prior", F.max).alias("ks_prior"), pick("distinct", F.sum).cast("bigint").alias("distinct_values"), pick("min", F.min).alias("min_value"), pick("max", F.max).alias("max_value")]
     for p in percents:
         lo, hi = pick(f"q{p:g}_low", F.max), pick(f"q{p:g}_high", F.max)
         part = F.max("fitting_").cast("double")

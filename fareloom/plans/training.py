@@ -118,9 +118,9 @@ def p6_session_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """The profile of three columns per load."""
+    """The profile of three columns per load, with the distance of its values from those of all loads and of the load before."""
     p = column_profile(table(spark, folder, "monthly_taxi_trip"), "load_id", PROFILED)
-    return p.select("load_id", "column_name", "rows", "nulls", "fitting", "misfits", "distinct_values", "zeros", "q50", F.round("ks", 9).alias("ks"))
+    return p.select("load_id", "column_name", "rows", "nulls", "fitting", "misfits", "distinct_values", "zeros", "q50", F.round("ks", 9).alias("ks"), F.round("ks_prior", 9).alias("ks_prior"))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:

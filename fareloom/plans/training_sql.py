@@ -3,7 +3,7 @@
 _ID = "nullif(upper(trim({0})), '')"
 _USABLE = "pickup_datetime >= TIMESTAMP '2025-02-01' AND pickup_datetime < TIMESTAMP '2025-06-01'"
 _TRIPS = f"trips AS (SELECT {_ID.format('taxi_id')} AS taxi, * FROM monthly_taxi_trip WHERE {_USABLE} AND nullif(trim(taxi_id), '') IS NOT NULL)"
-_AMOUNT = "CASE WHEN isfinite({0}) AND abs({0}) <= 1e12 THEN CAST(round({0} * 100) AS BIGINT) END"
+_AMOUNT = "CASE WHEN isfinite({0}) THEN CAST(round({0} * 100) AS BIGINT) END"
 
 _PERIODS = f"""
 WITH iv AS (
@@ -117,12 +117,15 @@ points AS (SELECT column_name, num, txt, sum(n) AS n FROM freq GROUP BY ALL),
 pooled AS (SELECT column_name, num, txt, sum(n) OVER (PARTITION BY column_name ORDER BY num, txt) / sum(n) OVER (PARTITION BY column_name) AS f FROM points),
 loads AS (SELECT DISTINCT load_id, column_name FROM freq),
 curves AS (
-  SELECT l.load_id, p.column_name, p.f, sum(coalesce(q.n, 0)) OVER (PARTITION BY l.load_id, p.column_name ORDER BY p.num, p.txt)
+  SELECT l.load_id, p.column_name, p.num, p.txt, p.f, sum(coalesce(q.n, 0)) OVER (PARTITION BY l.load_id, p.column_name ORDER BY p.num, p.txt)
     / sum(coalesce(q.n, 0)) OVER (PARTITION BY l.load_id, p.column_name) AS own
   FROM pooled p JOIN loads l USING (column_name)
   LEFT JOIN freq q ON q.load_id = l.load_id AND q.column_name = p.column_name AND q.num IS NOT DISTINCT FROM p.num AND q.txt IS NOT DISTINCT FROM p.txt),
-far AS (SELECT load_id, column_name, round(max(abs(own - f)), 9) AS ks FROM curves GROUP BY ALL)
-SELECT load_id, column_name, "rows", nulls, fitting, misfits, distinct_values, zeros, q50, ks FROM figures LEFT JOIN far USING (load_id, column_name)""",
+far AS (SELECT load_id, column_name, round(max(abs(own - f)), 9) AS ks FROM curves GROUP BY ALL),
+turns AS (SELECT load_id, column_name, lag(load_id) OVER (PARTITION BY column_name ORDER BY load_id) AS last_id FROM loads),
+steps AS (SELECT a.load_id, a.column_name, round(max(abs(a.own - b.own)), 9) AS ks_prior FROM turns JOIN curves a USING (load_id, column_name)
+  JOIN curves b ON b.load_id = last_id AND b.column_name = a.column_name AND b.num IS NOT DISTINCT FROM a.num AND b.txt IS NOT DISTINCT FROM a.txt GROUP BY ALL)
+SELECT load_id, column_name, "rows", nulls, fitting, misfits, distinct_values, zeros, q50, ks, ks_prior FROM figures LEFT JOIN far USING (load_id, column_name) LEFT JOIN steps USING (load_id, column_name)""",
     "p7_found": f"""
 WITH {_FIGURES},
 each AS (
