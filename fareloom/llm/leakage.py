@@ -1,25 +1,22 @@
-"""Evaluation passages inside a corpus: SimHash windows, multi-index Hamming blocks, exact check.
+"""Evaluation passages inside a corpus: SimHash windows, multi-index Hamming blocks, exact weighted-shingle check.
 
-Every five-word window of a document and of an item gets a 64-bit SimHash of its
-words. Fingerprints are cut into ``radius + 1`` blocks; two fingerprints within the
-radius agree in at least one block, so looking up each block finds every such pair
-(and none is lost to chance). The pairs found this way are checked exactly: twelve
-words in a row in common, or half of the item's distinct five-word runs.
+Windows of four fifths of an item's length or a little less (``4 s`` words, where ``5 s - 1`` words fit into the item) get a 64-bit SimHash of
+their words. An item has ``s`` of them, at its first ``s`` places, a document one at each multiple of ``s``: wherever
+a document holds the whole item, one of its windows lies over one of the item's. Fingerprints are cut into ``radius + 1`` blocks; two
+fingerprints within the radius agree in at least one block, so looking up each block finds every such pair.
 
-The window is the smallest passage the check counts. A pair that passes the check
-shares a run of five words, whose fingerprints are equal, so it is always found; windows as
-long as a whole item would not do: a document that holds a part of an item has a window too
-many bits away for any radius that still excludes unrelated texts (figures in the README).
+A document that holds a part of an item has no window near one of its (figures in the README). For those the runs of five words are anchors: whatever passes
+the check shares one. Pairs of either kind are then checked exactly on whole texts: twelve words in a row in common, or shared
+distinct five-word runs of at least half the weight of the item's.
 
-The items' index goes to the executors with the task. Its size is checked: more items
-are taken in blocks below the bound, each against all documents. Documents of a large table are never shuffled.
+The items' index is arrays, made once and broadcast; every Python worker reads it once. Items beyond ``most_chars`` characters go into further indexes; all are looked
+up in the same single pass over the documents, which are never shuffled.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +25,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.session import spread, written
+from fareloom.session import spread
 
-#: Words of a fingerprinted window (odd, so that no bit is a tie), of a run, of a passage that counts alone; share of runs that counts.
-WINDOW, RUN, PASSAGE, SHARE = 5, 5, 12, 0.5
+#: Words of a run, of a passage that counts alone; share of an item's weight that counts.
+RUN, PASSAGE, SHARE = 5, 12, 0.5
 RADIUS = 3
-#: Items and characters of items, about, that one index sent with the task holds.
-MOST_ITEMS, MOST_CHARS = 20_000, 32_000_000
-#: Words fingerprinted at once.
-CHUNK = 150_000
+#: Strides of windows, each about 1.4 times the one before; a window is four strides long.
+STRIDES = [4, 6, 8, 11, 16, 22, 31, 44, 62, 88, 124, 175, 248, 350, 495, 700, 990, 1400]
+#: Characters of items, about, in one index.
+MOST_CHARS = 32_000_000
+#: Words looked up at once, and pairs of runs held at once.
+CHUNK, HELD = 150_000, 4_000_000
+#: Both ways to candidates.
+WAYS = ("windows", "anchors")
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 _FORMAT = regex.compile(r"\p{Cf}+")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -61,16 +63,33 @@ class _Hashes(dict):
         return value
 
 
-def fingerprints(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """SimHash of every window of ``window`` words: a bit is set when most of the words have it."""
-    count = len(hashes) - window + 1
-    if count <= 0:
+def runs_of(hashes: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """64 bits for each run of ``size`` words, or for those that begin ``at`` places."""
+    count = max(0, len(hashes) - size + 1)
+    out = np.zeros(count if at is None else len(at), dtype=np.uint64)
+    for i in range(size if len(out) else 0):
+        out *= _ODD
+        out += hashes[i : i + count] if at is None else hashes[at + i]
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def fingerprints(hashes: np.ndarray, stride: int) -> np.ndarray:
+    """SimHash of the windows of four strides at every multiple of ``stride``: a bit is set when more than half of the words have it."""
+    blocks = len(hashes) // stride
+    if blocks < 4:
+        return np.empty(0, dtype=np.uint64)
+    bits = np.unpackbits(np.ascontiguousarray(hashes[: blocks * stride]).view(np.uint8).reshape(-1, 8), axis=1)
+    return _prints(bits, stride)
+
+
+def _prints(bits: np.ndarray, stride: int) -> np.ndarray:
+    blocks = len(bits) // stride
+    if blocks < 4:
         return np.empty(0, dtype=np.uint64)
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
-    votes = bits[:count].copy()
-    for i in range(1, window):
-        votes += bits[i : i + count]
-    return np.packbits(votes > window // 2, axis=1).view(np.uint64).ravel()
+    sums = np.add.reduceat(bits[: blocks * stride], np.arange(0, blocks * stride, stride), axis=0, dtype=np.uint16)
+    votes = sums[:-3] + sums[1:-2] + sums[2:-1] + sums[3:]
+    return np.packbits(votes > 2 * stride, axis=1).view(np.uint64).ravel()
 
 
 def blocks_of(prints: np.ndarray, radius: int) -> list[np.ndarray]:
@@ -80,142 +99,203 @@ def blocks_of(prints: np.ndarray, radius: int) -> list[np.ndarray]:
     return [(prints >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-class ItemIndex:
-    """The items' fingerprints by block, and their runs for the exact check."""
+def _expanded(starts: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place its span in ``starts``: which place, and which entry."""
+    size = starts[place + 1] - starts[place]
+    which = np.repeat(np.arange(len(place)), size)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts[place], size)
 
-    def __init__(self, items: list[tuple[int, str | None]], radius: int = RADIUS) -> None:
-        hashes = _Hashes()
-        self.radius = radius
-        self.ids = [i for i, _ in items]
-        self.runs: dict[tuple[str, ...], list[int]] = {}
-        self.passages: dict[tuple[str, ...], list[int]] = {}
-        self.need: list[float] = []
-        prints, owners = [], []
-        for at, (_, text) in enumerate(items):
-            words = words_of(text)
-            own = {tuple(words[i : i + RUN]) for i in range(len(words) - RUN + 1)}
-            for run in own:
-                self.runs.setdefault(run, []).append(at)
-            for run in {tuple(words[i : i + PASSAGE]) for i in range(len(words) - PASSAGE + 1)}:
-                self.passages.setdefault(run, []).append(at)
-            self.need.append(len(own) * SHARE)
-            found = fingerprints(np.array([hashes[w] for w in words], dtype=np.uint64))
-            prints.append(np.unique(found))
-            owners.append(np.full(len(prints[-1]), at, dtype=np.int64))
-        self.prints = np.concatenate(prints) if prints else np.empty(0, dtype=np.uint64)
-        self.owners = np.concatenate(owners) if owners else np.empty(0, dtype=np.int64)
-        self.tables = []
-        for block in blocks_of(self.prints, radius):
-            order = np.argsort(block, kind="stable")
-            values, starts = np.unique(block[order], return_index=True)
-            self.tables.append((order, values, np.append(starts, len(order))))
+
+class Lookup:
+    """Sorted distinct keys with the entries of each."""
+
+    def __init__(self, keys: np.ndarray, entries: np.ndarray | None = None) -> None:
+        order = np.argsort(keys, kind="stable")
+        self.values, starts = np.unique(keys[order], return_index=True)
+        self.starts = np.append(starts, len(keys)).astype(np.int64)
+        self.entries = (order if entries is None else entries[order]).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``keys`` that are known, and in ``values`` where."""
+        if not len(self.values) or not len(keys):
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        place = np.searchsorted(self.values, keys)
+        place[place == len(self.values)] = 0
+        hit = np.flatnonzero(self.values[place] == keys)
+        return hit, place[hit]
+
+
+class WindowIndex:
+    """Fingerprints of windows by block."""
+
+    def __init__(self, prints: np.ndarray, owners: np.ndarray, radius: int = RADIUS) -> None:
+        self.prints, self.owners, self.radius = prints, owners.astype(np.int32), radius
+        self.tables = [Lookup(b) for b in blocks_of(prints, radius)]
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of all fingerprints within the radius."""
-        at, item = [], []
-        if len(self.prints) and len(prints):
-            for block, (order, values, starts) in zip(blocks_of(prints, self.radius), self.tables, strict=True):
-                place = np.searchsorted(values, block)
-                place[place == len(values)] = 0
-                hit = np.flatnonzero(values[place] == block)
-                place = place[hit]
-                size = starts[place + 1] - starts[place]
-                which = np.repeat(hit, size)
-                inside = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
-                other = order[np.repeat(starts[place], size) + inside]
-                near = np.bitwise_count(prints[which] ^ self.prints[other]) <= self.radius
-                at.append(which[near])
+        at, item = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int32)]
+        for block, table in zip(blocks_of(prints, self.radius), self.tables, strict=True):
+            hit, place = table.find(block)
+            for some in range(0, len(hit), 20_000):
+                which, entry = _expanded(table.starts, place[some : some + 20_000])
+                window, other = hit[some : some + 20_000][which], table.entries[entry]
+                near = np.bitwise_count(prints[window] ^ self.prints[other]) <= self.radius
+                at.append(window[near])
                 item.append(self.owners[other[near]])
-        if not at:
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         return np.concatenate(at), np.concatenate(item)
 
-    def verified(self, words: list[str], wanted: set[int]) -> list[int]:
-        """Those of the wanted items that the document carries by the exact rule."""
-        found: set[int] = set()
-        seen: dict[int, set[tuple[str, ...]]] = {}
-        for i in range(len(words) - RUN + 1):
-            run = tuple(words[i : i + RUN])
-            owners = self.runs.get(run)
-            if owners:
-                for at in owners:
-                    if at in wanted:
-                        seen.setdefault(at, set()).add(run)
-                for at in self.passages.get(tuple(words[i : i + PASSAGE]), ()):
-                    if at in wanted:
-                        found.add(at)
-        found.update(at for at, runs in seen.items() if len(runs) >= self.need[at])
-        return sorted(found)
-
-
-def _probe(items: list[tuple[int, str | None]], radius: int):
-    index: list[ItemIndex] = []
+
+class ItemIndex:
+    """Some items as arrays: windows by stride and block, runs and passages with their items."""
+
+    def __init__(self, items: Iterable[tuple[int, str | None]], radius: int = RADIUS, rare: bool = False) -> None:
+        hashes = _Hashes()
+        self.ids: list[int] = []
+        self.texts: list[str] = []
+        runs, passages, owners, lasts = [], [], [], []
+        windows: dict[int, tuple[list[np.ndarray], list[np.ndarray]]] = {}
+        for item, text in items:
+            words = words_of(text)
+            if len(words) < RUN:
+                continue
+            at = len(self.ids)
+            self.ids.append(item)
+            self.texts.append(" ".join(words))
+            own = np.array([hashes[w] for w in words], dtype=np.uint64)
+            runs.append(np.unique(runs_of(own, RUN)))
+            owners.append(np.full(len(runs[-1]), at))
+            passages.append(np.unique(runs_of(own, PASSAGE)))
+            lasts.append(np.full(len(passages[-1]), at))
+            fitting = [s for s in STRIDES if 5 * s - 1 <= len(words)]
+            if fitting:
+                s = fitting[-1]
+                found = np.unique(np.concatenate([fingerprints(own[i : i + 4 * s], s) for i in range(s)]))
+                prints, whose = windows.setdefault(s, ([], []))
+                prints.append(found)
+                whose.append(np.full(len(found), at))
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, dtype=kind)
+        self.runs = Lookup(join(runs, np.uint64), join(owners, np.int64))
+        self.passages = Lookup(join(passages, np.uint64), join(lasts, np.int64))
+        held = np.diff(self.runs.starts)
+        self.weights = np.log1p(len(self.ids) / held) if rare else np.ones(len(held))
+        self.need = SHARE * np.bincount(self.runs.entries, weights=np.repeat(self.weights, held), minlength=len(self.ids))
+        self.windows = {s: WindowIndex(join(p, np.uint64), join(w, np.int64), radius) for s, (p, w) in windows.items()}
+
+    def pairs(self, hashes: np.ndarray, doc: np.ndarray, ways: tuple[str, ...] = WAYS) -> np.ndarray:
+        """``document * items + item`` of those pairs found in the given ``ways`` that pass the check by hashes. ``doc`` numbers the document of each word, ascending."""
+        count = len(self.ids)
+        near = np.unique(self._near(hashes, doc)) if "windows" in ways else np.empty(0, dtype=np.int64)
+        run = runs_of(hashes, RUN)
+        at, place = self.runs.find(run)
+        inside = doc[at] == doc[at + RUN - 1]
+        at, place = at[inside], place[inside]
+        owned = self.runs.starts[place + 1] - self.runs.starts[place]
+        found = [np.empty(0, dtype=np.int64)]
+        # Documents a few at a time, so that runs which many items share don't pile up; a document stays in one part.
+        part = np.cumsum(owned) // HELD if len(owned) else owned
+        cuts = [0, *(np.flatnonzero((np.diff(part) > 0) & (np.diff(doc[at]) > 0)) + 1 if len(at) else []), len(at)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            which, entry = _expanded(self.runs.starts, place[a:b])
+            # A run counts once for a document, however often it occurs there.
+            key, first = np.unique(doc[at[a:b]][which] * len(self.runs.entries) + entry, return_index=True)
+            pair = key // len(self.runs.entries) * count + self.runs.entries[entry[first]]
+            each, where = np.unique(pair, return_inverse=True)
+            weight = np.bincount(where, weights=self.weights[place[a:b][which[first]]], minlength=len(each))
+            found.append(each[weight >= self.need[each % count] * (1 - 1e-12)])
+        long = at[at + PASSAGE <= len(hashes)]
+        long = long[doc[long] == doc[long + PASSAGE - 1]]
+        hit, place = self.passages.find(runs_of(hashes, PASSAGE, long))
+        which, entry = _expanded(self.passages.starts, place)
+        found.append(doc[long[hit[which]]] * count + self.passages.entries[entry])
+        passing = np.unique(np.concatenate(found))
+        return passing if "anchors" in ways else np.intersect1d(passing, near)
+
+    def _near(self, hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Pairs with fingerprints within the radius."""
+        found = [np.empty(0, dtype=np.int64)]
+        longest = 4 * max(self.windows, default=0)
+        for start in range(0, len(hashes), CHUNK):
+            part, own = hashes[start : start + CHUNK + longest], doc[start : start + CHUNK + longest]
+            bits = np.unpackbits(np.ascontiguousarray(part).view(np.uint8).reshape(-1, 8), axis=1)
+            for s, index in self.windows.items():
+                skip = -start % s  # multiples of the stride from the beginning of all words
+                prints = _prints(bits[skip:], s)
+                first = np.arange(len(prints)) * s + skip
+                whole = own[first] == own[first + 4 * s - 1]
+                at, item = index.candidates(prints[whole])
+                found.append(own[first[whole][at]] * len(self.ids) + item)
+        return np.concatenate(found)
+
+    def carried(self, words: list[str], item: int, rare: bool = False) -> bool:
+        """The check on the words themselves, of one document and one item."""
+        theirs = self.texts[item].split(" ")
+        mine = {tuple(words[i : i + RUN]) for i in range(len(words) - RUN + 1)}
+        own = {tuple(theirs[i : i + RUN]) for i in range(len(theirs) - RUN + 1)}
+        shared = mine & own
+        if not rare and 2 * len(shared) >= len(own) or rare and shared:
+            return True
+        return bool({tuple(words[i : i + PASSAGE]) for i in range(len(words) - PASSAGE + 1)} & {tuple(theirs[i : i + PASSAGE]) for i in range(len(theirs) - PASSAGE + 1)})
+
+
+def _probe(shared: list, ways: tuple[str, ...], rare: bool):
+    """``shared``: broadcast indexes. With one, a worker keeps it; of several it has one in memory at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not index:
-            index.append(ItemIndex(items, radius))
-        own, hashes = index[0], _Hashes()
-
-        def chunk(docs: list[int], texts: list[list[str]], lengths: list[int], values: list[int]) -> Iterator[tuple[int, int]]:
-            doc = np.repeat(np.arange(len(texts)), lengths)
-            prints = fingerprints(np.array(values, dtype=np.uint64))
-            at, item = own.candidates(prints)
-            if len(at):
-                whole = doc[at] == doc[at + WINDOW - 1]  # windows across two documents are none
-                pairs = np.unique(doc[at[whole]] * len(own.ids) + item[whole])
-                wanted: dict[int, set[int]] = {}
-                for p in pairs.tolist():
-                    wanted.setdefault(p // len(own.ids), set()).add(p % len(own.ids))
-                for d, some in wanted.items():
-                    for x in own.verified(texts[d], some):
-                        yield docs[d], own.ids[x]
+        hashes = _Hashes()
+
+        def indexes() -> Iterator[ItemIndex]:
+            for b in shared:
+                yield b.value if len(shared) == 1 else b.load_from_path(b._path)
+
+        def chunk(docs: list[int], texts: list[list[str]], values: list[int]) -> Iterator[tuple[int, int]]:
+            doc, words = np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.array(values, dtype=np.uint64)
+            for index in indexes():
+                for p in index.pairs(words, doc, ways).tolist() if index.ids else ():
+                    d, item = divmod(p, len(index.ids))
+                    if index.carried(texts[d], item, rare):
+                        yield docs[d], index.ids[item]
 
         for batch in batches:
             out: list[tuple[int, int]] = []
-            docs, texts, lengths, values = [], [], [], []
+            docs, texts, values = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = words_of(text)
-                if len(words) > CHUNK:
-                    out += _long(own, hashes, doc_id, words)
-                elif len(words) >= WINDOW:
+                if len(words) >= RUN:
                     docs.append(doc_id)
                     texts.append(words)
-                    lengths.append(len(words))
                     values += map(hashes.__getitem__, words)
                     if len(values) > CHUNK:
-                        out += chunk(docs, texts, lengths, values)
-                        docs, texts, lengths, values = [], [], [], []
+                        out += chunk(docs, texts, values)
+                        docs, texts, values = [], [], []
             if docs:
-                out += chunk(docs, texts, lengths, values)
+                out += chunk(docs, texts, values)
             yield pa.record_batch([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["doc_id", "item_id"])
 
     return run
 
 
-def _long(own: ItemIndex, hashes: _Hashes, doc_id: int, words: list[str]) -> list[tuple[int, int]]:
-    """A very long text: its windows are looked up a chunk at a time, the check sees it whole."""
-    wanted: set[int] = set()
-    for start in range(0, len(words), CHUNK):
-        part = words[start : start + CHUNK + WINDOW - 1]
-        wanted.update(np.unique(own.candidates(fingerprints(np.array([hashes[w] for w in part], dtype=np.uint64)))[1]).tolist())
-    return [(doc_id, own.ids[x]) for x in own.verified(words, wanted)]
+def _indexes(items: DataFrame, radius: int, most_chars: int, rare: bool) -> Iterator[ItemIndex]:
+    """Indexes of about ``most_chars`` characters each; the driver has one of them in memory at a time."""
+    held, chars = [], 0
+    for r in items.toLocalIterator():
+        held.append((r.item_id, r.text))
+        chars += len(r.text)
+        if chars >= most_chars:
+            yield ItemIndex(held, radius, rare)
+            held, chars = [], 0
+    yield ItemIndex(held, radius, rare)
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, radius: int = RADIUS, most_items: int = MOST_ITEMS, most_chars: int = MOST_CHARS) -> DataFrame:
+def leaked_items(docs: DataFrame, items: DataFrame, radius: int = RADIUS, most_chars: int = MOST_CHARS, ways: tuple[str, ...] = WAYS, rare: bool = False) -> DataFrame:
     """``doc_id, item_id`` of documents that carry an item. ``docs``: doc_id, text; ``items``: item_id, text.
 
     Whole texts are read. A null or empty text carries nothing and is carried by nothing, as is an item of fewer than
     five words; rows with a null id are left out; repeated rows give one pair; an id given to several texts counts for each. Other columns are not read.
+    Every run has the weight 1; with ``rare`` a run weighs more the fewer items of its index have it. ``ways`` can leave one way to candidates out, to measure the other.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
-    docs = spread(docs)
     items = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).where("item_id is not null and text is not null")
-    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    blocks = max(1, -(-size.n // most_items), -(-size.chars // most_chars))
-    found = []
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        part = docs.mapInArrow(_probe([(r.item_id, r.text) for r in own.collect()], radius), "doc_id bigint, item_id bigint")
-        # One block of items is in the driver's memory at a time.
-        found.append(written(part, "leaks") if blocks > 1 else part)
-    return reduce(DataFrame.unionAll, found).distinct()
+    context = docs.sparkSession.sparkContext
+    shared = [context.broadcast(index) for index in _indexes(items, radius, most_chars, rare)]
+    return spread(docs).mapInArrow(_probe(shared, ways, rare), "doc_id bigint, item_id bigint").distinct()

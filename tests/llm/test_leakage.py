@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from fareloom.llm.leakage import PASSAGE, RUN, ItemIndex, blocks_of, fingerprints, leaked_items, words_of
+from fareloom.llm.leakage import PASSAGE, RUN, STRIDES, ItemIndex, WindowIndex, _Hashes, blocks_of, fingerprints, leaked_items, words_of
 
 BASE = [f"w{i}" for i in range(400)]
 
@@ -42,20 +42,20 @@ def case(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("limit", [20_000, 6])
+@pytest.mark.parametrize("limit", [32_000_000, 900])
 def test_same_pairs_as_brute_force(spark, limit):
     docs, items = case(limit)
     d = spark.createDataFrame([(a, t, "x") for a, t in docs], "doc_id bigint, text string, item_id string").repartition(3)
     i = spark.createDataFrame([(a, t, 1) for a, t in items], "item_id bigint, text string, doc_id int")
-    got = [tuple(r) for r in leaked_items(d, i, most_items=limit).collect()]
+    got = [tuple(r) for r in leaked_items(d, i, most_chars=limit).collect()]
     assert len(got) == len(set(got)) and set(got) == brute(docs, items)
-    assert leaked_items(d.limit(0), i, most_items=limit).count() == 0
-    assert leaked_items(d, i.limit(0), most_items=limit).count() == 0
+    assert leaked_items(d.limit(0), i, most_chars=limit).count() == 0
+    assert leaked_items(d, i.limit(0), most_chars=limit).count() == 0
 
 
 def test_every_print_within_the_radius_is_found():
     rnd = np.random.default_rng(1)
-    index = ItemIndex([(i, " ".join(f"x{i}y{j}" for j in range(30))) for i in range(20)])
+    index = WindowIndex(rnd.integers(0, 2**63, 600, dtype=np.uint64), rnd.integers(0, 20, 600))
     some = index.prints[rnd.integers(0, len(index.prints), 500)]
     for flips in range(5):
         moved = some.copy()
@@ -67,6 +67,51 @@ def test_every_print_within_the_radius_is_found():
         assert np.array_equal(np.bincount(at, minlength=500) > 0, np.array(near) > 0)
 
 
+@pytest.mark.parametrize("size", [19, 20, 47, 90, 170, 900])
+def test_a_whole_item_lies_under_a_window_wherever_it_stands(size):
+    rnd = random.Random(size)
+    item = [f"i{n}" for n in range(size)]
+    index = ItemIndex([(5, " ".join(item))])
+    (stride,) = index.windows
+    assert stride in STRIDES and 5 * stride - 1 <= size
+    hashes = _Hashes()
+    for before in range(2 * stride):
+        words = rnd.choices(BASE, k=before) + item + rnd.choices(BASE, k=30)
+        found = index.pairs(np.array([hashes[w] for w in words], dtype=np.uint64), np.zeros(len(words), dtype=np.int64), ("windows",))
+        assert found.tolist() == [0]
+
+
+def test_the_ways_alone_and_rare_runs(spark):
+    item = [f"i{n}" for n in range(60)]
+    common = [f"c{n}" for n in range(60)]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(common + item[:20])), (3, " ".join(common + item[20:40])), (4, " ".join(common + item[40:]))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(10, " ".join(item)), (11, " ".join(item[:14])), (12, " ".join(common[:10] + ["x"] + common[10:20]))], "doc_id bigint, text string")
+    pairs = lambda **x: {tuple(r) for r in leaked_items(docs, items, **x).collect()}
+    every = {(10, 1), (10, 2), (10, 3), (10, 4), (11, 1), (11, 2)}
+    assert pairs() == pairs(ways=("anchors",)) == every
+    assert pairs(ways=("windows",)) == {(10, 1)}
+    assert pairs(rare=True) == every
+
+
+def test_forty_thousand_items_take_one_scan(spark):
+    rows = [(i, " ".join(f"v{i}q{n}" for n in range(12))) for i in range(40_000)]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, "so it goes and " + rows[i * 7][1] + " then on") for i in range(300)] + [(999, "nothing of it is in here at all")], "doc_id bigint, text string")
+    found = leaked_items(docs, items, most_chars=800_000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == plan.count("Scan ExistingRDD") == 1
+    assert {tuple(r) for r in found.collect()} == {(i, i * 7) for i in range(300)}
+
+
+def test_items_that_share_a_run_do_not_pile_up():
+    shared = " ".join(f"s{n}" for n in range(8))
+    index = ItemIndex([(i, f"{shared} a{i} b{i} c{i} d{i} e{i} f{i} g{i} h{i}") for i in range(3000)])
+    hashes = _Hashes()
+    words = (shared + " x").split() * 4000
+    doc = np.repeat(np.arange(4000), 9)
+    assert len(index.pairs(np.array([hashes[w] for w in words], dtype=np.uint64), doc)) == 0
+
+
 def test_blocks_cover_all_bits():
     prints = np.array([0x0123456789ABCDEF], dtype=np.uint64)
     assert [int(b[0]) for b in blocks_of(prints, 3)] == [0xCDEF, 0x89AB, 0x4567, 0x0123]
@@ -74,7 +119,7 @@ def test_blocks_cover_all_bits():
 
 def test_words():
     assert words_of("Dur­ante 2⁠4 ＡＢＣ ﬁn_x") == ["durante", "24", "abc", "fin", "x"]
-    assert words_of(None) == [] and len(fingerprints(np.empty(0, dtype=np.uint64))) == 0
+    assert words_of(None) == [] and len(fingerprints(np.empty(0, dtype=np.uint64), 4)) == 0
 
 
 def test_a_very_long_text(spark):
