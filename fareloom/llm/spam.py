@@ -3,12 +3,15 @@
 A text is cut into segments (sentences, lines, blocks of short lines), and each is
 measured: share of function words and how many different ones, share of words that
 the document repeats far too often (top words and top pairs of words), share of characters in links, hashtags
-and anchors, density of separators, and whether the line is one of many copies. The bound for missing
-function words is calibrated per language over all segments of the corpus: a fixed part of
-the language's median, within fixed limits. A document is found when segments that are no
+and anchors, density of separators, and whether the line is one of many copies. All bounds are calibrated per language
+over all segments of the corpus, within fixed limits. A document is found when segments that are no
 writing make up more than half of its text.
 
-One pass in Python measures; calibration and thresholds are column expressions over the measures.
+Function words can only be missing where they are known. Whether a text in Latin letters that hardly has any is a list of keywords or writing in some other
+language is told by its letters: the frequencies of three letters in a row are counted over all documents that do have the function
+words of a language, and a text too unlike all of these is judged by the measures that need no words.
+
+One pass in Python measures; calibration, letters and thresholds are column expressions over the measures.
 """
 
 from __future__ import annotations
@@ -18,7 +21,9 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -39,25 +44,33 @@ FUNCTION_WORDS = {
         "es son era fue ser está están estar hay ha han he hemos había tiene tienen tuvo me te se nos le les mi mis tu tus su sus nuestro nuestra este esta estos estas ese esa eso esto aquel "
         "no ya más menos muy tan también nunca siempre antes después durante tras cada todo toda todos todas otro otra otros otras casi solo aún así alguien algo nada qué cómo yo".split()
     ),
+    "ru": frozenset(
+        "и в во не на я он она оно они мы вы ты что чтобы с со как а но то по из за к ко у о об от до для без при под над или если же ли бы был была было были быть есть нет это этот эта эти того этого "
+        "его её их ему ей им мой моя мне меня нас нам вас вам так также уже ещё только когда где кто который которая которые потом после перед между через всё все весь никто ничего сам себя".split()
+    ),
 }
+#: Languages in Latin letters, told apart from each other by their function words and from all others by their letters.
+LATIN = ("en", "es")
 _KO_ENDING = regex.compile(r"\p{Hangul}(?:은|는|을|를|에|의|로|와|과|도|만|에서|에게|으로|까지|부터|보다|처럼|마다|라고|하고|면|서|며|고|지만|니다|니까|세요|어요|아요|네요|군요|까요|요|다|까|죠)$")
 _HANGUL = regex.compile(r"\p{Hangul}")
 _WORD = regex.compile(r"[\p{L}\p{N}]+(?:['’][\p{L}]+)?")
+_PLAIN_WORD = re.compile(r"[A-Za-z0-9]+(?:'[A-Za-z]+)?")
 _FORMAT = regex.compile(r"\p{Cf}+")
 _DOT = r"(?:\.|\[\.\]|\(\.\)|\{\.\}|\s(?:dot|\[dot\]|\(dot\))\s)"
-#: Every repetition is bounded or cannot be entered again, so a text of any length takes time in proportion to it.
+#: No repetition can be entered again at the same place, or goes on past the next opening of its kind, so a text of any length takes time in proportion to it. A name between dots has 63 letters at most.
 _LINK = regex.compile(
-    r"<a\b[^<>]{0,2000}>(?:(?!</?a\b).){0,500}+</a>|!?\[[^\[\]\n]{0,300}+\]\([^()\n]{0,2000}+\)|(?:h(?:tt|xx)ps?:?//|www" + _DOT + r")\S++(?:\s/\s\S++)*"
+    r"<a\b[^<>]*+>(?:(?!</?a\b).)*+</a>|!?\[[^\[\]\n]*+\]\([^()\n]*+\)|(?:h(?:tt|xx)ps?:?//|www" + _DOT + r")\S++(?:\s/\s\S++)*"
     r"|(?<![\p{L}\p{N}@-])[a-z0-9][a-z0-9-]{0,62}+(?:" + _DOT + r"[a-z][a-z0-9-]{1,62}+)+(?:\s?/\s?[^\s|]++)*|#[\p{L}\p{N}_]++",
     regex.IGNORECASE | regex.DOTALL,
 )
 #: What every link has somewhere; most texts have none of it.
-_LINK_HINT = re.compile(r"<a|\]\(|ps?:?//|www|#|[a-z0-9-](?:\.|\[\.\]|\(\.\)|\{\.\}|\s[\[(]?dot[\])]?\s)[a-z]", re.IGNORECASE)
-_TAG = regex.compile(r"<[^<>\n]{0,300}>")
+_LINK_HINTS = ("<a", "](", "//", "www", "#", "[.]", "(.)", "{.}", " dot", "[dot", "(dot")
+_DOTTED = re.compile(r"\.[a-z]")
+_TAG = regex.compile(r"<[^<>\n]*+>")
 _VERB = regex.compile(r"\p{Hangul}(?:니다|니까|세요|어요|아요|네요|군요|까요|다|요|죠)$")
 _QUOTED = regex.compile(r"^(?:[>|]+\s*)+")
-_SENTENCE_END = regex.compile(r"(?<=[.!?。！？…])[\"'”’)\]]*\s+")
-_SEPARATORS = regex.compile(r"[|/>»«·•;,=\t→←:*~+]|->|👉")
+_SENTENCE_END = re.compile(r"(?<=[.!?。！？…])[\"'”’)\]]*\s+")
+_SEPARATORS = re.compile(r"[|/>»«·•;,=\t→←:*~+]|->|👉")
 #: A run of one letter, which is a ruler or a drawn-out word: it counts as three of them. Everything else counts in full.
 _RUN = re.compile(r"([^\W\d_])\1{3,}")
 #: A line of fewer words that doesn't end as a sentence joins the short lines around it.
@@ -66,12 +79,26 @@ _LINK_MARK = "\u0001"
 _ENDS = frozenset(".!?。！？…")
 #: A word or pair of words is far too frequent from so many times and this share of the document's words.
 HOT_TIMES, HOT_WORD, HOT_PAIR = 4, 0.025, 0.03
-_EVERY = FUNCTION_WORDS["en"] | FUNCTION_WORDS["es"]
+_EVERY = frozenset().union(*FUNCTION_WORDS.values())
+_HIRAGANA = regex.compile(r"\p{Hiragana}")
+_JAPANESE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
+#: Letters that Cyrillic languages other than Russian use.
+_NOT_RUSSIAN = frozenset("іїєґўјљњћђџѓќѕ")
+
+#: 32 classes of letters: 0 is none, 1 to 26 the plain ones, the rest the others of Latin-1, folded.
+_LETTER = np.zeros(256, dtype=np.int64)
+_LETTER[ord("a") : ord("z") + 1] = np.arange(1, 27)
+_LETTER[0xDF:0x100] = 27 + np.arange(0xDF, 0x100) % 5
+CODES = 32**3
+#: A text has a language from this share of function words and so many words on; its letters tell something from so many codes on.
+SHARE_OF_LANGUAGE, LEAST_WORDS, LEAST_CODES = 0.3, 15, 40
 
 
 @dataclass(frozen=True)
 class Bounds:
-    """Thresholds. ``function_share`` is calibrated within ``low`` and ``high``; the others hold for all languages."""
+    """Thresholds. Each bound is calibrated per language: that of function words as ``of_median`` of the median share, within ``low`` and ``high``; the others are at
+    least the values given here, and more in a language of which ``known_segments`` and more are known and whose upper tenth comes near them.
+    A language's letters are known from ``known_letters`` codes on, and a text is none of its when its letters are ``unlike`` more surprising (in nats each) than the language's own."""
 
     low: float = 0.12
     high: float = 0.25
@@ -83,7 +110,10 @@ class Bounds:
     link_share: float = 0.5
     separators: float = 0.5
     text_share: float = 0.5
-    least_words: int = 12
+    page_words: int = 12
+    known_segments: int = 50
+    known_letters: int = 20_000
+    unlike: float = 2.2
 
 
 def clean(text: str) -> str:
@@ -91,30 +121,35 @@ def clean(text: str) -> str:
     return text if text.isascii() else _FORMAT.sub("", unicodedata.normalize("NFKC", text))
 
 
+def _words(text: str) -> list[str]:
+    return (_PLAIN_WORD if text.isascii() else _WORD).findall(text)
+
+
 def segments(text: str) -> list[str]:
     """Sentences of the lines. A line goes on in the next one when it doesn't end as a sentence and the next is quoted
     as well or starts in lower case; lines that are short and no sentences are put together."""
-    lines: list[str] = []
+    parts: list[list[str]] = []
     open_quote = False
     for raw in text.splitlines():
         line = raw.strip()
-        bare = _QUOTED.sub("", line)
+        bare = _QUOTED.sub("", line) if line[:1] in (">", "|") else line
         if not bare:
             open_quote = False
             continue
-        going_on = lines and lines[-1][-1:] not in _ENDS and (open_quote if bare != line else bare[0].islower()) and _LINK_MARK not in lines[-1]
-        if going_on and len(lines[-1]) < 2000:
-            lines[-1] += " " + bare
+        last = parts[-1][-1] if parts else ""
+        if last and last[-1] not in _ENDS and (open_quote if bare != line else bare[0].islower()) and _LINK_MARK not in last:
+            parts[-1].append(bare)
         else:
-            lines.append(bare)
+            parts.append([bare])
         open_quote = bare != line
+    lines = [" ".join(p) for p in parts]
     out: list[str] = []
     block: list[str] = []
     for line in lines:
         for part in _SENTENCE_END.split(line):
             if not part:
                 continue
-            if part.rstrip("\"'”’)]")[-1:] not in _ENDS and len(_WORD.findall(part)) < SHORT_LINE and _LINK_MARK not in part:
+            if part.rstrip("\"'”’)]")[-1:] not in _ENDS and len(_words(part)) < SHORT_LINE and _LINK_MARK not in part:
                 block.append(part)
                 continue
             if block:
@@ -130,25 +165,54 @@ def _weight(words: list[str], runs: bool) -> int:
     return sum(len(_RUN.sub(r"\1\1\1", w)) for w in words) if runs else sum(map(len, words))
 
 
+def _may_have_links(text: str) -> bool:
+    low = text.lower()
+    return any(h in low for h in _LINK_HINTS) or _DOTTED.search(low) is not None or re.search(r"\sdot\s", low) is not None
+
+
+def _has_runs(text: str) -> bool:
+    """Whether some character stands four times in a row; letters are looked at closer where it does."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    same = codes[1:] == codes[:-1]
+    return bool((same[2:] & same[1:-1] & same[:-2]).any()) and _RUN.search(text) is not None
+
+
+def codes_of(text: str) -> np.ndarray:
+    """Three letters in a row as one number each, letters in 32 classes."""
+    a = _LETTER[np.frombuffer(text.lower().replace(_LINK_MARK, " ").encode("latin-1", "replace"), dtype=np.uint8)]
+    if len(a) < 3:
+        return a[:0]
+    found = (a[:-2] * 32 + a[1:-1]) * 32 + a[2:]
+    return found[found > 0]
+
+
 def measure(text: str | None) -> list[tuple]:
     """``lang, size, words, function, kinds, hot, linked, links, separators, copies`` of each segment."""
+    return _measured(text)[0]
+
+
+def _measured(text: str | None) -> tuple[list[tuple], str]:
+    """The measures, and the text without links and tags."""
     if not text or not text.strip():
-        return []
-    text = clean(text)
+        return [], ""
+    text = clean(text).replace(_LINK_MARK, " ")
     links: list[int] = []
 
     def mark(m: regex.Match) -> str:
-        links.append(sum(c.isalnum() for c in m.group()) or 1)
+        links.append(sum(map(str.isalnum, m.group())) or 1)
         return _LINK_MARK
 
-    plain = _LINK.sub(mark, text) if _LINK_HINT.search(text) else text
+    plain = _LINK.sub(mark, text) if _may_have_links(text) else text
     if "<" in plain:
         plain = _TAG.sub(" ", plain)
     parts = segments(plain)
-    spoken = [_WORD.findall(p.lower()) for p in parts]
+    spoken = [_words(p.lower()) for p in parts]
     # Numbers are neither function words nor keywords.
-    found = [[w for w in ws if not w[0].isdigit() or (not w.isascii() and _HANGUL.search(w))] for ws in spoken]
-    known = Counter(w for ws in found for w in ws)
+    if plain.isascii():
+        found = [[w for w in ws if w[0] > "9"] for ws in spoken]
+    else:
+        found = [[w for w in ws if not w[0].isdigit() or (not w.isascii() and _HANGUL.search(w))] for ws in spoken]
+    known = Counter(chain.from_iterable(found))
     total = sum(known.values())
     every = _EVERY
     often = {w: n for w, n in known.items() if n >= HOT_TIMES and w not in every}
@@ -158,25 +222,13 @@ def measure(text: str | None) -> list[tuple]:
         pairs = Counter(p for ws in found for p in zip(ws, ws[1:], strict=False))
         hot_pairs = {p for p, n in pairs.items() if n >= HOT_TIMES and n >= HOT_PAIR * total and not (p[0] in every and p[1] in every)}
     copies = Counter(parts)
-    runs = _RUN.search(plain.lower()) is not None
+    runs = _has_runs(plain.lower())
     out, at = [], 0
     for part, words, said in zip(parts, found, spoken, strict=True):
         count = part.count(_LINK_MARK)
         linked = sum(links[at : at + count])
         at += count
-        latin = part.isascii()
-        if not latin and _HANGUL.search(part):
-            lang = "ko"
-            functional = [w for w in words if _KO_ENDING.search(w)]
-            extra = 1 if words and _VERB.search(words[-1]) else 0
-            own = frozenset(functional)
-        elif words and not latin and 2 * sum(w[0] < "\u0250" for w in words) < len(words):
-            # A script of neither language: what its function words are isn't known, so only links and repetition count.
-            lang, functional, extra, own = "other", words, 0, frozenset()
-        else:
-            by = {k: [w for w in words if w in v] for k, v in FUNCTION_WORDS.items()}
-            lang = max(by, key=lambda k: len(by[k]))
-            functional, extra, own = by[lang], 0, FUNCTION_WORDS[lang]
+        lang, length, functional, kinds, own = _language(part, words)
         repeated = 0.0
         if hot or hot_pairs:
             inside = [False] * len(words)
@@ -186,66 +238,147 @@ def measure(text: str | None) -> list[tuple]:
                         inside[i] = inside[i + 1] = True
             contents = [(w in hot or x) for w, x in zip(words, inside, strict=True) if w not in own]
             repeated = sum(contents) / len(contents) if contents else 0.0
-        out.append((
-            lang, _weight(said, runs) + linked, len(words), len(functional) + extra, len(set(functional)) + extra,
-            repeated, linked, count, len(_SEPARATORS.findall(part)), copies[part],
-        ))
-    return out
+        out.append((lang, _weight(said, runs) + linked, length, functional, kinds, repeated, linked, count, len(_SEPARATORS.findall(part)), copies[part]))
+    return out, plain
+
+
+def _language(part: str, words: list[str]) -> tuple[str, int, int, int, frozenset[str]]:
+    """``lang, words, function, kinds`` of a segment and its function words. In Japanese, which has no blanks, letters count as words, and hiragana, which inflects, as function words."""
+    latin = part.isascii()
+    if not latin and _HANGUL.search(part):
+        functional = [w for w in words if _KO_ENDING.search(w)]
+        extra = 1 if words and _VERB.search(words[-1]) else 0
+        return "ko", len(words), len(functional) + extra, len(set(functional)) + extra, frozenset(functional)
+    if words and not latin and 2 * sum(w[0] < "\u0250" for w in words) < len(words):
+        letters = _JAPANESE.findall(part)
+        if letters and any("\u3040" <= c <= "\u30ff" for c in letters):
+            kana = _HIRAGANA.findall(part)
+            return "ja", len(letters), len(kana), len(set(kana)), frozenset()
+        cyrillic = sum("\u0400" <= w[0] <= "\u04ff" for w in words)
+        if 2 * cyrillic > len(words) and _NOT_RUSSIAN.isdisjoint(part.lower()):
+            functional = [w for w in words if w in FUNCTION_WORDS["ru"]]
+            return "ru", len(words), len(functional), len(set(functional)), FUNCTION_WORDS["ru"]
+        # What the function words of other scripts are isn't known, so only links and repetition count.
+        return "other", len(words), len(words), len(set(words)), frozenset()
+    by = {k: [w for w in words if w in FUNCTION_WORDS[k]] for k in LATIN}
+    lang = max(by, key=lambda k: len(by[k]))
+    return lang, len(words), len(by[lang]), len(set(by[lang])), FUNCTION_WORDS[lang]
 
 
 _SEGMENT = "array<struct<lang:string,size:bigint,words:bigint,function:bigint,kinds:bigint,hot:double,linked:bigint,links:bigint,separators:bigint,copies:bigint>>"
-_ARROW = pa.list_(pa.struct([("lang", pa.string()), *((n, pa.int64()) for n in ("size", "words", "function", "kinds")), ("hot", pa.float64()), *((n, pa.int64()) for n in ("linked", "links", "separators", "copies"))]))
-_FIELDS = [f.name for f in _ARROW.value_type]
+_TYPES = [("lang", pa.string()), *((n, pa.int64()) for n in ("size", "words", "function", "kinds")), ("hot", pa.float64()), *((n, pa.int64()) for n in ("linked", "links", "separators", "copies"))]
+_MEASURES = f"doc_id bigint, segments {_SEGMENT}, codes array<int>, counted string, letters array<bigint>"
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("segments", pa.list_(pa.struct(_TYPES))), ("codes", pa.list_(pa.int32())), ("counted", pa.string()), ("letters", pa.list_(pa.int64()))])
+
+
+def _spoken_in(found: list[tuple]) -> str | None:
+    """The Latin language whose function words a text has, ``""`` where it is in Latin letters and has too few of any, None where that can't be said."""
+    latin = [x for x in found if x[0] in LATIN]
+    words = sum(x[2] for x in latin)
+    if words < LEAST_WORDS or 2 * words < sum(x[2] for x in found):
+        return None
+    lang, functional = max(((k, sum(x[3] for x in latin if x[0] == k)) for k in LATIN), key=lambda x: x[1])
+    return lang if functional >= SHARE_OF_LANGUAGE * words else ""
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    letters = {k: np.zeros(CODES, dtype=np.int64) for k in LATIN}
     for batch in batches:
-        rows = [[dict(zip(_FIELDS, s, strict=True)) for s in measure(t)] for t in batch.column(1).to_pylist()]
-        yield pa.record_batch([batch.column(0), pa.array(rows, _ARROW)], names=["doc_id", "segments"])
+        offsets, each, codes = [0], [], []
+        for text in batch.column(1).to_pylist():
+            found, plain = _measured(text)
+            each += found
+            offsets.append(len(each))
+            lang = _spoken_in(found)
+            if lang:
+                letters[lang] += np.bincount(codes_of(plain), minlength=CODES)
+            codes.append(codes_of(plain).astype(np.int32) if lang == "" else None)
+        columns = list(zip(*each, strict=True)) if each else [[]] * len(_TYPES)
+        structs = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _TYPES, strict=True)], fields=[pa.field(*t) for t in _TYPES])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
+        none = pa.nulls(batch.num_rows)
+        yield pa.record_batch([batch.column(0), lists, pa.array(codes, pa.list_(pa.int32())), none.cast(pa.string()), none.cast(pa.list_(pa.int64()))], schema=_SCHEMA)
+    some = [k for k in LATIN if letters[k].any()]
+    if some:
+        none = pa.nulls(len(some))
+        yield pa.record_batch(
+            [none.cast(pa.int64()), none.cast(_SCHEMA.field("segments").type), none.cast(pa.list_(pa.int32())), pa.array(some, pa.string()), pa.array([letters[k] for k in some], pa.list_(pa.int64()))], schema=_SCHEMA
+        )
 
 
 def page_measures(docs: DataFrame) -> DataFrame:
-    """``doc_id, segments`` with the measures of each segment of the whole text; no row of a large table is shuffled."""
+    """``doc_id, segments, codes`` with the measures of each segment of the whole text, and the codes of its letters where it has no language; and, in ``counted`` and ``letters`` of
+    rows of their own, the letters of each language in a partition. No row of a large table is shuffled."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return spread(rows).mapInArrow(_measure, f"doc_id bigint, segments {_SEGMENT}")
-
-
-def function_bounds(measures: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
-    """``lang, bound``: per language the share of function words below which a segment is no writing."""
-    each = measures.select(F.inline("segments")).where("lang <> 'other' and words >= 5 and linked * 2 < size")
-    share = F.round(F.col("function") / F.col("words"), 2)
-    counted = each.groupBy("lang", share.alias("share")).agg(F.count("*").alias("n"))
-    middle = F.percentile("share", F.lit(0.5), F.col("n"))
-    return counted.groupBy("lang").agg(F.least(F.lit(bounds.high), F.greatest(F.lit(bounds.low), middle * bounds.of_median)).alias("bound"))
+    return spread(rows).mapInArrow(_measure, _MEASURES)
+
+
+def letter_models(measures: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
+    """``models``, one row: per language known well enough, the surprise of each code and the language's own, on average."""
+    each = measures.where("counted is not null").select("counted", F.posexplode("letters").alias("code", "n")).where("n > 0")
+    summed = each.groupBy("counted", "code").agg(F.sum("n").alias("n")).groupBy("counted").agg(F.map_from_entries(F.collect_list(F.struct("code", "n"))).alias("m"), F.sum("n").alias("all"))
+    surprise = F.expr(f"transform(sequence(0, {CODES - 1}), c -> -ln((coalesce(m[c], 0L) + 0.1D) / (all + {CODES / 10}D)))")
+    known = summed.where(F.col("all") >= bounds.known_letters).select("counted", "m", "all", surprise.alias("surprise"))
+    own = F.expr("aggregate(map_entries(m), 0D, (a, x) -> a + x.value * surprise[x.key]) / all")
+    return known.agg(F.collect_list(F.struct(F.col("counted").alias("lang"), own.alias("own"), "surprise")).alias("models"))
+
+
+def language_bounds(measures: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
+    """``lang, missing, hot, link, separators, copies``: per language the bounds beyond which a segment is no writing."""
+    each = measures.select(F.inline("segments")).where("lang <> 'other' and words >= 5")
+    linked = F.try_divide(F.col("linked"), F.col("size"))
+    values = {"missing": F.when(F.col("linked") * 2 < F.col("size"), F.col("function") / F.col("words")), "hot": F.col("hot"), "link": linked, "separators": F.least(F.col("separators") / F.col("words"), F.lit(9.0)), "copies": F.least(F.col("copies"), F.lit(1000)).cast("double")}
+    long = each.select("lang", F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), F.round(v, 2).alias("v")) for k, v in values.items())))).where("v is not null")
+    counted = long.groupBy("lang", "kind", "v").agg(F.count("*").alias("n"))
+    at = lambda kind, share: F.percentile(F.when(F.col("kind") == kind, F.col("v")), F.lit(share), F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+    enough = F.sum(F.when(F.col("kind") == "copies", F.col("n"))) >= bounds.known_segments
+    upper = lambda kind, least, times, most: F.when(enough, F.least(F.lit(most), F.greatest(F.lit(least), F.coalesce(at(kind, 0.9), F.lit(0.0)) * times))).otherwise(F.lit(least)).alias(kind)
+    return counted.groupBy("lang").agg(
+        F.least(F.lit(bounds.high), F.greatest(F.lit(bounds.low), F.coalesce(at("missing", 0.5), F.lit(0.0)) * bounds.of_median)).alias("missing"),
+        upper("hot", bounds.hot_share, 1.5, 0.9), upper("link", bounds.link_share, 1.5, 0.9), upper("separators", bounds.separators, 1.5, 2.0), upper("copies", float(bounds.copies), 2.0, 1000.0),
+    )
 
 
 def spam_shares(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """``doc_id, size, share, words, links, spam`` of every document; ``size`` counts letters and digits (of a run of one letter three), ``share`` of them are no writing.
 
-    Null, empty and blank texts have size 0 and are never spam, nor is a text of fewer than ``least_words`` words (a link
-    counts as two): a bare title is no page. Repeated rows are judged each. Segments in a script
-    that is neither Latin nor Hangul are judged by links and repetition alone. Other columns are not read.
+    Null, empty and blank texts have size 0 and are never spam. A text of fewer than ``page_words`` words (a link
+    counts as two) is spam by links, separators, repetition or copies, not for want of function words: a bare title is no page. Repeated rows are judged each. Segments in a script
+    that is neither Latin, Hangul, Russian nor Japanese, and texts in Latin letters unlike those of any language the corpus has enough of, are judged by links, separators and repetition alone. Other columns are not read.
     """
     measures = written(page_measures(docs), "measures")
-    by_lang = function_bounds(measures, bounds).agg(F.map_from_entries(F.collect_list(F.struct("lang", "bound"))).alias("bounds"))
+    texts = measures.where("counted is null")
+    names = ["missing", "hot", "link", "separators", "copies"]
+    by_lang = language_bounds(texts, bounds).agg(F.map_from_entries(F.collect_list(F.struct("lang", F.struct(*names)))).alias("bounds"))
+    fixed = {"missing": bounds.low, "hot": bounds.hot_share, "link": bounds.link_share, "separators": bounds.separators, "copies": float(bounds.copies)}
+    # How much more surprising the letters are than a language's own: that of the language they fit best.
+    unlike = F.expr("array_min(transform(models, m -> aggregate(codes, 0D, (a, c) -> a + m.surprise[c]) / size(codes) - m.own))")
+    unknown = F.when(F.col("codes").isNull() | (F.size("codes") < LEAST_CODES), F.lit(False)).otherwise(F.coalesce(unlike > bounds.unlike, F.lit(True)))
 
     def junk(x):
-        bound = F.coalesce(F.element_at("bounds", x["lang"]), F.lit(bounds.low))
-        linked = x["linked"] >= x["size"] * bounds.link_share
-        missing = x["function"] < x["words"] * bound
+        own = F.element_at("bounds", x["lang"])
+        bound = {k: F.coalesce(own[k], F.lit(v)) for k, v in fixed.items()}
+        wordless = F.col("unknown") & x["lang"].isin(*LATIN)
+        linked = x["linked"] >= x["size"] * bound["link"]
+        missing = x["function"] < x["words"] * bound["missing"]
         uniform = (x["words"] >= bounds.long_segment) & (x["kinds"] < F.when(x["words"] >= 2 * bounds.long_segment, bounds.kinds).otherwise(bounds.kinds - 1))
-        listed = (x["separators"] >= x["words"] * bounds.separators) & (x["kinds"] < bounds.kinds)
-        repeated = ((x["words"] >= bounds.long_segment) | (x["copies"] > 1)) & (x["hot"] >= bounds.hot_share)
-        copied = (x["copies"] >= bounds.copies) & (x["function"] < x["words"] * bound * 1.5)
-        return linked | missing | uniform | listed | repeated | copied
+        listed = (x["separators"] >= x["words"] * bound["separators"]) & ((x["kinds"] < bounds.kinds) | (x["lang"] == "other"))
+        repeated = ((x["words"] >= bounds.long_segment) | (x["copies"] > 1)) & (x["hot"] >= bound["hot"])
+        copied = (x["copies"] >= bound["copies"]) & ((x["function"] < x["words"] * bound["missing"] * 1.5) | wordless)
+        surely = linked | (listed & (x["words"] + x["links"] > 1)) | repeated | copied
+        # In a text too short for a page any repetition is one.
+        return surely | ((x["words"] >= bounds.copies) & (x["hot"] >= bound["hot"])), surely | listed | ((missing | uniform) & ~wordless)
+
+    one = texts.crossJoin(F.broadcast(by_lang)).crossJoin(F.broadcast(letter_models(measures, bounds))).withColumn("unknown", unknown)
 
-    judged = measures.crossJoin(F.broadcast(by_lang)).withColumn("each", F.transform("segments", lambda x: F.struct(x["size"].alias("size"), (x["words"] + 2 * x["links"]).alias("words"), junk(x).alias("junk"))))
+    def each(x):
+        surely, at_all = junk(x)
+        return F.struct(x["size"].alias("size"), (x["words"] + 2 * x["links"]).alias("words"), surely.alias("surely"), at_all.alias("junk"))
+
+    judged = one.withColumn("each", F.transform("segments", each))
     total = lambda part: F.aggregate(part, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    out = judged.select(
-        "doc_id",
-        total(F.transform("each", lambda x: x["size"])).alias("size"),
-        total(F.transform(F.filter("each", lambda x: x["junk"]), lambda x: x["size"])).alias("junk"),
-        total(F.transform("each", lambda x: x["words"])).alias("words"),
-    )
-    share = F.coalesce(F.try_divide(F.col("junk"), F.col("size")), F.lit(0.0))
-    return out.select("doc_id", "size", share.alias("share"), "words", ((share > bounds.text_share) & (F.col("words") >= bounds.least_words)).alias("spam"))
+    size = lambda kind: total(F.transform(F.filter("each", lambda x: x[kind]), lambda x: x["size"]))
+    out = judged.select("doc_id", total(F.transform("each", lambda x: x["size"])).alias("size"), size("junk").alias("junk"), size("surely").alias("surely"), total(F.transform("each", lambda x: x["words"])).alias("words"))
+    part = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("size")), F.lit(0.0))
+    counts = F.when(F.col("words") >= bounds.page_words, part("junk")).otherwise(part("surely"))
+    return out.select("doc_id", "size", counts.alias("share"), "words", (counts > bounds.text_share).alias("spam"))
