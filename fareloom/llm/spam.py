@@ -11,7 +11,7 @@ Function words can only be missing where they are known. Whether a text in Latin
 language is told by its letters: the frequencies of three letters in a row are counted over all documents that do have the function
 words of a language, and a text too unlike all of these is judged by the measures that need no words.
 
-One pass in Python measures; calibration, letters and thresholds are column expressions over the measures.
+One pass in Python measures; calibration is an aggregation of the measures, whose few figures per language go back to the judging of whole batches of them.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -313,14 +314,17 @@ def page_measures(docs: DataFrame) -> DataFrame:
     return spread(rows).mapInArrow(_measure, _MEASURES)
 
 
-def letter_models(measures: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
-    """``models``, one row: per language known well enough, the surprise of each code and the language's own, on average."""
+def letter_models(measures: DataFrame, bounds: Bounds = Bounds()) -> list[tuple[np.ndarray, float]]:
+    """Per language known well enough the surprise of each code, and the language's own on average. A few fixed-size rows come to the driver."""
     each = measures.where("counted is not null").select("counted", F.posexplode("letters").alias("code", "n")).where("n > 0")
-    summed = each.groupBy("counted", "code").agg(F.sum("n").alias("n")).groupBy("counted").agg(F.map_from_entries(F.collect_list(F.struct("code", "n"))).alias("m"), F.sum("n").alias("all"))
-    surprise = F.expr(f"transform(sequence(0, {CODES - 1}), c -> -ln((coalesce(m[c], 0L) + 0.1D) / (all + {CODES / 10}D)))")
-    known = summed.where(F.col("all") >= bounds.known_letters).select("counted", "m", "all", surprise.alias("surprise"))
-    own = F.expr("aggregate(map_entries(m), 0D, (a, x) -> a + x.value * surprise[x.key]) / all")
-    return known.agg(F.collect_list(F.struct(F.col("counted").alias("lang"), own.alias("own"), "surprise")).alias("models"))
+    summed = each.groupBy("counted", "code").agg(F.sum("n").alias("n")).groupBy("counted").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("n"), F.sum("n").alias("all"))
+    models = []
+    for r in summed.where(F.col("all") >= bounds.known_letters).collect():
+        n = np.zeros(CODES)
+        n[r.codes] = r.n
+        surprise = -np.log((n + 0.1) / (r["all"] + CODES / 10))
+        models.append((surprise, float(n @ surprise / r["all"])))
+    return models
 
 
 def language_bounds(measures: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
@@ -348,37 +352,49 @@ def spam_shares(docs: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """
     measures = written(page_measures(docs), "measures")
     texts = measures.where("counted is null")
-    names = ["missing", "hot", "link", "separators", "copies"]
-    by_lang = language_bounds(texts, bounds).agg(F.map_from_entries(F.collect_list(F.struct("lang", F.struct(*names)))).alias("bounds"))
+    by_lang = {r.lang: r.asDict() for r in language_bounds(texts, bounds).collect()}
+    judged = texts.select("doc_id", "segments", "codes").mapInArrow(_judge(by_lang, letter_models(measures, bounds), bounds), "doc_id bigint, size bigint, share double, words bigint")
+    return judged.withColumn("spam", F.col("share") > bounds.text_share)
+
+
+def _judge(by_lang: dict[str, dict], models: list[tuple[np.ndarray, float]], bounds: Bounds):
+    """Measures to shares, all segments of a batch at once."""
     fixed = {"missing": bounds.low, "hot": bounds.hot_share, "link": bounds.link_share, "separators": bounds.separators, "copies": float(bounds.copies)}
-    # How much more surprising the letters are than a language's own: that of the language they fit best.
-    unlike = F.expr("array_min(transform(models, m -> aggregate(codes, 0D, (a, c) -> a + m.surprise[c]) / size(codes) - m.own))")
-    unknown = F.when(F.col("codes").isNull() | (F.size("codes") < LEAST_CODES), F.lit(False)).otherwise(F.coalesce(unlike > bounds.unlike, F.lit(True)))
-
-    def junk(x):
-        own = F.element_at("bounds", x["lang"])
-        bound = {k: F.coalesce(own[k], F.lit(v)) for k, v in fixed.items()}
-        wordless = F.col("unknown") & x["lang"].isin(*LATIN)
-        linked = x["linked"] >= x["size"] * bound["link"]
-        missing = x["function"] < x["words"] * bound["missing"]
-        uniform = (x["words"] >= bounds.long_segment) & (x["kinds"] < F.when(x["words"] >= 2 * bounds.long_segment, bounds.kinds).otherwise(bounds.kinds - 1))
-        listed = (x["separators"] >= x["words"] * bound["separators"]) & ((x["kinds"] < bounds.kinds) | (x["lang"] == "other"))
-        repeated = ((x["words"] >= bounds.long_segment) | (x["copies"] > 1)) & (x["hot"] >= bound["hot"])
-        copied = (x["copies"] >= bound["copies"]) & ((x["function"] < x["words"] * bound["missing"] * 1.5) | wordless)
-        surely = linked | (listed & (x["words"] + x["links"] > 1)) | repeated | copied
-        # In a text too short for a page any repetition is one.
-        return surely | ((x["words"] >= bounds.copies) & (x["hot"] >= bound["hot"])), surely | listed | ((missing | uniform) & ~wordless)
-
-    one = texts.crossJoin(F.broadcast(by_lang)).crossJoin(F.broadcast(letter_models(measures, bounds))).withColumn("unknown", unknown)
-
-    def each(x):
-        surely, at_all = junk(x)
-        return F.struct(x["size"].alias("size"), (x["words"] + 2 * x["links"]).alias("words"), surely.alias("surely"), at_all.alias("junk"))
-
-    judged = one.withColumn("each", F.transform("segments", each))
-    total = lambda part: F.aggregate(part, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    size = lambda kind: total(F.transform(F.filter("each", lambda x: x[kind]), lambda x: x["size"]))
-    out = judged.select("doc_id", total(F.transform("each", lambda x: x["size"])).alias("size"), size("junk").alias("junk"), size("surely").alias("surely"), total(F.transform("each", lambda x: x["words"])).alias("words"))
-    part = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("size")), F.lit(0.0))
-    counts = F.when(F.col("words") >= bounds.page_words, part("junk")).otherwise(part("surely"))
-    return out.select("doc_id", "size", counts.alias("share"), "words", (counts > bounds.text_share).alias("spam"))
+    langs = [*LATIN, "ko", "ru", "ja", "other"]
+    limits = {k: np.array([by_lang.get(lang, fixed)[k] for lang in langs]) for k in fixed}
+
+    def unlike(codes: np.ndarray) -> bool:
+        """Whether the letters are more surprising in every known language than its own are."""
+        return len(codes) >= LEAST_CODES and all(surprise[codes].mean() - own > bounds.unlike for surprise, own in models)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, codes = batch.column(1), batch.column(2)
+            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            flat = lists.flatten()
+            lang = pc.index_in(flat.field("lang"), pa.array(langs)).to_numpy(zero_copy_only=False).astype(np.int64)
+            x = {name: flat.field(name).to_numpy(zero_copy_only=False) for name, _ in _TYPES[1:]}
+            limit = {k: v[lang] for k, v in limits.items()}
+            odd = np.zeros(batch.num_rows, dtype=bool)
+            for i in np.flatnonzero(codes.is_valid().to_numpy(zero_copy_only=False)):
+                odd[i] = unlike(codes[int(i)].values.to_numpy())
+            of = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            wordless = odd[of] & (lang < len(LATIN))
+            words, few = x["words"], x["kinds"] < bounds.kinds
+            linked = x["linked"] >= x["size"] * limit["link"]
+            missing = x["function"] < words * limit["missing"]
+            uniform = (words >= bounds.long_segment) & (x["kinds"] < np.where(words >= 2 * bounds.long_segment, bounds.kinds, bounds.kinds - 1))
+            listed = (x["separators"] >= words * limit["separators"]) & (few | (lang == langs.index("other")))
+            repeated = ((words >= bounds.long_segment) | (x["copies"] > 1)) & (x["hot"] >= limit["hot"])
+            copied = (x["copies"] >= limit["copies"]) & ((x["function"] < words * limit["missing"] * 1.5) | wordless)
+            surely = linked | repeated | copied
+            junk = surely | listed | ((missing | uniform) & ~wordless)
+            # In a text too short for a page any repetition is one, but words aren't missing.
+            surely = surely | (listed & (words + x["links"] > 1)) | ((words >= bounds.copies) & (x["hot"] >= limit["hot"]))
+            total = lambda v: np.bincount(of, weights=v, minlength=batch.num_rows)  # noqa: B023, E731
+            size, count = total(x["size"]), total(words + 2 * x["links"])
+            part = np.where(count >= bounds.page_words, total(x["size"] * junk), total(x["size"] * surely))
+            share = np.divide(part, size, out=np.zeros(batch.num_rows), where=size > 0)
+            yield pa.record_batch([batch.column(0), pa.array(size.astype(np.int64)), pa.array(share), pa.array(count.astype(np.int64))], names=["doc_id", "size", "share", "words"])
+
+    return judge
