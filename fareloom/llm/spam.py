@@ -285,15 +285,17 @@ def _spoken_in(found: list[tuple]) -> str | None:
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     letters = {k: np.zeros(CODES, dtype=np.int64) for k in LATIN}
     for batch in batches:
-        offsets, each, codes = [0], [], []
+        offsets, each, codes, own = [0], [], [], {k: [] for k in LATIN}
         for text in batch.column(1).to_pylist():
             found, plain = _measured(text)
             each += found
             offsets.append(len(each))
             lang = _spoken_in(found)
             if lang:
-                letters[lang] += np.bincount(codes_of(plain), minlength=CODES)
+                own[lang].append(plain)
             codes.append(codes_of(plain).astype(np.int32) if lang == "" else None)
+        for lang, texts in own.items():
+            letters[lang] += np.bincount(codes_of("  ".join(texts)), minlength=CODES)
         columns = list(zip(*each, strict=True)) if each else [[]] * len(_TYPES)
         structs = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _TYPES, strict=True)], fields=[pa.field(*t) for t in _TYPES])
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
