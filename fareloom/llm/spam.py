@@ -295,7 +295,8 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own[lang].append(plain)
             codes.append(codes_of(plain).astype(np.int32) if lang == "" else None)
         for lang, texts in own.items():
-            letters[lang] += np.bincount(codes_of("  ".join(texts)), minlength=CODES)
+            # Two blanks around each text, so that the counts don't depend on which texts stand side by side.
+            letters[lang] += np.bincount(codes_of("  ".join(["", *texts, ""])), minlength=CODES)
         columns = list(zip(*each, strict=True)) if each else [[]] * len(_TYPES)
         structs = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _TYPES, strict=True)], fields=[pa.field(*t) for t in _TYPES])
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
@@ -382,7 +383,7 @@ def _judge(by_lang: dict[str, dict], models: list[tuple[np.ndarray, float]], bou
                 odd[i] = unlike(codes[int(i)].values.to_numpy())
             of = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
             wordless = odd[of] & (lang < len(LATIN))
-            words, few = x["words"], x["kinds"] < bounds.kinds
+            words, few = x["words"], (x["kinds"] < bounds.kinds) | wordless
             linked = x["linked"] >= x["size"] * limit["link"]
             missing = x["function"] < words * limit["missing"]
             uniform = (words >= bounds.long_segment) & (x["kinds"] < np.where(words >= 2 * bounds.long_segment, bounds.kinds, bounds.kinds - 1))
