@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareloom.functions.columns import cents, clean_id, finite, natural_key, seconds, stamp, unusable, within
-from fareloom.operators import aggregates, allocation, assignment, draws, events, joins, quality, series
+from fareloom.functions.columns import cents, clean_id, finite, natural_key, seconds, seed_of, stamp, unusable, within
+from fareloom.operators import aggregates, allocation, assignment, candidates, draws, events, joins, quality, series
 from fareloom.sources import readers
 from fareloom.sources.tables import USABLE_FROM, USABLE_TO, table
 from fareloom.sources.versions import expired_versions
@@ -499,25 +499,91 @@ def sweep_grain(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _candidates(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips of a day with the drivers of their bucket; drivers are dealt in turn to as many buckets as there are fours of them. A trip without drivers stays, with a null one."""
+def _usable_jobs(spark: SparkSession, folder: str) -> DataFrame:
     a = table(spark, folder, "attribution").where("pickup_datetime is not null and dropoff_datetime > pickup_datetime").distinct()
-    a = a.select("service_date", F.col("trip_key").alias("job"), seconds(F.col("pickup_datetime")).alias("start"), seconds(F.col("dropoff_datetime")).alias("end"), F.col("PULocationID").alias("origin"), F.col("DOLocationID").alias("target"))
-    d = _drivers(spark, folder).select(F.col("driver_id").alias("agent")).where("agent is not null").distinct()
-    pairs = joins.bucketed_pairs(a, d, "job", "agent", 4)
-    tie = F.sha2(F.concat_ws(":", "job", "agent"), 256)
-    return pairs.withColumns({"tie": tie, "score": F.conv(F.substring(tie, 1, 4), 16, 10).cast("int") % 100 / 100})
+    return a.select("service_date", F.col("trip_key").alias("job"), seconds(F.col("pickup_datetime")).alias("start"), seconds(F.col("dropoff_datetime")).alias("end"), F.col("PULocationID").alias("origin"), F.col("DOLocationID").alias("target"))
 
 
 def bucketed_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    """Candidate pairs per bucket and day."""
-    return _candidates(spark, folder).groupBy("bucket", F.date_format("service_date", "yyyy-MM-dd").alias("day")).agg(F.count("agent").alias("pairs"), F.count_distinct("job").alias("jobs"))
+    """Trips of a day with the drivers of their bucket: pairs per bucket and day. Drivers are dealt in turn to as many buckets as there are fours of them; a trip without drivers stays, with a null one."""
+    d = _drivers(spark, folder).select(F.col("driver_id").alias("agent")).where("agent is not null").distinct()
+    pairs = joins.bucketed_pairs(_usable_jobs(spark, folder), d, "job", "agent", 4)
+    return pairs.groupBy("bucket", F.date_format("service_date", "yyyy-MM-dd").alias("day")).agg(F.count("agent").alias("pairs"), F.count_distinct("job").alias("jobs"))
+
+
+#: What the score of a candidate is made of.
+WEIGHTS = {"hour": 0.35, "length": 0.3, "core": 0.15, "field": 0.2}
+
+
+def _agents(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per driver: contract, vehicle, minutes of work a day by experience, and preferences drawn from the id alone: weekdays, three-hour blocks with weights, length of trips, zones."""
+    d = _drivers(spark, folder).where("driver_id is not null").groupBy("driver_id").agg(
+        F.min("join_date").alias("since"), F.max("exit_date").alias("until"), F.min("taxi_id").alias("vehicle"), F.bool_or("comfort_eligible").alias("comfort"), F.max("experience_years").alias("years")
+    )
+    seed = seed_of(F.col("driver_id"))
+    free = F.expr("127 & ~(shiftleft(1, cast(seed % 7 as int)) | shiftleft(1, cast(seed div 7 % 7 as int)))")
+    return d.withColumn("seed", seed).select(
+        F.col("driver_id").alias("agent"), "since", "until", "vehicle", "comfort", free.alias("weekdays"), F.expr("cast(seed div 49 % 256 as int) | 60").alias("blocks"),
+        F.expr("transform(sequence(0, 7), b -> (shiftright(seed, b * 4) & 15) / 15D)").alias("hours"), F.expr("10 + seed % 31").alias("length"), F.expr("seed div 1000 % 101 / 100D").alias("core"), F.expr("seed div 100000 % 101 / 100D").alias("field"),
+        (240 + 60 * F.least(F.greatest(F.coalesce("years", F.lit(0)), F.lit(0)), F.lit(6))).cast("double").alias("work"),
+    )
+
+
+def _offers(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips with the drivers of their bucket that have a contract on the day, may take the trip and work at that time, best first."""
+    zones = table(spark, folder, "zone_lookup").select(F.col("LocationID").cast("int").alias("target"), (F.col("service_zone") == "Core").alias("to_core"), (F.col("service_zone") == "Airfield").alias("to_field"))
+    jobs = _usable_jobs(spark, folder).join(F.broadcast(zones), "target", "left")
+    at = F.timestamp_seconds("start")
+    jobs = jobs.withColumns({"weekday": F.pmod(F.dayofweek(at) + 5, F.lit(7)), "block": F.floor(F.hour(at) / 3).cast("int"), "minutes": (F.col("end") - F.col("start")) / 60})
+    bit = lambda mask, i: (F.try_divide(mask, F.pow(F.lit(2), i)).cast("int") % 2) == 1
+    rules = {
+        "roster": lambda a: joins.valid_at(F.col("service_date"), a["since"], a["until"]),
+        "grade": lambda a: a["comfort"] | ~F.coalesce("to_field", F.lit(False)),
+        "hours": lambda a: bit(a["weekdays"], F.col("weekday")) & bit(a["blocks"], F.col("block")),
+    }
+    liked = lambda yes, p: F.when(F.coalesce(yes, F.lit(False)), p).otherwise(1 - p)
+    score = lambda a: (
+        WEIGHTS["hour"] * F.element_at(a["hours"], F.col("block") + 1)
+        + WEIGHTS["length"] * F.greatest(F.lit(0.0), 1 - F.abs(F.col("minutes") - a["length"]) / a["length"])
+        + WEIGHTS["core"] * liked(F.col("to_core"), a["core"])
+        + WEIGHTS["field"] * liked(F.col("to_field"), a["field"])
+    )
+    return candidates.job_candidates(jobs, _agents(spark, folder), "job", "agent", 4, rules, lambda a: F.round(score(a), 9))
+
+
+def candidate_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Per day how many drivers were looked at, refused by each rule, and left."""
+    sums = {"looked_at": "offered", "roster": "roster", "grade": "grade", "hours": "hours"}
+    return _offers(spark, folder).groupBy(F.date_format("service_date", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("jobs"), *(F.sum(c).alias(n) for n, c in sums.items()), F.sum(F.size("candidates")).alias("candidates"))
+
+
+def candidate_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The best candidate of each trip with its score."""
+    best = F.get("candidates", F.lit(0))
+    return _offers(spark, folder).where(F.size("candidates") > 0).select("job", "bucket", best["agent"].alias("agent"), best["score"].alias("score"))
+
+
+def _assigned(spark: SparkSession, folder: str) -> DataFrame:
+    travel = zone_minutes(spark, folder).select(F.col("PULocationID").alias("origin"), F.col("DOLocationID").alias("target"), "minutes")
+    return assignment.greedy_assignment(_offers(spark, folder), travel, ["bucket", "service_date"])
 
 
 def greedy_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips given to drivers one after the other, with the reason where none could take one."""
+    """Trips given to drivers one after the other."""
+    return _assigned(spark, folder).select("job", "agent", "sequence", F.round("way_minutes", 4).alias("way_minutes"), "offers")
+
+
+def greedy_refusals(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: trips, those given away, offers, and refusals by reason."""
+    return _assigned(spark, folder).agg(F.count("*").alias("jobs"), F.count("agent").alias("given"), F.sum("offers").alias("offers"), *(F.sum(r).alias(r) for r in assignment.REASONS))
+
+
+def assignment_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """What is wrong with the trips and ways given to the assignment, by condition."""
     travel = zone_minutes(spark, folder).select(F.col("PULocationID").alias("origin"), F.col("DOLocationID").alias("target"), "minutes")
-    return assignment.greedy_assignment(_candidates(spark, folder), travel, ["bucket", "service_date"])
+    a = table(spark, folder, "attribution")
+    jobs = a.select("service_date", F.col("trip_key").alias("job"), seconds(F.col("pickup_datetime")).alias("start"), seconds(F.col("dropoff_datetime")).alias("end"), F.col("PULocationID").alias("origin"), F.col("DOLocationID").alias("target"), F.array(F.struct(clean_id(F.col("driver_id")).alias("agent"))).alias("candidates"))
+    return assignment.assignment_contract(jobs, travel, ["service_date"])
 
 
 def attribution_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -604,7 +670,7 @@ QUERIES = {
         model_profiles, unknown_taxis, zone_pairs, attributed_trips, vehicle_matches, asof_snapshot, versions_without_load, busy_zones, model_variants, cheaper_models, profit_thresholds,
         driver_month_totals, tier_rates, totals_kept, trip_key_counts, repeated_trips, zone_minutes, fleet_by_model, maker_ranges, first_taxi, snapshot_kpis, top_zones, top_makers, profit_histogram,
         working_capacity, shared_units, numbered_units, snapshot_grain, best_attributions, occurrences, dear_trips, newest_version, expired, best_hours, all_versions, month_calendar,
-        daily_from_weekly, monthly_fees, daily_completeness, stale_taxis, decayed_activity, folded_users, rebuilt_states, accepted_requests, single_pass_requests, savings_sweep, sweep_grain, bucketed_candidates, greedy_trips,
+        daily_from_weekly, monthly_fees, daily_completeness, stale_taxis, decayed_activity, folded_users, rebuilt_states, accepted_requests, single_pass_requests, savings_sweep, sweep_grain, bucketed_candidates, candidate_rules, candidate_scores, greedy_trips, greedy_refusals, assignment_contract,
         attribution_quality, required_values, snapshot_balance, trip_keys, day_loads, overbooked_models, filled_fees, driver_traits, favourite_zones, driver_experience, model_flags,
     )
 }

@@ -62,6 +62,56 @@ _WEEKS = """w AS (SELECT greatest(date_trunc('week', day), DATE '2025-02-01') AS
 p AS (SELECT (date_diff('day', DATE '2025-01-01', CAST(a AS DATE)) + date_diff('day', DATE '2025-01-01', CAST(b AS DATE))) // 2 AS x, count(*) / (date_diff('day', CAST(a AS DATE), CAST(b AS DATE)) + 1) AS y FROM w GROUP BY a, b)"""
 
 
+_BUCKETS = f"""{_DRIVERS},
+k AS (SELECT greatest(1, count(DISTINCT driver_id) // 4) AS k FROM drivers),
+seeded AS (
+  SELECT driver_id AS agent, min(join_date) AS since, max(exit_date) AS until, min(taxi_id) AS vehicle, bool_or(comfort_eligible) AS comfort, max(experience_years) AS years,
+    CAST('0x' || substr(sha256('0:' || driver_id), 1, 15) AS BIGINT) AS seed FROM drivers WHERE driver_id IS NOT NULL GROUP BY driver_id),
+ag AS (
+  SELECT *, (row_number() OVER (ORDER BY agent) - 1) % k AS bucket, 127 & ~((1 << CAST(seed % 7 AS INTEGER)) | (1 << CAST(seed // 7 % 7 AS INTEGER))) AS weekdays,
+    CAST(seed // 49 % 256 AS INTEGER) | 60 AS blocks, 10 + seed % 31 AS long, (seed // 1000 % 101) / 100 AS core, (seed // 100000 % 101) / 100 AS field,
+    CAST(240 + 60 * least(greatest(coalesce(years, 0), 0), 6) AS DOUBLE) AS work FROM seeded, k),
+jb AS (
+  SELECT service_date AS day, trip_key AS job, CAST(epoch(date_trunc('second', pickup_datetime)) AS BIGINT) AS s, CAST(epoch(date_trunc('second', dropoff_datetime)) AS BIGINT) AS e, PULocationID AS o, DOLocationID AS t,
+    isodow(pickup_datetime) - 1 AS weekday, hour(pickup_datetime) // 3 AS block, CAST('0x' || substr(sha256('0:' || trip_key), 1, 8) AS BIGINT) % k AS bucket,
+    coalesce(service_zone = 'Core', false) AS to_core, coalesce(service_zone = 'Airfield', false) AS to_field
+  FROM (SELECT DISTINCT * FROM attribution WHERE pickup_datetime IS NOT NULL AND dropoff_datetime > pickup_datetime) LEFT JOIN zone_lookup ON CAST(LocationID AS INTEGER) = DOLocationID, k),
+pr AS (
+  SELECT jb.*, ag.agent, vehicle, work,
+    CASE WHEN NOT coalesce(since <= day AND (until IS NULL OR day < until), false) THEN 'roster' WHEN NOT coalesce(comfort OR NOT to_field, false) THEN 'grade'
+      WHEN NOT ((weekdays >> CAST(weekday AS INTEGER)) & 1 = 1 AND (blocks >> CAST(block AS INTEGER)) & 1 = 1) THEN 'hours' END AS why,
+    round(0.35 * (((seed >> CAST(block * 4 AS INTEGER)) & 15) / 15) + 0.3 * greatest(0, 1 - abs((e - s) / 60 - long) / long) + 0.15 * CASE WHEN to_core THEN core ELSE 1 - core END + 0.2 * CASE WHEN to_field THEN field ELSE 1 - field END, 9) AS score,
+    CAST('0x' || substr(sha256('0:' || job || ':' || ag.agent), 1, 15) AS BIGINT) AS tie
+  FROM jb JOIN ag USING (bucket))"""
+_WALK = f"""
+WITH RECURSIVE {_BUCKETS},
+tm AS (
+  SELECT PULocationID AS a, DOLocationID AS b, round(median((epoch(dropoff_datetime) - epoch(pickup_datetime)) / 60), 4) AS m
+  FROM (SELECT DISTINCT * FROM attribution WHERE dropoff_datetime > pickup_datetime) GROUP BY ALL HAVING count(*) >= 5),
+nj AS (SELECT *, row_number() OVER (PARTITION BY bucket, day ORDER BY s, job) AS i FROM jb),
+st AS (
+  SELECT 0 AS i, g.bucket, g.day, ag.agent, ag.vehicle, ag.work, CAST(NULL AS BIGINT) AS first, CAST(NULL AS BIGINT) AS last, CAST(NULL AS INTEGER) AS place, CAST(0 AS DOUBLE) AS used, 0 AS jobs,
+    CAST(NULL AS VARCHAR) AS job, CAST(NULL AS DOUBLE) AS way, CAST(NULL AS VARCHAR) AS refused, false AS offered
+  FROM (SELECT DISTINCT bucket, day FROM jb) g JOIN ag USING (bucket)
+  UNION ALL
+  SELECT i, bucket, day, agent, vehicle, work, CASE WHEN won THEN coalesce(first, s) ELSE first END, CASE WHEN won THEN e ELSE last END, CASE WHEN won THEN t ELSE place END,
+    CASE WHEN won THEN used + (e - s) / 60 + ride ELSE used END, CASE WHEN won THEN jobs + 1 ELSE jobs END, CASE WHEN won THEN job END, CASE WHEN won THEN ride END,
+    CASE WHEN candidate AND (best IS NULL OR nth < best) THEN no END, candidate AND (best IS NULL OR nth <= best)
+  FROM (
+    SELECT *, min(nth) FILTER (candidate AND no IS NULL) OVER (PARTITION BY bucket, day) AS best, coalesce(nth = best, false) AS won
+    FROM (
+      SELECT nj.i, st.bucket, st.day, st.agent, st.vehicle, st.work, st.first, st.last, st.place, st.used, st.jobs, nj.job, nj.s, nj.e, nj.t, pr.job IS NOT NULL AS candidate,
+        CASE WHEN st.jobs = 0 OR st.place = nj.o THEN 0 ELSE tm.m END AS ride,
+        row_number() OVER (PARTITION BY st.bucket, st.day ORDER BY pr.job IS NULL, pr.score DESC, pr.tie, st.agent) AS nth,
+        CASE WHEN st.jobs > 0 AND ride IS NULL THEN 'unknown_way' WHEN st.jobs > 0 AND ride > 30 THEN 'far' WHEN st.jobs > 0 AND st.last + ride * 60 > nj.s THEN 'late'
+          WHEN st.jobs > 0 AND (nj.e - st.first) / 60 > 720 THEN 'span' WHEN st.used + (nj.e - nj.s) / 60 + ride > st.work THEN 'work'
+          WHEN st.vehicle IS NOT NULL AND max(st.last) OVER (PARTITION BY st.bucket, st.day, st.vehicle) > nj.s THEN 'vehicle' END AS no
+      FROM st JOIN nj ON nj.bucket = st.bucket AND nj.day = st.day AND nj.i = st.i + 1
+      LEFT JOIN pr ON pr.job = nj.job AND pr.agent = st.agent AND pr.why IS NULL
+      LEFT JOIN tm ON tm.a = st.place AND tm.b = nj.o))),
+done AS (SELECT i, bucket, day, max(job) AS job, max(agent) FILTER (job IS NOT NULL) AS agent, max(jobs) FILTER (job IS NOT NULL) AS sequence, max(way) AS way, count(*) FILTER (offered) AS offers FROM st WHERE i > 0 GROUP BY ALL)"""
+
+
 def _unmatched(top: str, left: str, right: str, key: str) -> str:
     return f"{top}SELECT DISTINCT {key} FROM {left} ANTI JOIN {right} USING ({key})"
 
@@ -222,6 +272,26 @@ d AS (SELECT driver_id AS agent, (row_number() OVER (ORDER BY driver_id) - 1) %
 a AS (SELECT DISTINCT * FROM attribution WHERE pickup_datetime IS NOT NULL AND dropoff_datetime > pickup_datetime),
 x AS (SELECT service_date, trip_key AS job, CAST('0x' || substr(sha256('0:' || trip_key), 1, 8) AS BIGINT) % k AS bucket FROM a, k)
 SELECT bucket, strftime(service_date, '%Y-%m-%d') AS day, count(agent) AS pairs, count(DISTINCT job) AS jobs FROM x LEFT JOIN d USING (bucket) GROUP BY ALL""",
+    "candidate_rules": f"""WITH {_BUCKETS},
+n AS (SELECT day, count(*) AS looked_at, {', '.join(f"count(*) FILTER (why = '{r}') AS {r}" for r in ('roster', 'grade', 'hours'))}, count(*) FILTER (why IS NULL) AS candidates FROM pr GROUP BY day)
+SELECT strftime(day, '%Y-%m-%d') AS day, jobs, looked_at, roster, grade, hours, candidates FROM n JOIN (SELECT day, count(*) AS jobs FROM jb GROUP BY day) USING (day)""",
+    "candidate_scores": f"WITH {_BUCKETS} SELECT job, bucket, agent, score FROM pr WHERE why IS NULL QUALIFY row_number() OVER (PARTITION BY job ORDER BY score DESC, tie, agent) = 1",
+    "greedy_trips": _WALK
+    + """
+SELECT nj.job, agent, CAST(sequence AS INTEGER) AS sequence, round(way, 4) AS way_minutes, CAST(offers AS INTEGER) AS offers FROM nj JOIN done USING (bucket, day, i)""",
+    "greedy_refusals": _WALK
+    + """
+SELECT (SELECT count(*) FROM nj) AS jobs, count(job) AS given, count(*) FILTER (offered) AS offers, """
+    + ", ".join(f"count(*) FILTER (refused = '{r}') AS {r}" for r in ("unknown_way", "far", "late", "span", "work", "vehicle"))
+    + " FROM st WHERE i > 0",
+    "assignment_contract": f"""WITH a AS (SELECT *, {_ID.format('driver_id')} AS agent FROM attribution),
+r AS (SELECT count(*) AS n FROM attribution GROUP BY trip_key)
+SELECT 'missing' AS "check", count(*) FILTER (service_date IS NULL OR trip_key IS NULL OR pickup_datetime IS NULL OR dropoff_datetime IS NULL OR PULocationID IS NULL OR DOLocationID IS NULL) AS broken FROM a
+UNION ALL SELECT 'not_after_start', count(*) FILTER (date_trunc('second', dropoff_datetime) <= date_trunc('second', pickup_datetime)) FROM a
+UNION ALL SELECT 'repeated_candidate', 0
+UNION ALL SELECT 'nameless_candidate', count(*) FILTER (agent IS NULL) FROM a
+UNION ALL SELECT 'repeated_job', count(*) FILTER (n > 1) FROM r
+UNION ALL SELECT 'repeated_way', 0 UNION ALL SELECT 'negative_way', 0""",
     "attribution_quality": f"""WITH a AS (SELECT DISTINCT * FROM attribution)
 SELECT strftime(service_date, '%Y-%m-%d') AS day, count(*) AS trips, count({_ID.format('driver_id')}) AS assigned, count(DISTINCT {_ID.format('driver_id')}) AS drivers,
   CAST(sum(epoch(dropoff_datetime) - epoch(pickup_datetime)) FILTER (WHERE dropoff_datetime > pickup_datetime) AS BIGINT) AS drive_s,

@@ -4,7 +4,7 @@ import datetime as dt
 
 from fareloom.plans import catalog
 
-DRIVER = "snapshot_month string, driver_id string, taxi_id string, vehicle_model_id string, manufacturer string, model_name string, weekly_lease_fee double, experience_years int"
+DRIVER = "snapshot_month string, driver_id string, taxi_id string, vehicle_model_id string, manufacturer string, model_name string, weekly_lease_fee double, experience_years int, join_date date, exit_date date, comfort_eligible boolean"
 ATTRIBUTION = "trip_key string, service_date date, pickup_datetime timestamp, dropoff_datetime timestamp, PULocationID int, DOLocationID int"
 
 
@@ -13,7 +13,7 @@ def put(spark, folder, name, rows, schema):
 
 
 def driver(i, month="2025-05", model="M1", fee=300.0, years=1, maker="X"):
-    return (month, f"D{i:03}", f"T{i:03}", model, maker, "N", fee, years)
+    return (month, f"D{i:03}", f"T{i:03}", model, maker, "N", fee, years, dt.date(2020, 1, 1), None, True)
 
 
 def test_every_trip_has_candidates_or_a_reason(spark, tmp_path):
@@ -21,12 +21,13 @@ def test_every_trip_has_candidates_or_a_reason(spark, tmp_path):
     trips = [(f"k{i}", at.date(), at + dt.timedelta(minutes=i), at + dt.timedelta(minutes=i + 5), 1, 2) for i in range(200)]
     put(spark, tmp_path, "attribution", trips, ATTRIBUTION)
     put(spark, tmp_path, "driver_snapshot", [driver(i) for i in range(43)], DRIVER)
+    put(spark, tmp_path, "zone_lookup", [("1", "X", "Core"), ("2", "Y", None)], "LocationID string, Borough string, service_zone string")
     assert {r.job for r in catalog.greedy_trips(spark, str(tmp_path)).collect()} == {t[0] for t in trips}
     per = catalog.bucketed_candidates(spark, str(tmp_path)).collect()
     assert sum(r.jobs for r in per) == 200
     assert {r.pairs / r.jobs for r in per} == {4.0, 5.0}  # 43 drivers in ten buckets
     put(spark, tmp_path, "driver_snapshot", [], DRIVER)
-    assert {(r.agent, r.reason) for r in catalog.greedy_trips(spark, str(tmp_path)).collect()} == {(None, "no candidate")}
+    assert {(r.agent, r.offers) for r in catalog.greedy_trips(spark, str(tmp_path)).collect()} == {(None, 0)}
     assert [(r.pairs, r.jobs) for r in catalog.bucketed_candidates(spark, str(tmp_path)).collect()] == [(0, 200)]
 
 
