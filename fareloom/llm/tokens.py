@@ -73,6 +73,8 @@ class Vocabulary:
         """Whether BPE leaves these two tokens side by side."""
         known = self._beside.get((left, right))
         if known is None:
+            if len(self._beside) > REMEMBERED:
+                self._beside.clear()
             known = self._beside[left, right] = self._compatible(left, right)
         return known
 
