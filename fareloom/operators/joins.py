@@ -23,10 +23,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, key: list[str], null_safe:
 
 
 def dimension_roles(fact: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str], columns: list[str]) -> DataFrame:
-    """Left-joins one fixed dimension once per role: ``roles`` maps a fact column to a prefix for the dimension's columns."""
+    """Left-joins one dimension once per role: ``roles`` maps a fact column to a prefix for the dimension's columns.
+
+    Whether the dimension is broadcast is left to Spark's measured sizes: a small one is, a large one isn't.
+    """
     for column, prefix in roles.items():
         part = dimension.select(F.col(key).alias(f"_{prefix}"), *(F.col(c).alias(f"{prefix}_{c}") for c in columns))
-        fact = fact.join(F.broadcast(part), F.col(column) == F.col(f"_{prefix}"), "left").drop(f"_{prefix}")
+        fact = fact.join(part, F.col(column) == F.col(f"_{prefix}"), "left").drop(f"_{prefix}")
     return fact
 
 
@@ -47,21 +50,31 @@ def match_counts(facts: DataFrame, states: DataFrame, fact_id: list[str], on: st
     return joined.groupBy(*fact_id).agg(F.count("_hit").alias("matches"))
 
 
-def asof_join(facts: DataFrame, states: DataFrame, key: list[str], fact_time: str, state_time: str, values: list[str]) -> DataFrame:
+def asof_join(facts: DataFrame, states: DataFrame, key: list[str], fact_time: str, state_time: str, values: list[str], stretch_seconds: int = 86_400) -> DataFrame:
     """Each fact with ``values`` of the latest state of its key not after its time; nulls where there is none.
 
-    Facts and states are put into one ordered stream per key, and the last state is carried forward: one shuffle and one sort,
-    no range join. Of states at one time the greatest values count. Rows with a null key keep nulls.
+    Time is cut into stretches, so that a key with a third of all rows is many. Within a stretch facts and states are put into one ordered stream and the last state is carried
+    forward; what a stretch begins with comes from the last states of those before it, one row a stretch. No range join.
+    Of states at one time the greatest values count. Rows with a null key or time keep nulls and are neither shuffled nor sorted.
     """
     kinds = {f.name: f.dataType for f in facts.schema}
+    known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in [*key, fact_time]))
+    stretch = lambda t: F.floor(F.unix_seconds(F.col(t).cast("timestamp")) / stretch_seconds).cast("bigint")
     state = F.struct(*(F.col(v).alias(v) for v in values))
-    left = facts.select(*key, F.col(fact_time).alias("_t"), F.lit(1).alias("_fact"), F.struct(*(F.col(c) for c in facts.columns)).alias("_row"), F.lit(None).cast(states.select(state.alias("s")).schema["s"].dataType).alias("_state"))
-    right = states.where(F.col(state_time).isNotNull()).groupBy(*key, F.col(state_time).cast(kinds[fact_time]).alias("_t")).agg(F.max(state).alias("_state"))
-    right = right.select(*key, "_t", F.lit(0).alias("_fact"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), "_state")
-    order = Window.partitionBy(*key).orderBy("_t", "_fact").rowsBetween(Window.unboundedPreceding, 0)
-    carried = left.unionByName(right).withColumn("_last", F.last("_state", ignorenulls=True).over(order)).where("_fact = 1")
-    known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in key))
-    return carried.select("_row.*", *(F.when(known, F.col(f"_last.{v}")).alias(v) for v in values))
+    right = states.where(F.col(state_time).isNotNull()).groupBy(*key, F.col(state_time).cast(kinds[fact_time]).alias("_t")).agg(F.max(state).alias("_state")).withColumn("_s", stretch("_t"))
+    kind = right.schema["_state"].dataType
+    left = facts.where(known).select(*key, F.col(fact_time).alias("_t"), stretch(fact_time).alias("_s"), F.struct(*(F.col(c) for c in facts.columns)).alias("_row"))
+    # One row per key and stretch that has facts or states: the last state in it, and so the last one before it.
+    per = left.select(*key, "_s").distinct().withColumns({"_t": F.lit(None).cast(kinds[fact_time]), "_state": F.lit(None).cast(kind)}).unionByName(right.select(*key, "_s", "_t", "_state"))
+    per = per.groupBy(*key, "_s").agg(F.max_by("_state", "_t").alias("_own"))
+    earlier = Window.partitionBy(*key).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per.withColumn("_carried", F.last("_own", ignorenulls=True).over(earlier)).drop("_own")
+    both = left.select(*key, "_s", "_t", F.lit(1).alias("_fact"), "_row", F.lit(None).cast(kind).alias("_state")).unionByName(right.select(*key, "_s", "_t", F.lit(0).alias("_fact"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"), "_state"))
+    order = Window.partitionBy(*key, "_s").orderBy("_t", "_fact").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_last", F.last("_state", ignorenulls=True).over(order)).where("_fact = 1").join(carried, [*key, "_s"], "left")
+    held = F.coalesce("_last", "_carried")
+    rest = facts.where(~known).select("*", *(F.lit(None).cast(kind[v].dataType).alias(v) for v in values))
+    return found.select("_row.*", *(held[v].alias(v) for v in values)).unionByName(rest)
 
 
 def prefix_variants(names: DataFrame, group: str, name: str, ignorable: list[str]) -> DataFrame:

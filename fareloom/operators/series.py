@@ -41,15 +41,17 @@ def interpolate(points: DataFrame, grid: DataFrame, at: str, value: str, key: li
 def decayed(values: DataFrame, key: list[str], at: str, value: str, factor: float) -> DataFrame:
     """``*key, at, state`` of the recursion state = factor * previous + value along ``at``; null values count as 0.
 
-    A key's series is folded inside one row, so it should be as long as a calendar, not as a table.
+    By doubling: the state over the last 2 n values is that over the last n, plus factor^n times the state n values ago. A series of n values takes log2(n) steps, all over
+    one partitioning and order, and no row holds a series.
     """
-    series = values.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(F.col(at).alias("at"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("v")))).alias("s"))
-    start = F.array().cast("array<struct<at:int,state:double>>")
-    fold = F.aggregate(
-        "s", start,
-        lambda acc, x: F.concat(acc, F.array(F.struct(x["at"].cast("int").alias("at"), (F.coalesce(F.try_element_at(acc, F.lit(-1))["state"], F.lit(0.0)) * factor + x["v"]).alias("state")))),
-    )
-    return series.select(*key, F.inline(fold)).withColumnRenamed("at", at)
+    base = values.select(*key, F.col(at).cast("int").alias(at), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("state"))
+    longest = base.groupBy(*key).count().agg(F.max("count")).first()[0] or 1
+    order = Window.partitionBy(*key).orderBy(at)
+    n = 1
+    while n < longest:
+        base = base.withColumn("state", F.col("state") + F.lit(factor**n) * F.coalesce(F.lag("state", n).over(order), F.lit(0.0)))
+        n *= 2
+    return base
 
 
 def clipped(c: Column, low: Column | float, high: Column | float) -> Column:

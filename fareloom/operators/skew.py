@@ -5,7 +5,8 @@ is spread over the shuffle by its values and arrives as (value, count) pairs,
 as many as it has different values, not as many as it has rows. Distinct
 counts, modes, totals and percentiles are exact and come from these weighted values.
 Percentiles don't sort a key in one task: its values fall into bins that are in
-the order of the values; the bins' counts locate the bin of each rank, and only that bin is ordered.
+the order of the values; the bins' counts locate the bin of each rank, which is cut into finer bins between its own least and
+greatest value, and only the finer bin that holds the rank is ordered.
 """
 
 from __future__ import annotations
@@ -43,15 +44,9 @@ def key_totals(freq: DataFrame) -> DataFrame:
 
 
 def key_modes(freq: DataFrame) -> DataFrame:
-    """``mode, mode_rows`` per key; of values equally frequent the smallest. A key whose values are all null has none."""
-    top = freq.where("value is not null").groupBy("key_column", "key_value").agg(F.max("n").alias("mode_rows"))
-    return (
-        freq.where("value is not null")
-        .join(top.withColumnRenamed("mode_rows", "_most"), ["key_column", "key_value"])
-        .where(F.col("n") == F.col("_most"))
-        .groupBy("key_column", "key_value")
-        .agg(F.min("value").alias("mode"), F.max("n").alias("mode_rows"))
-    )
+    """``mode, mode_rows`` per key; of values equally frequent the smallest. A key whose values are all null has none. It combines before the shuffle: no task sees all values of a key."""
+    known = freq.where("value is not null").groupBy("key_column", "key_value")
+    return known.agg(F.min_by("value", F.struct((-F.col("n")).alias("n"), F.col("value").alias("v"))).alias("mode"), F.max("n").alias("mode_rows"))
 
 
 def heavy_keys(freq: DataFrame, all_rows: DataFrame, share: float) -> DataFrame:
@@ -69,21 +64,37 @@ def _bin(v: Column) -> Column:
     return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 32)).cast("bigint")
 
 
+def _located(usable: DataFrame, at: list[str], bin_: str, targets: DataFrame | None, wanted: Column | None) -> DataFrame:
+    """``*at, bin_, before, t, low, high``: the bins that hold a wanted rank, the count before each, the ranks, and the ends of the bin."""
+    bins = usable.groupBy(*at, bin_).agg(F.sum("n").alias("_in"), F.min("v").alias("low"), F.max("v").alias("high"))
+    ahead = Window.partitionBy(*at).orderBy(bin_).rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("_ahead", F.coalesce(F.sum("_in").over(ahead), F.lit(0)))
+    if targets is None:
+        bins = bins.withColumns({"before": F.col("_ahead"), "all": F.sum("_in").over(Window.partitionBy(*at))}).withColumn("t", wanted)
+    else:
+        bins = bins.join(targets.select(*at, F.col("before").alias("_start"), "t"), at).withColumn("before", F.col("_start") + F.col("_ahead"))
+    held = F.filter("t", lambda t: (t["rank"] > F.col("before")) & (t["rank"] <= F.col("before") + F.col("_in")))
+    return bins.withColumn("t", held).where(F.size("t") > 0).select(*at, bin_, "before", "t", "low", "high")
+
+
+#: Finer bins of the bin that holds a rank.
+FINER = 4096
+
+
 def key_percentiles(freq: DataFrame, percents: list[int]) -> DataFrame:
     """``key_column, key_value, percent, value``: exact percentiles per key (the smallest value whose rank reaches percent of the count).
 
     Only finite values count; a key without any has no rows here. ``value`` must be a number.
     """
     v = F.col("value").cast("double")
-    usable = freq.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))).withColumn("bin", _bin(v))
+    usable = freq.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))).withColumns({"v": v, "bin": _bin(v)})
     key = ["key_column", "key_value"]
-    before = Window.partitionBy(*key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*key)
-    bins = usable.groupBy(*key, "bin").agg(F.sum("n").alias("in_bin"))
-    bins = bins.withColumns({"before": F.coalesce(F.sum("in_bin").over(before), F.lit(0)), "all": F.sum("in_bin").over(whole)})
     wanted = F.array(*(F.struct(F.lit(p).alias("percent"), F.greatest(F.lit(1), F.ceil(F.col("all") * F.lit(p) / 100)).cast("bigint").alias("rank")) for p in percents))
-    targets = bins.withColumn("t", F.filter(wanted, lambda t: (t["rank"] > F.col("before")) & (t["rank"] <= F.col("before") + F.col("in_bin")))).where(F.size("t") > 0).select(*key, "bin", "before", "t")
-    order = Window.partitionBy(*key, "bin").orderBy("value")
-    near = usable.join(targets, [*key, "bin"]).withColumn("upto", F.col("before") + F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    coarse = _located(usable, key, "bin", None, wanted)
+    part = F.when(F.col("high") > F.col("low"), F.floor((F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * FINER)).otherwise(0).cast("int")
+    near = usable.join(coarse.select(*key, "bin", "low", "high"), [*key, "bin"]).withColumn("finer", part).drop("low", "high")
+    fine = _located(near, [*key, "bin"], "finer", coarse, None)
+    order = Window.partitionBy(*key, "bin", "finer").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    last = near.join(fine.select(*key, "bin", "finer", "before", "t"), [*key, "bin", "finer"]).withColumn("upto", F.col("before") + F.sum("n").over(order))
     hit = F.filter("t", lambda t: (t["rank"] <= F.col("upto")) & (t["rank"] > F.col("upto") - F.col("n")))
-    return near.select(*key, F.col("value"), F.explode(hit).alias("h")).select(*key, F.col("h.percent").alias("percent"), "value")
+    return last.select(*key, F.col("value"), F.explode(hit).alias("h")).select(*key, F.col("h.percent").alias("percent"), "value")

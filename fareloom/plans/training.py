@@ -54,16 +54,18 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distinct_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Usable trips, one delivered twice counted once: the same taxi, times, places, distance, duration, pay and tips."""
+    """``taxi_id, day, cents`` of usable trips, one delivered twice counted once: the same taxi, times, places, distance, duration, pay and tips.
+
+    A trip is told by 128 bits over these columns, so that counting it once combines before the shuffle and ships its pay alone; a busy taxi is spread over its trips.
+    """
     same = ["taxi_id", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "trip_miles", "trip_time", "driver_pay", "tips"]
-    rows = _usable(spark, folder).select(*same).withColumn("day", F.to_date("pickup_datetime"))
-    # By taxi and day at once: removing repeats and the day's totals then need no further shuffle, and a busy taxi is split by day.
-    return rows.repartition("taxi_id", "day").dropDuplicates(["day", *same])
+    mark = [F.xxhash64(F.lit(seed), *(F.col(c) for c in same)).alias(f"h{seed}") for seed in (1, 2)]
+    return _usable(spark, folder).groupBy("taxi_id", F.to_date("pickup_datetime").alias("day"), *mark).agg(F.any_value(cents(F.col("driver_pay"))).alias("cents")).drop("h1", "h2")
 
 
 def p3_taxi_days(spark: SparkSession, folder: str) -> DataFrame:
     """Totals and averages of pay over the last 7 and 30 days. Pay that is not finite counts as a trip without pay."""
-    daily = distinct_trips(spark, folder).groupBy("taxi_id", "day").agg(F.count("*").alias("trips"), F.count(cents(F.col("driver_pay"))).alias("paid"), F.coalesce(F.sum(cents(F.col("driver_pay"))), F.lit(0)).alias("cents"))
+    daily = distinct_trips(spark, folder).groupBy("taxi_id", "day").agg(F.count("*").alias("trips"), F.count("cents").alias("paid"), F.coalesce(F.sum("cents"), F.lit(0)).alias("cents"))
     rolled = rolling_totals(daily, "taxi_id", "day", ["trips", "paid", "cents"])
     out = [F.col("taxi_id"), F.date_format("day", "yyyy-MM-dd").alias("day")]
     for w in (7, 30):
