@@ -70,3 +70,40 @@ def seed_of(*parts: Column, base: int = 0) -> Column:
 def bucket_of(c: Column, buckets: int, seed: int = 0) -> Column:
     """A bucket from 0 that any engine with SHA-256 computes alike."""
     return F.pmod(F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(seed), c), 256), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
+
+
+def json_key(columns: list[str]) -> Column:
+    """SHA-256 of the columns as one JSON object, nulls included: unlike joined text it can't run two values together."""
+    return F.sha2(F.to_json(F.struct(*(F.col(c) for c in columns)), {"ignoreNullFields": "false"}), 256)
+
+
+def hash_bucket(c: Column, buckets: int, seed: int = 0) -> Column:
+    """A bucket from 0 by the engine's own 64-bit hash: quicker than :func:`bucket_of`, for where no other engine need agree."""
+    return F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(buckets))
+
+
+def hashed_years(c: Column, seed: int = 0, span: int = 11) -> Column:
+    """A whole number from 0 up to ``span`` that depends on an id alone, by the engine's 32-bit hash (widened first, so that adding the seed can't overflow)."""
+    return F.pmod(F.hash(c).cast("bigint") + seed, F.lit(span))
+
+
+def uuid5(namespace: str, name: Column) -> Column:
+    """The name-based (SHA-1) UUID of a text in a namespace, which is a UUID itself."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), name.cast("binary")))
+    variant = F.lower(F.hex(F.conv(F.substring(digest, 17, 2), 16, 10).cast("int").bitwiseAND(63).bitwiseOR(128)))
+    return F.concat_ws("-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.concat(F.lit("5"), F.substring(digest, 14, 3)), F.concat(variant, F.substring(digest, 19, 2)), F.substring(digest, 21, 12))
+
+
+def before_last(c: Column, mark: str) -> Column:
+    """The text before the last ``mark``; all of it where there is none."""
+    return F.regexp_replace(c, f"{mark}[^{mark}]*$", "")
+
+
+def money(c: Column) -> Column:
+    """``$1,234.50``, a minus before the sign."""
+    return F.concat(F.when(c < 0, "-$").otherwise("$"), F.format_number(F.abs(c), 2))
+
+
+def percent(c: Column) -> Column:
+    """A share as ``12.3%``."""
+    return F.concat(F.format_number(c * 100, 1), F.lit("%"))

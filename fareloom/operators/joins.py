@@ -89,19 +89,42 @@ def prefix_variants(names: DataFrame, group: str, name: str, ignorable: list[str
     return base.join(other, [group, "first"]).where(longer & (F.size(F.array_except(rest, F.array(*map(F.lit, ignorable)))) == 0)).select(group, "base", "variant")
 
 
+def two_tier_match(names: DataFrame, specs: DataFrame, group: str, name: str, ignorable: list[str]) -> DataFrame:
+    """Every row of ``names`` with the rows of ``specs`` (columns prefixed ``spec_``) of the same group and exactly that name, or, only where there is none, of
+    names that are it plus ``ignorable`` words. ``tier`` is ``exact``, ``variant`` or null; a name without either stays, with nulls.
+    """
+    wanted = names.select(group, name).distinct()
+    have = specs.select(group, name).distinct()
+    exact = wanted.join(have, [group, name], "left_semi").select(group, name, F.col(name).alias("_spec"), F.lit("exact").alias("tier"))
+    left = wanted.join(have, [group, name], "left_anti")
+    both = left.withColumn("_base", F.lit(True)).unionByName(have.withColumn("_base", F.lit(False)))
+    pairs = prefix_variants(both.select(group, name), group, name, ignorable)
+    variant = left.join(pairs.select(group, F.col("base").alias(name), F.col("variant").alias("_spec")), [group, name]).join(have.select(group, F.col(name).alias("_spec")), [group, "_spec"], "left_semi")
+    found = exact.unionByName(variant.select(group, name, "_spec", F.lit("variant").alias("tier")))
+    renamed = specs.select(F.col(group).alias("_g"), F.col(name).alias("_spec"), *(F.col(c).alias(f"spec_{c}") for c in specs.columns if c != group))
+    return names.join(found, [group, name], "left").join(renamed.withColumnRenamed("_g", group), [group, "_spec"], "left").drop("_spec")
+
+
+def numbered(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with ``number``, 0, 1, ... in the order of the unique ``key``, over all rows.
+
+    No task orders all of them: ranges are ordered for themselves, and each begins where the ranges before it end. The ranges are written first, as they could differ when computed again.
+    """
+    rows = written(df.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "numbered")
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = rows.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_before", before).drop("_n")  # one row a range
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    return rows.withColumn("_place", place).join(F.broadcast(parts), "_part").withColumn("number", F.col("_before") + F.col("_place")).drop("_part", "_place", "_before")
+
+
 def dealt(df: DataFrame, key: str, size: int) -> tuple[DataFrame, int]:
     """``df`` with a ``bucket``, and the number of buckets: rows are dealt in turn, in the order of the unique ``key``, to as many buckets as there are ``size`` rows.
 
-    So each bucket has at least ``size`` rows (all rows, where there are fewer) and fewer than twice as many. The running number is put together from places within
-    ranges and the rows of the ranges before; the ranges are written first, as they could differ when computed again.
+    So each bucket has at least ``size`` rows (all rows, where there are fewer) and fewer than twice as many.
     """
-    rows = written(df.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "dealt")
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = rows.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_before", before).drop("_n")
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    rows = numbered(df, key)
     buckets = max(1, rows.count() // size)
-    placed = rows.withColumn("_place", place).join(F.broadcast(parts), "_part")
-    return placed.withColumn("bucket", F.pmod(F.col("_before") + F.col("_place"), F.lit(buckets).cast("bigint"))).drop("_part", "_place", "_before"), buckets
+    return rows.withColumn("bucket", F.pmod(F.col("number"), F.lit(buckets).cast("bigint"))).drop("number"), buckets
 
 
 def bucketed_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: int, seed: int = 0) -> DataFrame:

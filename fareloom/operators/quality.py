@@ -97,3 +97,69 @@ def schema_difference(have: T.StructType, want: T.StructType) -> dict[str, list[
     """Names that are missing, extra, or of another type. Nullability and order don't count."""
     a, b = {f.name: f.dataType for f in have}, {f.name: f.dataType for f in want}
     return {"missing": sorted(b.keys() - a.keys()), "extra": sorted(a.keys() - b.keys()), "mismatched": sorted(n for n in a.keys() & b.keys() if a[n] != b[n])}
+
+
+def require_columns(df: DataFrame, columns: list[str], non_empty: bool = True) -> None:
+    """Fails where columns are missing, or where there is no row."""
+    missing = sorted(set(columns) - set(df.columns))
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    if non_empty and df.isEmpty():
+        raise ValueError("no rows")
+
+
+def empty_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column, rows, nulls, blanks, nans`` of each column, from one pass. Blanks are texts without anything but blanks, NaN occurs in doubles and floats."""
+    kinds = dict(df.dtypes)
+    aggs = []
+    for c in columns:
+        blank = F.trim(F.col(c)) == "" if kinds[c] == "string" else F.lit(False)
+        nan = F.isnan(F.col(c)) if kinds[c] in ("double", "float") else F.lit(False)
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count("*").alias("rows"), F.count_if(F.col(c).isNull()).alias("nulls"), F.count_if(F.coalesce(blank, F.lit(False))).alias("blanks"), F.count_if(F.coalesce(nan, F.lit(False))).alias("nans")).alias(f"_{len(aggs)}"))
+    return df.agg(*aggs).select(F.inline(F.array(*(f"_{i}" for i in range(len(columns))))))
+
+
+def suite(df: DataFrame, checks: dict[str, tuple[Column, float]], by: list[str] | None = None) -> DataFrame:
+    """``*by, check, total, failed, passed``: each check is a condition and the share of rows for which it must hold at least (1 for all).
+
+    A null doesn't hold. No rows pass nothing. All checks come from one aggregation.
+    """
+    by = by or []
+    counts = df.groupBy(*by).agg(F.count("*").alias("total"), *(F.count_if(~F.coalesce(c, F.lit(False))).alias(n) for n, (c, _) in checks.items()))
+    each = F.array(*(F.struct(F.lit(n).alias("check"), F.col(n).alias("failed"), ((F.col("total") > 0) & (F.col("total") - F.col(n) >= F.col("total") * F.lit(share))).alias("passed")) for n, (_, share) in checks.items()))
+    return counts.select(*by, "total", F.inline(each)).select(*by, "check", "total", "failed", "passed")
+
+
+def errors(df: DataFrame, rules: dict[str, Column], key: list[str]) -> DataFrame:
+    """``*key, reason``: every broken rule of every row, so that all are known before anything fails."""
+    return flag(df, rules).select(*key, F.explode("reasons").alias("reason"))
+
+
+def fail_on(found: DataFrame, what: str, shown: int = 5) -> None:
+    """Fails with a few of the rows, if there are any."""
+    some = found.limit(shown).collect()
+    if some:
+        raise ValueError(f"{what}: {[tuple(r) for r in some]}")
+
+
+def reconciled(source: DataFrame, parts: dict[str, DataFrame], by: list[str]) -> DataFrame:
+    """``*by, total, <part>..., balanced``: rows of the source against those of its parts, each counted for itself."""
+    out = source.groupBy(*by).agg(F.count("*").alias("total"))
+    for name, df in parts.items():
+        out = out.join(df.groupBy(*by).agg(F.count("*").alias(name)), by, "full")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    counted = out.select(*by, zero("total").alias("total"), *(zero(n).alias(n) for n in parts))
+    return counted.withColumn("balanced", F.col("total") == reduce(lambda a, b: a + b, (F.col(n) for n in parts)))
+
+
+def key_collisions(df: DataFrame, key: list[str], most: float) -> DataFrame:
+    """One row: ``rows, keys, collisions, ratio, verdict``: rows beyond the first of their key, and ``fail`` from the share ``most`` on. Equal nulls are one key; no rows fail."""
+    per = df.groupBy(*key).agg(F.count("*").alias("_n"))
+    one = per.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count("*").alias("keys")).withColumn("collisions", F.col("rows") - F.col("keys"))
+    ratio = F.try_divide(F.col("collisions"), F.col("rows"))
+    return one.withColumns({"ratio": ratio, "verdict": F.when((F.col("rows") == 0) | (ratio >= most), "fail").otherwise("pass")})
+
+
+def same_signature(have: T.StructType, want: T.StructType) -> bool:
+    """Names and types agree; whether a timestamp has a zone counts, its precision and nullability don't."""
+    return [(f.name, f.dataType.simpleString()) for f in have] == [(f.name, f.dataType.simpleString()) for f in want]

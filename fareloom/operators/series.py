@@ -67,6 +67,31 @@ def staleness(df: DataFrame, key: list[str], at: str, as_of: str, allowed_days:
     return df.groupBy(*key).agg(last.alias("last")).withColumn("days", days).withColumn("stale", F.coalesce(days > allowed_days, F.lit(True)))
 
 
+def in_month(c: Column, month: Column | str) -> Column:
+    """Whether a date or time lies in a month ``yyyy-MM``: a filter, not an assertion; null for null."""
+    return F.date_format(c, "yyyy-MM") == (F.lit(month) if isinstance(month, str) else month)
+
+
+def watermark(df: DataFrame, key: list[str], period: str, at: str, as_of: str, allowed_days: int) -> DataFrame:
+    """``*key, period, last, days, stale``: the newest period of a key with the time it last succeeded; success of an older period doesn't advance it."""
+    newest = df.groupBy(*key).agg(F.max(F.struct(F.col(period).alias("p"), F.col(at).alias("t"))).alias("_m"))
+    days = F.datediff(F.lit(as_of).cast("date"), F.col("last"))
+    return newest.select(*key, F.col("_m.p").alias(period), F.to_date("_m.t").alias("last")).withColumn("days", days).withColumn("stale", F.coalesce(F.col("days") > allowed_days, F.lit(True)))
+
+
+def spread_months(monthly: DataFrame, month: str, columns: list[str], key: list[str] | None = None) -> DataFrame:
+    """``*key, day, columns...``: the values of a month on each of its days."""
+    return monthly.select(*(key or []), F.explode(month_days(F.col(month))).alias("day"), *columns)
+
+
+def daily_status(df: DataFrame, days: DataFrame, day: str, value: str, low: float, high: float) -> DataFrame:
+    """``day, n, status`` of every day of ``days``: ``missing``, ``repeated``, ``unusable`` (null, NaN, or not strictly between the bounds) or ``ok``."""
+    good = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & (F.col(value) > low) & (F.col(value) < high)
+    per = df.groupBy(day).agg(F.count("*").alias("n"), F.count_if(F.coalesce(good, F.lit(False))).alias("_good"))
+    status = F.when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "repeated").when(F.col("_good") == 0, "unusable").otherwise("ok")
+    return days.join(per, day, "left").select(day, F.coalesce("n", F.lit(0)).alias("n"), status.alias("status"))
+
+
 def merge_daily(a: DataFrame, b: DataFrame, days: DataFrame, day: str) -> DataFrame:
     """Every day of ``days`` with the columns of both series and ``complete``."""
     return days.join(a.withColumn("_a", F.lit(True)), day, "left").join(b.withColumn("_b", F.lit(True)), day, "left").withColumn("complete", F.col("_a").isNotNull() & F.col("_b").isNotNull()).drop("_a", "_b")

@@ -111,7 +111,9 @@ def test_rules_contracts_and_schemas(spark):
 def test_columns(spark):
     df = spark.createDataFrame([(" ab ", 1.01), ("  ", float("nan")), (None, float("-inf")), ("x", 1e15), ("y", None)], "s string, v double")
     got = df.select(clean_id(F.col("s")).alias("s"), finite(F.col("v")).alias("f"), cents(F.col("v")).alias("c")).collect()
-    assert [(r.s, r.f, r.c) for r in got] == [("AB", True, 101), (None, False, None), (None, False, None), ("X", True, None), ("Y", False, None)]
+    assert [(r.s, r.f, r.c) for r in got] == [("AB", True, 101), (None, False, None), (None, False, None), ("X", True, 10**17), ("Y", False, None)]
+    with pytest.raises(Exception, match="no whole cents"):
+        spark.createDataFrame([(1e300,)], "v double").select(cents(F.col("v"))).collect()
 
 
 def test_seeded_draws_repeat(spark):

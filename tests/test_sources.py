@@ -40,8 +40,142 @@ def test_single_file_and_all_or_nothing(spark, tmp_path):
     broken = spark.range(3).select(F.raise_error(F.lit("no")).alias("id"))
     with pytest.raises(Exception, match="no"):
         sinks.all_or_nothing({"a": spark.range(9), "b": broken}, root)
-    assert spark.read.parquet(f"{root}/a").count() == 1
-    assert not [p for p in (tmp_path / "gold").iterdir() if "staging" in p.name]
+    assert sinks.current(spark, root, "a").count() == 1 and sinks.current(spark, root, "b").count() == 2
+    assert len(list((tmp_path / "gold" / "_tables").iterdir())) == 1
+    for n in (3, 4, 5):
+        sinks.all_or_nothing({"a": spark.range(n), "b": spark.range(n)}, root)
+    assert sinks.current(spark, root, "a").count() == sinks.current(spark, root, "b").count() == 5
+    assert len(list((tmp_path / "gold" / "_tables").iterdir())) == 2
+
+
+def test_what_was_written_is_reconciled_with_what_came_in(spark, tmp_path):
+    part, files = f"file://{tmp_path}/p", Files(spark)
+    every = spark.range(10)
+    assert sinks.write_version(every.where("id < 7"), part, "v", "1", every.where("id >= 7"), total=every) == {"total": 10, "valid": 7, "invalid": 3}
+    sinks.write_version(every.where("id < 7"), part, "v", "2", every.where("id > 7"), total=every)
+    assert versions.versions(files, part, "v") == ["1"] and b"10 rows" in files.read(f"{part}/v=2/{QUARANTINED}")
+
+
+def test_release_is_checked_against_its_manifest(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    sinks.publish_release({"x": spark.range(4), "y": spark.range(2)}, root, "r1", "h")
+    assert sinks.validate_release(spark, root, "r1")["datasets"]["x"]["rows"] == 4
+    with pytest.raises(ValueError, match="scope"):
+        sinks.publish_release({"x": spark.range(4)}, root, "r1", "h", scope="first 10")
+    spark.range(5).write.mode("overwrite").parquet(f"{root}/r1/x")
+    with pytest.raises(ValueError, match="x.rows.*x.sha256"):
+        sinks.validate_release(spark, root, "r1")
+
+
+def test_loads_at_once_and_loads_that_failed(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        sinks.idempotent_load({"agg": spark.range(2), "more": broken}, root, "A", "2025-02", "f1", "x")
+    # Another load meanwhile takes the next number, the failed one its own again.
+    assert sinks.idempotent_load({"agg": spark.range(5)}, root, "A", "2025-02", "f2", "x").version == 2
+    assert sinks.idempotent_load({"agg": spark.range(2)}, root, "A", "2025-02", "f1", "x") == sinks.Loaded(1, True, {"agg": 2})
+    files = Files(spark)
+    assert files.create_new(f"{root}/one", b"1") and not files.create_new(f"{root}/one", b"2") and files.read(f"{root}/one") == b"1"
+
+
+def test_rows_are_sorted_over_all_files(spark, tmp_path):
+    path = f"file://{tmp_path}/s"
+    sinks.sorted_files(spark.range(1000).selectExpr("pmod(id * 7919, 1000) as x").repartition(5), path, ["x"])
+    got = [r.x for n in Files(spark).names(path) if n.endswith(".parquet") for r in spark.read.parquet(f"{path}/{n}").collect()]
+    assert got == sorted(got) and len(got) == 1000
+
+
+def test_digests_are_of_names_and_bytes(spark, tmp_path):
+    import hashlib
+
+    files = Files(spark)
+    for folder, more in (("v", b""), ("v_old", b"!")):
+        (tmp_path / folder / "sub").mkdir(parents=True)
+        (tmp_path / folder / "b.parquet").write_bytes(b"bytes" * 400_000 + more)
+        (tmp_path / folder / "_SUCCESS").write_bytes(b"")
+        (tmp_path / folder / "sub" / "a").write_bytes(b"x")
+    want = hashlib.sha256(b"".join(n.encode() + b"\0" + (tmp_path / "v" / n).read_bytes() + b"\0" for n in ("_SUCCESS", "b.parquet", "sub/a"))).hexdigest()
+    assert versions.content_digest(files, f"file://{tmp_path}/v") == want != versions.content_digest(files, f"file://{tmp_path}/v_old")
+    one = versions.content_digest(files, f"file://{tmp_path}/v/sub/a")
+    assert one == hashlib.sha256(b"a\0x\0").hexdigest()
+    (tmp_path / "empty").mkdir()
+    for gone in ("empty", "nowhere"):
+        with pytest.raises(FileNotFoundError):
+            versions.content_digest(files, f"file://{tmp_path}/{gone}")
+
+
+def test_months_areas_and_versions_to_work_on(spark, tmp_path):
+    assert versions.months("2024-11", "2025-02") == ["2024-11", "2024-12", "2025-01", "2025-02"] and versions.month_before("2025-01", 2) == "2024-11"
+    for bad in (("2025-13", "2025-13"), ("2025-02", "2025-01")):
+        with pytest.raises(ValueError):
+            versions.months(*bad)
+    have = ["2025-01", "2025-03", "2025-02"]
+    assert versions.target_month("2024-05", "A:2025-01", have, "2025-02") == "2024-05"
+    assert versions.target_month(None, "A:2025-01", have, "2025-02") == "2025-01" and versions.target_month(None, None, have, "2025-02") == "2025-02"
+    with pytest.raises(FileNotFoundError):
+        versions.target_month(None, None, have, "2024-12")
+    assert versions.target_area("NYC_1:2025-01", "X") == "NYC_1" and versions.target_area(None, "X") == "X"
+    with pytest.raises(ValueError):
+        versions.target_area(None, "x y")
+    assert versions.source_month("2025-05", 6, {"2025-04"}, lambda m: m <= "2025-03") == "2025-03" and versions.source_month("2025-05", 1, set(), lambda m: False) is None
+    assert [versions.refresh_needed(*x) for x in ((False, True, True), (True, True, True), (False, False, True), (False, True, False))] == [False, True, True, True]
+    files, part = Files(spark), f"file://{tmp_path}/p"
+    for token in ("9_1", "10_2", "plain"):
+        sinks.write_version(spark.range(1), part, "v", token, 0)
+    assert versions.latest_pair(files, part, "v")[1] == ("9", "1")
+    with pytest.raises(FileNotFoundError):
+        versions.explicit_input(files, f"{part}/v=none")
+    assert versions.explicit_input(files, f"{part}/v=plain") == f"{part}/v=plain"
+
+
+def test_same_bytes_are_one_version(spark, tmp_path):
+    files, part = Files(spark), f"file://{tmp_path}/m"
+    for token, text in (("20250201", "a"), ("20250202", "a"), ("20250203", "b"), ("20250204", "a")):
+        folder = tmp_path / "m" / f"v={token}"
+        folder.mkdir(parents=True)
+        (folder / f"{token}.parquet").write_text(text)
+        (folder / "_SUCCESS").write_text("")
+    assert versions.newest_distinct(files, part, "v", "2025-02") == ["20250204", "20250203", "20250201"]
+    with pytest.raises(ValueError):
+        versions.newest_distinct(files, part, "v", "2025-03")
+
+
+def test_deliveries_checkpoints_settings_and_reports(spark, tmp_path):
+    import hashlib
+    import json
+
+    folder = tmp_path / "month=2025-02" / "collected_at=t1"
+    sinks.single_file(spark.range(6), f"file://{folder}/data.parquet")
+    data = (folder / "data.parquet").read_bytes()
+    manifest = {"dataset": "trips", "month": "2025-02", "token": "t1", "rows": 6, "bytes": len(data), "sha256": hashlib.sha256(data).hexdigest()}
+    (folder / "manifest.json").write_text(json.dumps(manifest))
+    assert versions.check_delivery(spark, f"file://{folder}") == manifest
+    (folder / "manifest.json").write_text(json.dumps(manifest | {"rows": 7, "token": "t2"}))
+    with pytest.raises(ValueError, match="token, rows"):
+        versions.check_delivery(spark, f"file://{folder}")
+    for bad in ({"rows": "6"}, {"more": 1}, {"sha256": "x"}, {"month": "2025-2"}):
+        with pytest.raises(ValueError):
+            versions.checked_manifest(json.dumps(manifest | bad).encode())
+    files, root = Files(spark), f"file://{tmp_path}/state"
+    assert versions.check_checkpoint(files, root, "2025-01", "h", first="2025-01") is None
+    versions.write_checkpoint(files, root, "2025-01", "h", {"n": 1})
+    versions.write_checkpoint(files, root, "2025-01", "h", {"n": 2})
+    assert versions.check_checkpoint(files, root, "2025-02", "h", first="2025-01")["state"] == {"n": 2}
+    with pytest.raises(ValueError):
+        versions.check_checkpoint(files, root, "2025-02", "other", first="2025-01")
+    with pytest.raises(FileNotFoundError):
+        versions.check_checkpoint(files, root, "2025-04", "h", first="2025-01")
+    ranges = {"a": (0, 1), "b": (0, 1)}
+    assert versions.checked_settings({"a": 0.4, "b": 0.6}, ranges, {"all": ["a", "b"]}) == {"a": 0.4, "b": 0.6}
+    for bad in ({"a": 1}, {"a": 2, "b": 0}, {"a": 0.5, "b": 0.6}, {"a": True, "b": 0}):
+        with pytest.raises(ValueError):
+            versions.checked_settings(bad, ranges, {"all": ["a", "b"]})
+    report = spark.createDataFrame([("2025-02", 1)], "m string, n int")
+    versions.check_report(report, ["n"], "m", "2025-02")
+    for df, columns, month in ((report, ["z"], "2025-02"), (report.limit(0), ["n"], "2025-02"), (report, ["n"], "2025-03")):
+        with pytest.raises(ValueError):
+            versions.check_report(df, columns, "m", month)
 
 
 def test_dynamic_overwrite(spark, tmp_path):
