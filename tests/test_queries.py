@@ -7,7 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from fareloom.plans import catalog, catalog_sql, training, training_sql
+from fareloom.plans import catalog, catalog_sql, contracts, contracts_sql, training, training_sql
+
+QUERIES = catalog.QUERIES | contracts.QUERIES | training.QUERIES
+ORACLE = catalog_sql.ORACLE | contracts_sql.ORACLE | training_sql.ORACLE
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="needs the test tables")
@@ -35,10 +38,10 @@ def sql():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(catalog_sql.ORACLE | training_sql.ORACLE))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows_as_sql(spark, sql, name):
     df = __spark_entry__.queries()[name](spark, str(FOLDER))
-    cursor = sql.execute((catalog_sql.ORACLE | training_sql.ORACLE)[name])
+    cursor = sql.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(names)
     got = plain([r.asDict() for r in df.collect()], sorted(names))
@@ -46,7 +49,7 @@ def test_same_rows_as_sql(spark, sql, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted((catalog.QUERIES | training.QUERIES).keys() - (catalog_sql.ORACLE | training_sql.ORACLE).keys()))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLE.keys()))
 def test_other_queries_run(spark, name):
     assert __spark_entry__.queries()[name](spark, str(FOLDER)).count() > 0
 
