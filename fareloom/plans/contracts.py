@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareloom.functions.columns import before_last, cents, clean_id, finite, json_key, money, percent, seed_of, unusable, uuid5
+from fareloom.functions.columns import before_last, cents, clean_id, finite, json_key, money, percent, seconds, seed_of, unusable, uuid5
 from fareloom.operators import aggregates, joins, quality, series
 from fareloom.plans import catalog
 from fareloom.plans.catalog import AS_OF, TIERS, _drivers, _gold, _trips
@@ -154,10 +154,10 @@ def agent_contract(spark: SparkSession, folder: str) -> DataFrame:
 def attribution_ceiling(spark: SparkSession, folder: str) -> DataFrame:
     """Per day: trips that could be given away, those that were, the drivers' minutes of work, and how far they were used."""
     a = table(spark, folder, "attribution").where("dropoff_datetime > pickup_datetime").distinct()
-    minutes = (F.unix_seconds(F.col("dropoff_datetime").cast("timestamp")) - F.unix_seconds(F.col("pickup_datetime").cast("timestamp"))) / 60
+    took = seconds(F.col("dropoff_datetime")) - seconds(F.col("pickup_datetime"))
     who = clean_id(F.col("driver_id"))
-    per = a.groupBy("service_date").agg(F.count("*").alias("trips"), F.count(who).alias("given"), F.count_distinct(who).alias("drivers"), F.sum(F.when(who.isNotNull(), minutes)).alias("used"))
-    return per.select(F.date_format("service_date", "yyyy-MM-dd").alias("day"), "trips", "given", "drivers", F.round(F.col("given") / F.col("trips"), 6).alias("coverage"), F.round(F.col("used") / (F.col("drivers") * 600), 6).alias("saturation"))
+    per = a.groupBy("service_date").agg(F.count("*").alias("trips"), F.count(who).alias("given"), F.count_distinct(who).alias("drivers"), F.sum(F.when(who.isNotNull(), took)).alias("used"))
+    return per.select(F.date_format("service_date", "yyyy-MM-dd").alias("day"), "trips", "given", "drivers", F.round(F.col("given") / F.col("trips"), 6).alias("coverage"), F.round(F.col("used") / (F.col("drivers") * 36_000), 6).alias("saturation"))
 
 
 # Views and reference data

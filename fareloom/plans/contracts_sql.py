@@ -75,9 +75,9 @@ SELECT snapshot_month, count(*) AS taxis, count(*) FILTER (a.n > 1) AS shared, c
 SELECT snapshot_month, dates, dates = 1 AS "one", CAST(DATE '2025-05-20' - l AS INTEGER) AS age, DATE '2025-05-20' - l <= 45 AS fresh FROM d""",
     "agent_contract": f"WITH {_BUCKETS} SELECT * FROM (SELECT count(*) AS total, 0 AS failed, true AS passed FROM ag), (SELECT unnest(['named', 'eight_weights', 'weights', 'weekdays', 'blocks', 'work', 'unique']) AS \"check\")",
     "attribution_ceiling": f"""WITH a AS (SELECT DISTINCT *, {_ID.format('driver_id')} AS who FROM attribution WHERE dropoff_datetime > pickup_datetime),
-p AS (SELECT service_date, count(*) AS trips, count(who) AS given, count(DISTINCT who) AS drivers, sum((epoch(date_trunc('second', dropoff_datetime)) - epoch(date_trunc('second', pickup_datetime))) / 60) FILTER (who IS NOT NULL) AS used
+p AS (SELECT service_date, count(*) AS trips, count(who) AS given, count(DISTINCT who) AS drivers, CAST(sum(epoch(date_trunc('second', dropoff_datetime)) - epoch(date_trunc('second', pickup_datetime))) FILTER (who IS NOT NULL) AS BIGINT) AS used
   FROM (SELECT DISTINCT * FROM a) GROUP BY 1)
-SELECT strftime(service_date, '%Y-%m-%d') AS day, trips, given, drivers, round(given / trips, 6) AS coverage, round(used / (drivers * 600), 6) AS saturation FROM p""",
+SELECT strftime(service_date, '%Y-%m-%d') AS day, trips, given, drivers, round(given / trips, 6) AS coverage, round(used / (drivers * 36000), 6) AS saturation FROM p""",
     "tier_multipliers": f"""WITH {_BANDED}
 SELECT licence, band, count(*) AS trips, CAST(sum(pay) AS BIGINT) AS pay_cents, round(sum(pay * (1 + 0.3 * (coalesce(comfort / nullif(standard, 0), 1) - 1))), 2) AS as_comfort,
   round(sum(pay * (1 + 0.3 * (coalesce(extra_comfort / nullif(standard, 0), 1) - 1))), 2) AS as_extra FROM t LEFT JOIN r USING (licence, band) WHERE estimated_service_tier = 'Standard' GROUP BY ALL""",
