@@ -12,10 +12,12 @@ of n blocks takes log2(n) rounds.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.session import drop_written, written
+from fareloom.session import written
 
 
 def link_blocks(df: DataFrame, key: str, at: str, gap: int) -> DataFrame:
@@ -44,16 +46,16 @@ def sessions(df: DataFrame, key: str, at: str, gap: int) -> DataFrame:
         raise ValueError("gap must be a positive number of seconds")
     blocks = written(link_blocks(df, key, at, gap), "blocks")
     members = blocks.where("linked")
-    # Pointers of the blocks that aren't roots; a block absent here is a root.
-    pointers = written(members.select("k", "b", (F.col("b") - 1).alias("p"), F.lit(False).alias("done")), "pointers")
-    while not pointers.where(~F.col("done")).isEmpty():
-        onward = pointers.select("k", F.col("b").alias("p"), F.col("p").alias("p2"), F.col("done").alias("done2"))
-        doubled = pointers.where(~F.col("done")).join(onward, ["k", "p"], "left").select(
-            "k", "b", F.coalesce("p2", "p").alias("p"), (F.col("p2").isNull() | F.col("done2")).alias("done")
-        )
-        stable = pointers
-        pointers = written(stable.where("done").unionByName(doubled), "pointers")
-        drop_written(stable)
+    # Pointers of the blocks that aren't roots; a block absent here is a root. Each round writes the pointers it moved, those that have reached a root stay where they are.
+    open_ = members.select("k", "b", (F.col("b") - 1).alias("p"), F.lit(False).alias("done"))
+    settled: list[DataFrame] = []
+    while settled == [] or not open_.isEmpty():
+        onward = reduce(DataFrame.unionByName, [*settled, open_]).select("k", F.col("b").alias("p"), F.col("p").alias("p2"), F.col("done").alias("done2"))
+        doubled = open_.join(onward, ["k", "p"], "left").select("k", "b", F.coalesce("p2", "p").alias("p"), (F.col("p2").isNull() | F.col("done2")).alias("done"))
+        moved = written(doubled, "pointers")
+        settled.append(moved.where("done"))
+        open_ = moved.where("not done")
+    pointers = reduce(DataFrame.unionByName, settled)
     columns = ["k", "root", "first", "last", "n"]
     rooted = members.join(pointers.select("k", "b", F.col("p").alias("root")), ["k", "b"]).select(*columns).unionByName(blocks.where("not linked").withColumn("root", F.col("b")).select(*columns))
     return (
