@@ -11,6 +11,7 @@ from fareloom.llm.leakage import leaked_items
 from fareloom.llm.quantiles import combine, estimates, sketch_groups
 from fareloom.llm.spam import spam_shares
 from fareloom.llm.tokens import encode_corpus
+from fareloom.operators.skew import key_percentiles
 from fareloom.session import written
 from fareloom.sources.tables import table
 
@@ -55,7 +56,7 @@ def p1_zone_percentiles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_rank_check(spark: SparkSession, folder: str) -> DataFrame:
-    """For the percentiles over all loads: does the exact rank of each estimate keep the stated bound?"""
+    """For the percentiles over all loads: does the exact rank of each estimate keep the stated bound? Beside it the exact median."""
     trips = table(spark, folder, "monthly_taxi_trip")
     long = trips.select("PULocationID", F.inline(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in ("driver_pay", "trip_miles")))))
     long = long.where("PULocationID is not null and value is not null and not isnan(value) and abs(value) != double('infinity')")
@@ -72,7 +73,9 @@ def p1_rank_check(spark: SparkSession, folder: str) -> DataFrame:
     for s, name in zip(SHARES, names, strict=True):
         rank = F.greatest(F.lit(1), F.ceil(F.col("n") * s))
         within = within & (F.greatest(F.col(f"{name}_less") + 1 - rank, rank - F.col(f"{name}_upto"), F.lit(0)) <= F.col("rank_error"))
-    return ranked.select(*key, "n", within.alias("within_bound"), (F.col("rank_error") <= F.greatest(F.lit(0), F.col("n") * 0.01)).alias("bound_below_1_percent"))
+    exact = key_percentiles(counted.select(F.col("measure").alias("key_column"), F.col("PULocationID").cast("string").alias("key_value"), "value", F.col("c").alias("n")), [50])
+    exact = exact.select(F.col("key_column").alias("measure"), F.col("key_value").cast("int").alias("PULocationID"), F.col("value").alias("exact_p50"))
+    return ranked.join(exact, key).select(*key, "n", "exact_p50", within.alias("within_bound"), (F.col("rank_error") <= F.greatest(F.lit(0), F.col("n") * 0.01)).alias("bound_below_1_percent"))
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,6 +110,6 @@ ORACLE = {
 WITH long AS (
   SELECT PULocationID, 'driver_pay' AS measure, driver_pay AS value FROM monthly_taxi_trip
   UNION ALL SELECT PULocationID, 'trip_miles', trip_miles FROM monthly_taxi_trip)
-SELECT measure, PULocationID, count(*) AS n, true AS within_bound, true AS bound_below_1_percent
+SELECT measure, PULocationID, count(*) AS n, quantile_disc(value, 0.5) AS exact_p50, true AS within_bound, true AS bound_below_1_percent
 FROM long WHERE PULocationID IS NOT NULL AND isfinite(value) GROUP BY ALL""",
 }
