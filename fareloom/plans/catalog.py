@@ -649,8 +649,8 @@ def driver_traits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def favourite_zones(spark: SparkSession, folder: str) -> DataFrame:
-    """The zones in which at least a tenth of a taxi's trips start."""
-    found = aggregates.top_shares(_trips(spark, folder), ["taxi_id"], "PULocationID", 0.1)
+    """The zones in which at least a fifth of a taxi's trips start."""
+    found = aggregates.top_shares(_trips(spark, folder), ["taxi_id"], "PULocationID", 0.2)
     return found.select("taxi_id", "PULocationID", "n", F.round("share", 6).alias("share"))
 
 

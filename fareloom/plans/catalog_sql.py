@@ -178,7 +178,9 @@ SELECT driver_id, month, trips, miles_100, pay_cents, tip_cents FROM p JOIN d US
 t AS (SELECT *, CASE WHEN miles < 200 THEN '0-2' WHEN miles < 500 THEN '2-5' WHEN miles < 1000 THEN '5-10' WHEN miles < 2000 THEN '10-20' ELSE '20+' END AS band FROM trips WHERE miles > 0 AND pay >= 0 AND licence IS NOT NULL)
 SELECT licence, band, {', '.join(f"round(sum(pay) FILTER (WHERE estimated_service_tier = '{n}') / nullif(sum(miles) FILTER (WHERE estimated_service_tier = '{n}'), 0), 6) AS {n.lower().replace(' ', '_')}" for n in ('Standard', 'Comfort', 'Extra Comfort'))}
 FROM t GROUP BY ALL""",
-    "totals_kept": f"WITH {_TRIPS}, s AS (SELECT CAST(sum(pay) AS BIGINT) AS pay_cents, count(*) AS n FROM trips) SELECT p AS part, pay_cents, n, true AS same FROM s, (SELECT unnest(['trips', 'days']) AS p)",
+    "totals_kept": f"""WITH {_TRIPS}, s AS (SELECT 'trips' AS part, sum(pay) AS p, count(*) AS n FROM trips),
+d AS (SELECT taxi_id, day, sum(pay) AS p, count(*) AS n FROM trips GROUP BY ALL), b AS (SELECT 'days' AS part, sum(p) AS p, sum(n) AS n FROM d)
+SELECT part, CAST(p AS BIGINT) AS pay_cents, CAST(n AS BIGINT) AS n, (SELECT p FROM s) = (SELECT p FROM b) AS same FROM (SELECT * FROM s UNION ALL SELECT * FROM b)""",
     "trip_key_counts": "SELECT strftime(service_date, '%Y-%m-%d') AS day, count(*) AS \"rows\", count(DISTINCT trip_key) AS keys, count(*) FILTER (WHERE trip_key IS NULL) AS null_keys FROM attribution GROUP BY ALL",
     "repeated_trips": "SELECT trip_key, count(*) AS n FROM attribution GROUP BY trip_key HAVING count(*) > 1",
     "zone_minutes": """SELECT PULocationID, DOLocationID, count(*) AS trips, round(median((epoch(dropoff_datetime) - epoch(pickup_datetime)) / 60), 4) AS minutes
@@ -316,7 +318,7 @@ SELECT model, snapshot_month, used, stock FROM u LEFT JOIN inventory ON vehicle_
     "filled_fees": f"""WITH {_DRIVERS}, d AS (SELECT driver_id, snapshot_month, max(CASE WHEN isfinite(weekly_lease_fee) THEN CAST(round(weekly_lease_fee * 100) AS BIGINT) END) AS f FROM drivers GROUP BY ALL)
 SELECT driver_id, snapshot_month, last_value(f IGNORE NULLS) OVER (PARTITION BY driver_id ORDER BY snapshot_month ROWS UNBOUNDED PRECEDING) AS fee_cents FROM d""",
     "favourite_zones": f"""WITH {_TRIPS}, c AS (SELECT taxi_id, PULocationID, count(*) AS n FROM trips GROUP BY ALL), w AS (SELECT *, sum(n) OVER (PARTITION BY taxi_id) AS a FROM c)
-SELECT taxi_id, PULocationID, n, round(n / a, 6) AS share FROM w WHERE PULocationID IS NOT NULL AND n * 10 >= a""",
+SELECT taxi_id, PULocationID, n, round(n / a, 6) AS share FROM w WHERE PULocationID IS NOT NULL AND n * 5 >= a""",
     "driver_experience": f"""WITH {_DRIVERS}, d AS (SELECT snapshot_month, driver_id, join_date, last_day(CAST(snapshot_month || '-01' AS DATE)) AS e FROM drivers)
 SELECT snapshot_month, CAST(floor((e - join_date) / 365.25) AS BIGINT) AS years, count(DISTINCT driver_id) AS drivers FROM d WHERE join_date <= e GROUP BY ALL""",
     "model_flags": f"""WITH {_DRIVERS}, s AS (SELECT vehicle_model_id, bool_or(comfort_eligible) AS seen_comfort, bool_or(extra_comfort_eligible) AS seen_extra FROM drivers GROUP BY 1)

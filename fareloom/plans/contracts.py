@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.functions.columns import before_last, cents, clean_id, finite, json_key, money, percent, seconds, seed_of, unusable, uuid5
-from fareloom.operators import aggregates, joins, quality, series
+from fareloom.operators import aggregates, draws, joins, quality, series
 from fareloom.plans import catalog
 from fareloom.plans.catalog import AS_OF, TIERS, _drivers, _gold, _trips
 from fareloom.sources import readers
@@ -392,12 +392,28 @@ def unit_models(spark: SparkSession, folder: str) -> DataFrame:
     return c.join(fee, "model").crossJoin(F.broadcast(every)).select("model", "units", "fee", percent(F.col("units") / F.col("all")).alias("share"))
 
 
+def evolved_drivers(spark: SparkSession, folder: str) -> DataFrame:
+    """What becomes of the drivers of each month in the next one, how many join (a fiftieth, rounded at random), and how many that makes."""
+    d = _drivers(spark, folder).where("driver_id is not null and exit_date is null").select("snapshot_month", "driver_id").distinct()
+    fates = draws.evolved(d, "driver_id", F.col("snapshot_month"), 0.03, 0.1)
+    per = fates.groupBy("snapshot_month").agg(F.count("*").alias("drivers"), *(F.count_if(F.col("fate") == f).alias(f) for f in ("leaves", "changes", "stays")))
+    joins_ = draws.rounded_at_random(F.col("drivers") / 50, draws.uniform(F.lit("join"), F.col("snapshot_month")))
+    return per.withColumn("joins", joins_).withColumn("next", F.col("drivers") - F.col("leaves") + F.col("joins"))
+
+
+def drawn_vehicles(spark: SparkSession, folder: str) -> DataFrame:
+    """The units on stock that drivers draw who change in any month; who comes after the last unit gets none."""
+    d = _drivers(spark, folder).where("driver_id is not null and exit_date is null").select("snapshot_month", "driver_id").distinct()
+    wanting = draws.evolved(d, "driver_id", F.col("snapshot_month"), 0.03, 0.1).where("fate = 'changes'").select(F.concat_ws(":", "driver_id", "snapshot_month").alias("asking"))
+    return draws.drawn_units(wanting, "asking", catalog.numbered_units(spark, folder), "unit_id", "draw")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         clean_trips, clean_reasons, trip_reconciliation, trip_suite, placed_trips, cast_failures, natural_collisions, skip_gate, inventory_errors, dimension_checks, column_quality, snapshot_rules, contract_integrity,
         one_date_each, agent_contract, attribution_ceiling, tier_multipliers, missing_multipliers, driver_models, suggested_models, suggestion_gains, scoped_profit, ordered_profits, driver_numbers, capacity_minutes,
         lease_inventory, eligibility_groups, fuel_classes, tier_aliases, model_years, eligibility_lines, card_links, spec_matches, month_slices, daily_fees, daily_statuses, area_states, noise_chain, area_watermarks,
-        target_months, refreshes, attribution_keys, unit_models,
+        target_months, refreshes, attribution_keys, unit_models, evolved_drivers, drawn_vehicles,
     )
 }

@@ -145,4 +145,15 @@ h AS (SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(trip_ke
 SELECT sha256(to_json(struct_pack(driver_id := driver_id, taxi_id := taxi_id, PULocationID := PULocationID))) AS json_key,
   substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', CAST(CAST('0x' || substr(h, 17, 1) AS INTEGER) % 4 + 1 AS INTEGER), 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS uuid FROM h""",
     "unit_models": """SELECT vehicle_model_id AS model, CAST(stock AS BIGINT) AS units, '$' || format('{:,.2f}', weekly_lease_fee) AS fee, format('{:.1f}', 100 * stock / (SELECT sum(stock) FROM inventory)) || '%' AS share FROM inventory WHERE stock > 0""",
+    "evolved_drivers": f"""WITH {_DRIVERS}, d AS (SELECT DISTINCT snapshot_month, driver_id FROM drivers WHERE driver_id IS NOT NULL AND exit_date IS NULL),
+u AS (SELECT *, CAST('0x' || substr(sha256('0:' || driver_id || ':' || snapshot_month), 1, 15) AS BIGINT) % 1000000 / 1000000 AS u FROM d),
+p AS (SELECT snapshot_month, count(*) AS drivers, count(*) FILTER (u < 0.03) AS leaves, count(*) FILTER (u >= 0.03 AND u < 0.13) AS changes, count(*) FILTER (u >= 0.13) AS stays,
+  CAST('0x' || substr(sha256('0:join:' || snapshot_month), 1, 15) AS BIGINT) % 1000000 / 1000000 AS w FROM u GROUP BY snapshot_month),
+j AS (SELECT *, CAST(floor(drivers / 50) + CASE WHEN w < drivers / 50 - floor(drivers / 50) THEN 1 ELSE 0 END AS BIGINT) AS joins FROM p)
+SELECT snapshot_month, drivers, leaves, changes, stays, joins, drivers - leaves + joins AS next FROM j""",
+    "drawn_vehicles": f"""WITH {_DRIVERS}, d AS (SELECT DISTINCT driver_id || ':' || snapshot_month AS asking FROM drivers WHERE driver_id IS NOT NULL AND exit_date IS NULL),
+e AS (SELECT asking, CAST('0x' || substr(sha256('0:' || asking), 1, 15) AS BIGINT) % 1000000 / 1000000 AS u, CAST('0x' || substr(sha256('0:' || asking || ':draw'), 1, 15) AS BIGINT) AS s FROM d),
+w AS (SELECT asking, row_number() OVER (ORDER BY s, asking) AS n FROM e WHERE u >= 0.03 AND u < 0.13),
+u AS (SELECT unit_id, row_number() OVER (ORDER BY CAST('0x' || substr(sha256('0:' || unit_id || ':draw'), 1, 15) AS BIGINT), unit_id) AS n FROM ({_OTHERS['numbered_units']}))
+SELECT asking, unit_id FROM w LEFT JOIN u USING (n)""",
 }

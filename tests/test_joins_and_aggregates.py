@@ -133,3 +133,19 @@ def test_forward_fill_and_command_line(spark, tmp_path):
     spark.createDataFrame([("x", 2)], "vehicle_model_id string, stock int").write.parquet(f"file://{tmp_path}/inventory.parquet")
     main(["numbered_units", "--tables", f"file://{tmp_path}", "--out", f"file://{tmp_path}/out", "--limit", "5", "--format", "csv"])
     assert spark.read.option("header", True).csv(f"file://{tmp_path}/out").count() == 2
+
+
+def test_draws_of_fates_units_and_roundings(spark):
+    from fareloom.operators.draws import drawn_units, evolved, rounded_at_random, seeded_traits, uniform
+
+    ids = spark.range(4000).selectExpr("concat('d', id) as k")
+    fates = {r.fate: r["count"] for r in evolved(ids, "k", F.lit("2025-02"), 0.1, 0.3).groupBy("fate").count().collect()}
+    assert 300 < fates["leaves"] < 500 and 1050 < fates["changes"] < 1350
+    mean = ids.select(rounded_at_random(F.lit(2.3), uniform(F.col("k"))).alias("n")).agg(F.avg("n")).first()[0]
+    assert 2.25 < mean < 2.35
+    got = drawn_units(ids.limit(50), "k", spark.range(30).selectExpr("concat('u', id) as unit"), "unit", "p").collect()
+    assert len(got) == 50 and len({r.unit for r in got if r.unit}) == 30 and sum(r.unit is None for r in got) == 20
+    again = drawn_units(ids.limit(50).repartition(5), "k", spark.range(30).selectExpr("concat('u', id) as unit"), "unit", "p").collect()
+    assert {tuple(r) for r in again} == {tuple(r) for r in got}
+    for r in seeded_traits(ids.limit(20), "k", shares=5).collect():
+        assert abs(sum(r.weights) - 1) < 1e-9 and 0 <= r.days <= 30 and 0 <= r.kind < 5 and sum(r.parts) == 100
