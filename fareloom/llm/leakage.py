@@ -15,6 +15,7 @@ up in the same single pass over the documents, which are never shuffled.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -40,6 +41,7 @@ CHUNK, HELD = 150_000, 4_000_000
 WAYS = ("windows", "anchors")
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
+_PLAIN_WORD = re.compile(r"[a-z0-9]+")
 _FORMAT = regex.compile(r"\p{Cf}+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -49,7 +51,7 @@ def words_of(text: str | None) -> list[str]:
     if not text:
         return []
     if text.isascii():
-        return _WORD.findall(text.lower())
+        return _PLAIN_WORD.findall(text.lower())
     return _WORD.findall(_FORMAT.sub("", unicodedata.normalize("NFKC", text)).lower())
 
 
@@ -79,15 +81,23 @@ def fingerprints(hashes: np.ndarray, stride: int) -> np.ndarray:
     blocks = len(hashes) // stride
     if blocks < 4:
         return np.empty(0, dtype=np.uint64)
-    bits = np.unpackbits(np.ascontiguousarray(hashes[: blocks * stride]).view(np.uint8).reshape(-1, 8), axis=1)
-    return _prints(bits, stride)
+    return _prints(_bits(hashes[: blocks * stride]), stride)
+
+
+#: The eight bits of a byte as eight bytes.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+
+
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    """One row of 64 bits, as bytes, per word."""
+    return _SPREAD[np.ascontiguousarray(hashes).view(np.uint8)].view(np.uint8).reshape(-1, 64)
 
 
 def _prints(bits: np.ndarray, stride: int) -> np.ndarray:
     blocks = len(bits) // stride
     if blocks < 4:
         return np.empty(0, dtype=np.uint64)
-    sums = np.add.reduceat(bits[: blocks * stride], np.arange(0, blocks * stride, stride), axis=0, dtype=np.uint16)
+    sums = bits[: blocks * stride].reshape(blocks, stride, 64).sum(axis=1, dtype=np.uint16)
     votes = sums[:-3] + sums[1:-2] + sums[2:-1] + sums[3:]
     return np.packbits(votes > 2 * stride, axis=1).view(np.uint64).ravel()
 
@@ -217,7 +227,7 @@ class ItemIndex:
         longest = 4 * max(self.windows, default=0)
         for start in range(0, len(hashes), CHUNK):
             part, own = hashes[start : start + CHUNK + longest], doc[start : start + CHUNK + longest]
-            bits = np.unpackbits(np.ascontiguousarray(part).view(np.uint8).reshape(-1, 8), axis=1)
+            bits = _bits(part)
             for s, index in self.windows.items():
                 skip = -start % s  # multiples of the stride from the beginning of all words
                 prints = _prints(bits[skip:], s)
