@@ -52,7 +52,9 @@ FUNCTION_WORDS = {
 }
 #: Languages in Latin letters, told apart from each other by their function words and from all others by their letters.
 LATIN = ("en", "es")
-_KO_ENDING = regex.compile(r"\p{Hangul}(?:은|는|을|를|에|의|로|와|과|도|만|에서|에게|으로|까지|부터|보다|처럼|마다|라고|하고|면|서|며|고|지만|니다|니까|세요|어요|아요|네요|군요|까요|요|다|까|죠)$")
+_KO_ENDINGS = tuple("은|는|을|를|에|의|로|와|과|도|만|에서|에게|으로|까지|부터|보다|처럼|마다|라고|하고|면|서|며|고|지만|니다|니까|세요|어요|아요|네요|군요|까요|요|다|까|죠".split("|"))
+_KO_SHORT = frozenset(e for e in _KO_ENDINGS if len(e) == 1)
+_KO_ENDING = regex.compile(rf"\p{{Hangul}}(?:{'|'.join(_KO_ENDINGS)})$")
 _HANGUL = regex.compile(r"\p{Hangul}")
 _WORD = regex.compile(r"[\p{L}\p{N}]+(?:['’][\p{L}]+)?")
 _PLAIN_WORD = re.compile(r"[A-Za-z0-9]+(?:'[A-Za-z]+)?")
@@ -168,7 +170,7 @@ def _weight(words: list[str], runs: bool) -> int:
 
 def _may_have_links(text: str) -> bool:
     low = text.lower()
-    return any(h in low for h in _LINK_HINTS) or _DOTTED.search(low) is not None or re.search(r"\sdot\s", low) is not None
+    return any(h in low for h in _LINK_HINTS) or _DOTTED.search(low) is not None or ("dot" in low and re.search(r"\sdot\s", low) is not None)
 
 
 def _has_runs(text: str) -> bool:
@@ -226,9 +228,11 @@ def _measured(text: str | None) -> tuple[list[tuple], str]:
     runs = _has_runs(plain.lower())
     out, at = [], 0
     for part, words, said in zip(parts, found, spoken, strict=True):
-        count = part.count(_LINK_MARK)
-        linked = sum(links[at : at + count])
-        at += count
+        count = linked = 0
+        if links:
+            count = part.count(_LINK_MARK)
+            linked = sum(links[at : at + count])
+            at += count
         lang, length, functional, kinds, own = _language(part, words)
         repeated = 0.0
         if hot or hot_pairs:
@@ -247,7 +251,7 @@ def _language(part: str, words: list[str]) -> tuple[str, int, int, int, frozense
     """``lang, words, function, kinds`` of a segment and its function words. In Japanese, which has no blanks, letters count as words, and hiragana, which inflects, as function words."""
     latin = part.isascii()
     if not latin and _HANGUL.search(part):
-        functional = [w for w in words if _KO_ENDING.search(w)]
+        functional = [w for w in words if (len(w) > 1 and w[-1] in _KO_SHORT and "\uac00" <= w[-2] <= "\ud7a3") or (w.endswith(_KO_ENDINGS) and _KO_ENDING.search(w))]
         extra = 1 if words and _VERB.search(words[-1]) else 0
         return "ko", len(words), len(functional) + extra, len(set(functional)) + extra, frozenset(functional)
     if words and not latin and 2 * sum(w[0] < "\u0250" for w in words) < len(words):
