@@ -57,3 +57,23 @@ def test_empty_and_single_pass(spark):
     assert immediate_acceptance(df.limit(0), ["agent"], "item", "own", [F.asc("agent")], free).count() == 0
     got = sorted((r.agent, r.item) for r in single_pass(df, ["agent"], "item", "own", [F.asc("agent")], free).collect())
     assert got == [("a", "x")]
+
+
+def test_a_million_requests_with_a_hot_item(spark):
+    """Immediate acceptance is told by this alone: whoever is refused comes, by round and priority, after the last one who got a unit of the item, and nothing is left of it."""
+    agents = spark.range(200_000).withColumn("pri", F.pmod(F.xxhash64("id"), F.lit(1000)))
+    wishes = agents.select("id", "pri", F.posexplode(F.expr("transform(sequence(0, 4), r -> if(r = id % 3, 0, 1 + pmod(xxhash64(id, r), 60)))")).alias("r", "item"))
+    ranked = wishes.groupBy("id", "item").agg(F.min("r").alias("r"), F.first("pri").alias("pri"))
+    ranked = preference_ranks(ranked, ["id"], [F.asc("r")]).select("id", F.col("item").cast("string").alias("item"), F.lit(False).alias("own"), "rank", "pri")
+    stock = spark.range(61).selectExpr("cast(id as string) as item", "if(id = 0, 40000, 100 * id) as free")
+    order = [F.desc("pri"), F.asc("id")]
+    given = immediate_acceptance(ranked, ["id"], "item", "own", order, stock)
+    assert ranked.count() > 900_000
+    counts = {r.item: r["count"] for r in given.groupBy("item").count().collect()}
+    free = {r.item: r.free for r in stock.collect()}
+    assert all(n <= free[i] for i, n in counts.items()) and given.select("id").distinct().count() == sum(counts.values())
+    last = given.groupBy("item").agg(F.max(F.struct("rank", (-F.col("pri")).alias("p"), "id")).alias("last"))
+    got = given.select("id", F.col("rank").alias("given"))
+    refused = ranked.join(got, "id", "left").where("given is null or rank < given").join(last, "item", "left")
+    assert refused.where(F.struct("rank", (-F.col("pri")).alias("p"), "id") <= F.col("last")).count() == 0
+    assert all(counts[r.item] == free[r.item] for r in refused.select("item").distinct().collect())
