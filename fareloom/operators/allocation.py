@@ -46,6 +46,17 @@ def _with_units(requests: DataFrame, stock: DataFrame, place: list[str]) -> Data
     return requests.join(stock.where(F.col("free") > 0).groupBy(*on).agg(F.sum("free").cast("bigint").alias("_left")), on)
 
 
+def _told(queue: DataFrame, agent: list[str], group: list[str], place: list[str]) -> DataFrame:
+    """Adds to open requests what the next round needs: ``_safe`` (the item has a unit for every open request), ``_turn`` (the agent's next rank) and ``_round`` (the group's next rank at which an item is contested)."""
+    wanted = queue.groupBy(*place).agg(F.count("*").alias("_wanted"))
+    # An agent's own list is short: the window holds one list at a time.
+    turn = F.min("rank").over(Window.partitionBy(*agent))
+    told = queue.join(wanted, place).withColumn("_safe", F.col("_wanted") <= F.col("_left")).drop("_wanted").withColumn("_turn", turn)
+    next_ = F.min("rank").alias("_round")
+    contested = told.where("not _safe")
+    return told.join(contested.groupBy(*group).agg(next_), group, "left") if group else told.crossJoin(F.broadcast(contested.agg(next_)))
+
+
 def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str] | None = None) -> DataFrame:
     """One row per agent that gets something: immediate acceptance in rounds of preference.
 
@@ -64,24 +75,19 @@ def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: st
     asked = ranked.where(_known([*agent, item, "rank"]))
     mine = asked.where(F.col(own)).groupBy(*agent).agg(F.min("rank").alias("_own"))
     above = asked.where(~F.coalesce(F.col(own), F.lit(False))).join(mine, agent, "left").where(F.col("_own").isNull() | (F.col("rank") < F.col("_own"))).drop("_own")
-    queue = queued(_with_units(above, stock, place), place, priority)
+    ordered = queued(_with_units(above, stock, place), place, priority)
+    queue = written(_told(ordered, agent, group, place), "queue")
+    drop_written(ordered)
     won: list[DataFrame] = []
-    # An agent's own list is short: the window holds one list at a time.
-    turn = F.min("rank").over(Window.partitionBy(*agent))
     while True:
-        wanted = queue.groupBy(*place).agg(F.count("*").alias("_wanted"))
-        tagged = queue.join(wanted, place).withColumn("_safe", F.col("_wanted") <= F.col("_left")).drop("_wanted").withColumn("_turn", turn)
-        contested = tagged.where("not _safe")
-        round_ = contested.groupBy(*group).agg(F.min("rank").alias("_round")) if group else contested.agg(F.min("rank").alias("_round"))
-        tagged = tagged.join(round_, group, "left") if group else tagged.crossJoin(F.broadcast(round_))
-        asking = tagged.where("rank = _turn")
+        asking = queue.where("rank = _turn")
         ruled = best_of(asking.where("not _safe and rank = _round"), place, priority, "_left")
         given = written(asking.where("_safe").unionByName(ruled).drop("_safe", "_turn", "_round"), "given")
+        won.append(given)
         taken = given.groupBy(*place).agg(F.count("*").alias("_taken"))
-        rest = tagged.where("_safe or rank > _round").drop("_safe", "_turn", "_round").join(given.select(*agent), agent, "left_anti").join(taken, place, "left")
+        rest = queue.where("_safe or rank > _round").drop("_safe", "_turn", "_round").join(given.select(*agent), agent, "left_anti").join(taken, place, "left")
         rest = rest.withColumn("_left", F.col("_left") - F.coalesce("_taken", F.lit(0))).where("_left > 0").drop("_taken")
-        won.append(given)
-        done, queue = queue, written(rest, "queue")
+        done, queue = queue, written(_told(rest, agent, group, place), "queue")
         drop_written(done)
         if queue.isEmpty():
             break
