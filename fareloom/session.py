@@ -100,6 +100,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared one, owned and removed like a written table."""
+    path = f"{shared_dir(spark)}/{PREFIX}{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows over all cores where the scan of a small table would use less than half of them.
 

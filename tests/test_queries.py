@@ -7,10 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from fareloom.plans import catalog, catalog_sql, contracts, contracts_sql, training, training_sql
+from fareloom.plans import catalog, catalog_sql, contracts, contracts_sql, round_trips, round_trips_sql, training, training_sql
 
-QUERIES = catalog.QUERIES | contracts.QUERIES | training.QUERIES
-ORACLE = catalog_sql.ORACLE | contracts_sql.ORACLE | training_sql.ORACLE
+QUERIES = catalog.QUERIES | contracts.QUERIES | round_trips.QUERIES | training.QUERIES
+ORACLE = catalog_sql.ORACLE | contracts_sql.ORACLE | round_trips_sql.ORACLE | training_sql.ORACLE
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="needs the test tables")
