@@ -33,12 +33,14 @@ def job_candidates(jobs: DataFrame, agents: DataFrame, job: str, agent: str, siz
     met = known.join(sets, "bucket", "left").withColumn("_agents", F.coalesce("_agents", F.array().cast(sets.schema["_agents"].dataType)))
 
     def judged(a: Column) -> Column:
-        why = reduce(lambda inner, r: F.when(~F.coalesce(r[1](a), F.lit(False)), F.lit(r[0])).otherwise(inner), reversed(rules.items()), F.lit(None).cast("string"))
-        return F.struct(why.alias("why"), F.struct(a["agent"].alias("agent"), score(a).alias("score"), seed_of(F.col(job), a["agent"], base=seed).alias("tie"), *(a[f].alias(f) for f in fields)).alias("as"))
+        return F.struct(reduce(lambda inner, r: F.when(~F.coalesce(r[1](a), F.lit(False)), F.lit(r[0])).otherwise(inner), reversed(rules.items()), F.lit(None).cast("string")).alias("why"), a.alias("as"))
+
+    def scored(a: Column) -> Column:
+        return F.struct(a["agent"].alias("agent"), score(a).alias("score"), seed_of(F.col(job), a["agent"], base=seed).alias("tie"), *(a[f].alias(f) for f in fields))
 
     each = met.withColumn("_each", F.transform("_agents", judged)).withColumn("offered", F.size("_agents"))
     better = lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).when(a["tie"] < b["tie"], -1).when(a["tie"] > b["tie"], 1).when(a["agent"] < b["agent"], -1).otherwise(1)
-    taken = F.array_sort(F.transform(F.filter("_each", lambda x: x["why"].isNull()), lambda x: x["as"]), better)
+    taken = F.array_sort(F.transform(F.filter("_each", lambda x: x["why"].isNull()), lambda x: scored(x["as"])), better)
     counted = lambda name: F.size(F.filter("_each", lambda x: x["why"] == name))
     counts = {name: counted(name) for name in rules}
     return each.withColumns({**counts, "candidates": taken}).drop("_each", "_agents")

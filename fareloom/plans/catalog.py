@@ -246,7 +246,7 @@ def repeated_trips(spark: SparkSession, folder: str) -> DataFrame:
 
 def zone_minutes(spark: SparkSession, folder: str) -> DataFrame:
     """Median minutes between zones with at least five trips."""
-    t = table(spark, folder, "attribution").where("dropoff_datetime > pickup_datetime").distinct()
+    t = table(spark, folder, "attribution").where("dropoff_datetime > pickup_datetime").select("trip_key", "PULocationID", "DOLocationID", "pickup_datetime", "dropoff_datetime").distinct()
     minutes = (seconds(F.col("dropoff_datetime")) - seconds(F.col("pickup_datetime"))) / 60
     # Counted by value first: what a busy pair of zones holds is its different durations, not its trips.
     counted = t.groupBy("PULocationID", "DOLocationID", minutes.alias("minutes")).agg(F.count("*").alias("n"))
@@ -505,8 +505,9 @@ def sweep_grain(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _usable_jobs(spark: SparkSession, folder: str) -> DataFrame:
-    a = table(spark, folder, "attribution").where("pickup_datetime is not null and dropoff_datetime > pickup_datetime").distinct()
-    return a.select("service_date", F.col("trip_key").alias("job"), seconds(F.col("pickup_datetime")).alias("start"), seconds(F.col("dropoff_datetime")).alias("end"), F.col("PULocationID").alias("origin"), F.col("DOLocationID").alias("target"))
+    a = table(spark, folder, "attribution").where("pickup_datetime is not null and dropoff_datetime > pickup_datetime")
+    # Rows of one key are equal, so the columns needed tell them apart as well as all.
+    return a.select("service_date", F.col("trip_key").alias("job"), seconds(F.col("pickup_datetime")).alias("start"), seconds(F.col("dropoff_datetime")).alias("end"), F.col("PULocationID").alias("origin"), F.col("DOLocationID").alias("target")).distinct()
 
 
 def bucketed_candidates(spark: SparkSession, folder: str) -> DataFrame:
