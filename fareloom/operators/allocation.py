@@ -46,15 +46,21 @@ def _with_units(requests: DataFrame, stock: DataFrame, place: list[str]) -> Data
     return requests.join(stock.where(F.col("free") > 0).groupBy(*on).agg(F.sum("free").cast("bigint").alias("_left")), on)
 
 
-def _told(queue: DataFrame, agent: list[str], group: list[str], place: list[str]) -> DataFrame:
-    """Adds to open requests what the next round needs: ``_safe`` (the item has a unit for every open request), ``_turn`` (the agent's next rank) and ``_round`` (the group's next rank at which an item is contested)."""
+def _told(queue: DataFrame, agent: list[str], place: list[str]) -> DataFrame:
+    """Adds to open requests what the next step needs: ``_safe`` (the item has a unit for every open request), ``_turn`` (the agent's next rank) and ``_round`` (the rank that can be decided
+    at an item now, null where none can).
+
+    The lowest rank at which an item is asked for can be decided as soon as all who ask for it then are at their turn; agents whose next choice is safe ask for nothing more.
+    The lowest contested rank of all always can.
+    """
     wanted = queue.groupBy(*place).agg(F.count("*").alias("_wanted"))
     # An agent's own list is short: the window holds one list at a time.
-    turn = F.min("rank").over(Window.partitionBy(*agent))
-    told = queue.join(wanted, place).withColumn("_safe", F.col("_wanted") <= F.col("_left")).drop("_wanted").withColumn("_turn", turn)
-    next_ = F.min("rank").alias("_round")
-    contested = told.where("not _safe")
-    return told.join(contested.groupBy(*group).agg(next_), group, "left") if group else told.crossJoin(F.broadcast(contested.agg(next_)))
+    turn = F.min(F.struct("rank", "_safe")).over(Window.partitionBy(*agent))
+    told = queue.join(wanted, place).withColumn("_safe", F.col("_wanted") <= F.col("_left")).drop("_wanted").withColumn("_next", turn)
+    told = told.withColumns({"_turn": F.col("_next.rank"), "_sure": F.col("_next._safe")}).drop("_next")
+    lowest = told.where("not _safe and not _sure").groupBy(*place).agg(F.min(F.struct("rank", (F.col("rank") == F.col("_turn")).alias("ready"))).alias("_low"))
+    rounds = lowest.select(*place, F.when(F.col("_low.ready"), F.col("_low.rank")).alias("_round"))
+    return told.join(rounds, place, "left").drop("_sure")
 
 
 def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: str, priority: list[Column], stock: DataFrame, group: list[str] | None = None) -> DataFrame:
@@ -67,8 +73,8 @@ def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: st
 
     An own item takes no unit and ends an agent's list, so it concerns nobody else: it is what an agent falls back on when all rounds are over. A choice
     whose item has no unit left can never be granted and leaves the open requests at once. And an item with as many units left as there are open requests
-    for it, of whatever rank, refuses nobody: whoever asks for it first gets it, without waiting for the round. So rounds are played only for ranks at which
-    an item is contested, and each rewrites only requests that are still possible.
+    for it, of whatever rank, refuses nobody: whoever asks for it first gets it, without waiting for the round. A contested item decides a rank when all who ask at it are at
+    their turn, whatever rank other items are at. So steps are as many as decisions hang on one another, and each rewrites only requests that are still possible.
     """
     group = group or []
     place = [*group, item]
@@ -76,7 +82,7 @@ def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: st
     mine = asked.where(F.col(own)).groupBy(*agent).agg(F.min("rank").alias("_own"))
     above = asked.where(~F.coalesce(F.col(own), F.lit(False))).join(mine, agent, "left").where(F.col("_own").isNull() | (F.col("rank") < F.col("_own"))).drop("_own")
     ordered = queued(_with_units(above, stock, place), place, priority)
-    queue = written(_told(ordered, agent, group, place), "queue")
+    queue = written(_told(ordered, agent, place), "queue")
     drop_written(ordered)
     won: list[DataFrame] = []
     while True:
@@ -85,9 +91,9 @@ def immediate_acceptance(ranked: DataFrame, agent: list[str], item: str, own: st
         given = written(asking.where("_safe").unionByName(ruled).drop("_safe", "_turn", "_round"), "given")
         won.append(given)
         taken = given.groupBy(*place).agg(F.count("*").alias("_taken"))
-        rest = queue.where("_safe or rank > _round").drop("_safe", "_turn", "_round").join(given.select(*agent), agent, "left_anti").join(taken, place, "left")
+        rest = queue.where("_safe or _round is null or rank > _round").drop("_safe", "_turn", "_round").join(given.select(*agent), agent, "left_anti").join(taken, place, "left")
         rest = rest.withColumn("_left", F.col("_left") - F.coalesce("_taken", F.lit(0))).where("_left > 0").drop("_taken")
-        done, queue = queue, written(_told(rest, agent, group, place), "queue")
+        done, queue = queue, written(_told(rest, agent, place), "queue")
         drop_written(done)
         if queue.isEmpty():
             break
