@@ -24,7 +24,7 @@ PREFIX = "fareloom-"
 
 
 def get_spark(app: str = "fareloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the zone pinned to UTC, for the session and for the process. Off one machine, the package goes to the executors with it."""
+    """A session with the zone pinned to UTC, for the session and for the process. The package goes to the executors' workers with it, wherever the process was started."""
     os.environ["TZ"] = "UTC"
     time.tzset()
     builder = SparkSession.builder.appName(app)
@@ -39,15 +39,19 @@ def get_spark(app: str = "fareloom", master: str | None = None, **conf: str) ->
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    if not _on_one_machine(spark):
-        spark.sparkContext.addPyFile(package_zip())
+    context = spark.sparkContext
+    if not getattr(context, "_has_fareloom", False):
+        context.addPyFile(package_zip())
+        context._has_fareloom = True
     return spark
 
 
 def package_zip() -> str:
     """This package as a zip file that executors can import."""
     here = Path(__file__).resolve().parent
-    return shutil.make_archive(f"{tempfile.mkdtemp(prefix=PREFIX)}/{here.name}", "zip", here.parent, here.name)
+    folder = tempfile.mkdtemp(prefix=PREFIX)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return shutil.make_archive(f"{folder}/{here.name}", "zip", here.parent, here.name)
 
 
 def _on_one_machine(spark: SparkSession) -> bool:
